@@ -117,8 +117,9 @@ def candidate_lists(spark, folder):
 
 @query
 def level_columns(spark, folder):
-    exploded = fx.candidates(spark, folder).select("query_id", F.posexplode("candidates").alias("place", "candidate"))
-    return exploded.select("query_id", "place", *cd.level_columns(F.col("candidate"), fx.TARGETS))
+    rows = cd.candidate_rows(fx.candidates(spark, folder), "query_id")
+    chosen = F.struct("hierarchy_path", "attributes")
+    return rows.select("query_id", (F.col("rank") - 1).alias("place"), *cd.level_columns(chosen, fx.TARGETS))
 
 
 # Taxonomy corpus
@@ -222,8 +223,9 @@ def row_text(spark, folder):
 @query
 def row_embedding(spark, folder):
     pending = fx.labelled_documents(spark, folder).where(F.col("quality").isNull())
+    spread = pending.select("doc_id", "text").repartition(spark.sparkContext.defaultParallelism)
     vector = embedding.embed(F.col("text"), embedding.hashing_provider(fx.DIMENSION))
-    return pending.select("doc_id", vx.vector_json(vector).alias("vector"))
+    return spread.select("doc_id", vx.vector_json(vector).alias("vector"))
 
 
 @query
@@ -386,7 +388,10 @@ def job_embed(spark, folder):
     documents = fx.labelled_documents(spark, folder).select(
         "doc_id", "lang", "text", F.concat(F.lit("["), "quality", F.lit("]")).alias("embedding_context")
     )
-    done = je.embed_rows(documents, "doc_id", ["lang", "text"], embedding.hashing_provider(fx.DIMENSION), fx.DIMENSION)
+    done = je.embed_rows(
+        documents, "doc_id", ["lang", "text"], embedding.hashing_provider(fx.DIMENSION), fx.DIMENSION,
+        call_partitions=spark.sparkContext.defaultParallelism,
+    )
     return done.select("doc_id", "embedding_context")
 
 

@@ -19,10 +19,10 @@ def strip(text: Column) -> Column:
 def float_text(value: Column) -> Column:
     """Shortest decimal text of a double: positional from 1e-4 up to 1e16.
 
-    Spark's cast turns to scientific notation at 1e7 already and has no sign or
-    padding in the exponent; the digits themselves are the same.
+    Spark's cast turns to scientific notation at 1e7 already, has no sign or
+    padding in the exponent, and may print a digit more than is needed.
     """
-    raw = value.cast("double").cast("string")
+    raw = _shortest(value.cast("double"))
     sign = F.regexp_extract(raw, r"^(-?)", 1)
     whole = F.regexp_extract(raw, r"^-?(\d)\.\d+E", 1)
     rest = F.regexp_replace(F.regexp_extract(raw, r"^-?\d\.(\d+)E", 1), r"0+$", "")
@@ -52,6 +52,18 @@ def float_text(value: Column) -> Column:
     )
 
 
+def _shortest(value: Column) -> Column:
+    """Spark's text of a double, or a shorter one that reads back as the same."""
+    raw = value.cast("string")
+    many = F.length(F.regexp_replace(F.regexp_replace(raw, "E.*", ""), r"\D", "")) > 15
+    shorter = [
+        F.regexp_replace(F.format_string(pattern, value), r"e\+?(-?)0*(\d)", "E$1$2") for pattern in ("%.14e", "%.15e", "%.16e")
+    ]
+    return F.when(
+        many & ~F.isnan(value), F.coalesce(*[F.when(s.cast("double") == value, s) for s in shorter], raw)
+    ).otherwise(raw)
+
+
 def filled_text(df: DataFrame, name: str) -> Column:
     """Column ``name`` as text where NULL, NaN, '', 0 and false become ''."""
     value = F.col(name)

@@ -34,7 +34,9 @@ def parse_responses(responses: DataFrame, content: str = "content", error: str =
             yield pa.array([_read_answers(text) for text in texts.to_pylist()], _PARSED)
 
     had_error = F.col(error) if error in responses.columns else F.lit(None).cast("string")
-    parsed = responses.withColumn("__parsed", parse(F.col(content)))
+    # Marked so that each response is parsed once, whatever is read of the result.
+    once = parse.asNondeterministic()
+    parsed = responses.withColumn("__parsed", once(F.col(content)))
     return (
         parsed.withColumn("answers", F.when(had_error.isNull(), F.col("__parsed.answers")))
         .withColumn(error, F.coalesce(had_error, F.col("__parsed.error")))

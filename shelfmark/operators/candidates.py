@@ -6,6 +6,8 @@ so grouping, ranking and labelling stay inside the row: no shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,40 +23,56 @@ def with_candidates(df: DataFrame, hits: str = "hits", out: str = "candidates")
     hit order. Candidates are ordered by score, ties by first hit. Hits
     without path are ignored. A row without usable hits gets an empty array.
     """
-    keyed = F.filter(
-        F.transform(
-            F.coalesce(F.col(hits), F.array().cast(df.schema[hits].dataType)),
-            lambda h: F.struct(
-                h["score"].alias("score"),
-                F.coalesce(h["level"], F.lit(0)).alias("level"),
-                h["code"].alias("code"),
-                h["title"].alias("title"),
-                path_prefix(h["hierarchy_path"]).alias("path"),
-                F.coalesce(F.array_join(path_prefix(h["hierarchy_path"]), fixed.PATH_JOINER), F.lit("")).alias("key"),
-            ),
-        ),
-        lambda h: h["key"] != "",
-    )
-    staged = (
-        df.withColumn("__hits", keyed)
+    present = F.coalesce(F.col(hits), F.array().cast(df.schema[hits].dataType))
+    return df.withColumn(out, candidate_array(present)).drop(hits)
+
+
+def candidate_array(hits: Column) -> Column:
+    """Candidates of one array of hits.
+
+    ``_let`` gives a name to each intermediate array. A lambda that referred to
+    an outer column instead would compute that column again for every element
+    once Catalyst merges the projections.
+    """
+    usable = F.filter(F.transform(hits, _keyed), lambda h: h["key"] != "")
+
+    def build(found: Column) -> Column:
         # First appearance in score order is also the order of best scores.
-        .withColumn("__keys", F.array_distinct(F.transform("__hits", lambda h: h["key"])))
-        .withColumn(
-            "__groups", F.transform("__keys", lambda key: F.filter("__hits", lambda h: h["key"] == key))
-        )
+        keys = F.array_distinct(F.transform(found, lambda h: h["key"]))
+        groups = F.transform(keys, lambda key: F.filter(found, lambda h: h["key"] == key))
+        return F.transform(groups, _candidate)
+
+    return _let(usable, build)
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _keyed(hit: Column) -> Column:
+    return _let(
+        path_prefix(hit["hierarchy_path"]),
+        lambda path: F.struct(
+            hit["score"].alias("score"),
+            F.coalesce(hit["level"], F.lit(0)).alias("level"),
+            hit["code"].alias("code"),
+            hit["title"].alias("title"),
+            path.alias("path"),
+            F.coalesce(F.array_join(path, fixed.PATH_JOINER), F.lit("")).alias("key"),
+        ),
     )
 
-    def candidate(group: Column, index: Column) -> Column:
-        first = F.get(group, F.lit(0))
-        return F.struct(
-            tx.option_letter(index).alias("letter"),
-            first["path"].alias("hierarchy_path"),
-            first["key"].alias("hierarchy_string"),
-            first["score"].alias("score"),
-            _attributes(group).alias("attributes"),
-        )
 
-    return staged.withColumn(out, F.transform("__groups", candidate)).drop(hits, "__hits", "__keys", "__groups")
+def _candidate(group: Column, index: Column) -> Column:
+    first = F.get(group, F.lit(0))
+    return F.struct(
+        tx.option_letter(index).alias("letter"),
+        first["path"].alias("hierarchy_path"),
+        first["key"].alias("hierarchy_string"),
+        first["score"].alias("score"),
+        _attributes(group).alias("attributes"),
+    )
 
 
 def path_prefix(path: Column) -> Column:
@@ -97,5 +115,6 @@ def level_columns(candidate: Column, targets: list[str] = fixed.TARGET_COLUMNS)
 
 def candidate_rows(df: DataFrame, key: str, candidates: str = "candidates") -> DataFrame:
     """One row per candidate with its rank from 1."""
-    exploded = df.select(key, F.posexplode(candidates).alias("place", "candidate"))
-    return exploded.select(key, (F.col("place") + 1).alias("rank"), "candidate.*")
+    # The plain posexplode would add a filter that builds the array once more.
+    exploded = df.select(key, F.posexplode_outer(candidates).alias("place", "candidate"))
+    return exploded.where(F.col("place").isNotNull()).select(key, (F.col("place") + 1).alias("rank"), "candidate.*")

@@ -41,7 +41,9 @@ def complete(prompts: DataFrame, make_provider: Callable[[], Chat], batch: str =
             ints = [(name, pa.int32()) for name in _USAGE]
             yield pa.array(rows, pa.struct([("content", pa.string()), *ints, ("error", pa.string())]))
 
-    return prompts.select(batch, call("system_message", "user_message").alias("answer")).select(batch, "answer.*")
+    # Marked so that Catalyst never copies the call into a pushed-down filter.
+    once = call.asNondeterministic()
+    return prompts.select(batch, once("system_message", "user_message").alias("answer")).select(batch, "answer.*")
 
 
 def first_option_provider(letter: str = "A") -> Callable[[], Chat]:

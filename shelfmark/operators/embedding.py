@@ -36,7 +36,8 @@ def embed(text: Column, make_provider: Callable[[], EmbedBatch],
             ]
             yield pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.float32()))
 
-    return vectors(text)
+    # Marked so that Catalyst never copies the call into a pushed-down filter.
+    return vectors.asNondeterministic()(text)
 
 
 def _as_lists(vectors) -> pa.Array:
@@ -56,30 +57,39 @@ def hashing_provider(dimension: int) -> Callable[[], EmbedBatch]:
     """
 
     def make() -> EmbedBatch:
-        known: dict[str, tuple[int, int]] = {}
-
-        def place(token: str) -> tuple[int, int]:
-            if token not in known:
-                digest = hashlib.md5(token.encode("utf-8")).hexdigest()
-                if len(known) >= 1_000_000:
-                    known.clear()
-                known[token] = (int(digest[:4], 16) % dimension, -1 if int(digest[4], 16) % 2 else 1)
-            return known[token]
+        cells = _TokenCells(dimension)
+        tokens = re.compile(r"[^ \t\r\n]+").findall
 
         def call(texts: list[str]) -> np.ndarray:
-            out = np.zeros((len(texts), dimension), dtype=np.float32)
-            for row, text in enumerate(texts):
-                places = [place(token) for token in re.split(r"[ \t\r\n]+", text or "") if token]
-                if places:
-                    columns, signs = zip(*places)
-                    out[row] = np.bincount(columns, weights=signs, minlength=dimension)
-            return out
+            split = [tokens(text or "") for text in texts]
+            cell = np.fromiter((cells[token] for row in split for token in row), dtype=np.int64)
+            row = np.repeat(np.arange(len(texts)), [len(row) for row in split])
+            counts = np.bincount(row * 2 * dimension + cell, minlength=len(texts) * 2 * dimension)
+            plus, minus = counts.reshape(len(texts), 2, dimension).swapaxes(0, 1)
+            return (plus - minus).astype(np.float32)
 
         return call
 
     return make
 
 
+class _TokenCells(dict):
+    """Cell of each token: its component, plus ``dimension`` where it counts -1."""
+
+    LIMIT = 1_000_000
+
+    def __init__(self, dimension: int):
+        self.dimension = dimension
+
+    def __missing__(self, token: str) -> int:
+        digest = hashlib.md5(token.encode("utf-8")).hexdigest()
+        if len(self) >= self.LIMIT:
+            self.clear()
+        cell = int(digest[:4], 16) % self.dimension + (int(digest[4], 16) % 2) * self.dimension
+        self[token] = cell
+        return cell
+
+
 def vector_problems(df: DataFrame, vector: str, dimension: int) -> DataFrame:
     """One row: number of rows, of missing vectors and of wrong vector sizes."""
     size = F.size(F.col(vector))
@@ -90,8 +100,13 @@ def vector_problems(df: DataFrame, vector: str, dimension: int) -> DataFrame:
     )
 
 
-def check_vectors(df: DataFrame, vector: str, dimension: int) -> None:
-    """Raise unless every row has a vector of ``dimension`` components."""
+def check_vectors(df: DataFrame, vector: str, dimension: int | None = None) -> None:
+    """Raise unless every row has a vector, all of ``dimension`` components.
+
+    Without ``dimension`` they only have to be of one size.
+    """
+    if dimension is None:
+        dimension = df.agg(F.max(F.size(vector))).first()[0] or 0
     found = vector_problems(df, vector, dimension).first()
     if found["missing"] or found["wrong_size"]:
         raise ValueError(

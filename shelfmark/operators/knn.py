@@ -1,6 +1,7 @@
 """Exact nearest neighbours by squared L2 distance of unit vectors.
 
-Hits are ordered by (score, position), so equal scores have a fixed order.
+Scores are given to twelve decimals, beyond which they are rounding noise, and
+hits are ordered by (score, position), so equal scores have a fixed order.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from shelfmark import fixed
 from shelfmark.functions.vectors import l2_normalize, squared_l2
 
+SCORE_DECIMALS = 12
 BROADCAST_BYTES = 256 * 1024**2
 BLOCK_BYTES = 128 * 1024**2
 
@@ -28,7 +30,8 @@ def search(corpus: DataFrame, vector: Sequence[float], k: int = fixed.TOP_K) ->
     """
     # Scaled here: Spark would not fold the lambda and scale it again for every row.
     unit, _ = _unit(np.array([vector], dtype=np.float32))
-    scored = corpus.withColumn("score", squared_l2(l2_normalize(F.col("embedding")), F.lit(unit[0].tolist())))
+    distance = squared_l2(l2_normalize(F.col("embedding")), F.lit(unit[0].tolist()))
+    scored = corpus.withColumn("score", F.round(distance, SCORE_DECIMALS))
     return scored.drop("embedding").orderBy("score", "position").limit(k)
 
 
@@ -81,7 +84,9 @@ def nearest_broadcast(queries: DataFrame, corpus: DataFrame, vector: str = "vect
         for vectors in batches:
             yield block.hits(vectors, arrow_type)
 
-    return queries.withColumn("hits", hits(F.col(vector))).drop(vector)
+    # Marked so that Catalyst never copies the search into a pushed-down filter.
+    once = hits.asNondeterministic()
+    return queries.withColumn("hits", once(F.col(vector))).drop(vector)
 
 
 def nearest_blocks(queries: DataFrame, corpus: DataFrame, key: str, vector: str = "vector",
@@ -233,7 +238,7 @@ class CorpusBlock:
         for i in range(0, len(row), step):
             r, c = row[i : i + step], column[i : i + step]
             gap = unit[r] - self.raw[c] / self.norm[c, None]
-            score[i : i + step] = np.einsum("ij,ij->i", gap, gap)
+            score[i : i + step] = np.einsum("ij,ij->i", gap, gap).round(SCORE_DECIMALS)
         # Columns are in position order already.
         order = np.lexsort((column, score, row))
         row, column, score = row[order], column[order], score[order]

@@ -9,32 +9,41 @@ from pyspark.sql import functions as F
 
 from shelfmark.session import materialize
 
+# monotonically_increasing_id holds the partition number above this bit and the
+# row number within the partition below it.
+_PARTITION_BIT = 33
+
 
 def number_rows(df: DataFrame, order: Sequence[str], name: str = "row_no",
                 partitions: int | None = None) -> DataFrame:
     """Add ``name``: 0, 1, 2, ... in the order of the unique key ``order``.
 
-    Rows are range-partitioned by the key and written with their range number.
-    Counts per range, a handful of rows, give each range its first number; the
-    rest is counted inside the ranges, in parallel.
+    One shuffle: rows are range-partitioned by the key, sorted and written with
+    their place inside the partition. The row counts per partition, one row
+    each, give every partition its first number. Range partitioning samples its
+    input, so ``df`` should be a scan rather than a long computation.
     """
     spark = df.sparkSession
     partitions = partitions or max(
         int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
     )
-    ranged = df.repartitionByRange(partitions, *order).withColumn("__range", F.spark_partition_id())
-    stored = materialize(ranged, "ranged")
-    # One row per range: the unpartitioned window sees `partitions` rows.
+    ranged = (
+        df.repartitionByRange(partitions, *order)
+        .sortWithinPartitions(*order)
+        .withColumn("__spot", F.monotonically_increasing_id())
+    )
+    # Written, because both branches below need the same partition bounds.
+    stored = materialize(ranged, "ranged").withColumn("__range", F.shiftright("__spot", _PARTITION_BIT))
+    # The unpartitioned window sees one row per range.
     before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        stored.groupBy("__range").agg(F.count("*").alias("__rows"))
-        .select("__range", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__start"))
+    starts = stored.groupBy("__range").agg(F.count("*").alias("__rows")).select(
+        "__range", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__start")
     )
-    inside = Window.partitionBy("__range").orderBy(*order)
+    inside = F.col("__spot").bitwiseAND(F.lit((1 << _PARTITION_BIT) - 1))
     return (
         stored.join(F.broadcast(starts), "__range")
-        .withColumn(name, (F.col("__start") + F.row_number().over(inside) - 1).cast("bigint"))
-        .drop("__range", "__start")
+        .withColumn(name, F.col("__start") + inside)
+        .drop("__range", "__start", "__spot")
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shelfmark import fixed
 from shelfmark.functions import text as tx
 from shelfmark.operators.numbering import number_rows
+from shelfmark.session import materialize
 
 _WALK = """
 WITH RECURSIVE walk ({key}, place, path, node) AS (
@@ -72,5 +73,5 @@ def _stripped(path: str):
 
 def flatten_tree(top: DataFrame, key: str = "document", spread: int | None = None) -> DataFrame:
     """Node rows with ``position``: the pre-order number over all documents."""
-    nodes = node_rows(walk_tree(top, key, spread), key)
+    nodes = materialize(node_rows(walk_tree(top, key, spread), key), "nodes")
     return number_rows(nodes, [key, "place"], "position")

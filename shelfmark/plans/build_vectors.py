@@ -8,9 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark import fixed
-from shelfmark.operators.embedding import check_vectors, embed
+from shelfmark.operators.embedding import embed
 from shelfmark.operators.tree import flatten_tree
-from shelfmark.session import materialize
 from shelfmark.sources.corpus import load_corpus, save_corpus
 from shelfmark.sources.taxonomy import top_nodes
 
@@ -23,11 +22,16 @@ CORPUS_COLUMNS = [
 def build_vectors(documents: DataFrame, folder: str, make_provider: Callable, dimensions: int,
                   model: str = "unknown", prefix: str = "gs1",
                   lookup_fields: Sequence[str] = fixed.LOOKUP_FIELDS,
-                  key: str = "document", spread: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """Flatten, embed, check and save; returns corpus and lookup as saved."""
+                  key: str = "document", spread: int | None = None,
+                  call_partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Flatten, embed, save and check; returns corpus and lookup as saved.
+
+    ``spread`` distributes the nodes of few big documents, ``call_partitions``
+    sets how many tasks call the embedding provider at once.
+    """
     nodes = flatten_tree(top_nodes(documents, key), key, spread)
+    if call_partitions:
+        nodes = nodes.repartition(call_partitions)
     corpus = nodes.withColumn("embedding", embed(F.col("text"), make_provider)).select(*CORPUS_COLUMNS)
-    corpus = materialize(corpus, "embedded")
-    check_vectors(corpus, "embedding", dimensions)
-    save_corpus(corpus, folder, model, prefix, lookup_fields)
+    save_corpus(corpus, folder, model, prefix, lookup_fields, dimensions)
     return load_corpus(documents.sparkSession, folder, model, dimensions)

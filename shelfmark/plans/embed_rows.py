@@ -16,23 +16,30 @@ from shelfmark.sources.tables import apply_updates, pending_rows
 
 
 def row_vectors(table: DataFrame, key: str, columns: Sequence[str], target: str, make_provider: Callable,
-                separator: str = fixed.ROW_TEXT_SEPARATOR) -> DataFrame:
-    """Key and vector of each row whose ``target`` is NULL."""
+                separator: str = fixed.ROW_TEXT_SEPARATOR, call_partitions: int | None = None) -> DataFrame:
+    """Key and vector of each row whose ``target`` is NULL.
+
+    ``call_partitions`` sets how many tasks call the provider at once.
+    """
     pending = pending_rows(table, target, [key, *columns])
+    if call_partitions:
+        pending = pending.repartition(call_partitions)
     texts = pending.select(key, tx.row_text(pending, columns, separator).alias("__text"))
     return texts.select(key, embed(F.col("__text"), make_provider).alias("vector"))
 
 
 def embed_rows(table: DataFrame, key: str, columns: Sequence[str], make_provider: Callable,
                dimensions: int, target: str = fixed.VECTOR_COLUMN,
-               separator: str = fixed.ROW_TEXT_SEPARATOR, run_folder: str | None = None) -> DataFrame:
+               separator: str = fixed.ROW_TEXT_SEPARATOR, call_partitions: int | None = None,
+               run_folder: str | None = None) -> DataFrame:
     """Table with ``target`` filled where it was NULL; other rows stay as they are.
 
     The vectors are written once, before the update is planned, so the paid
     calls are not repeated. Text columns get JSON, array columns the vector.
     A vector of another size than ``dimensions`` stops the job.
     """
-    vectors = materialize(row_vectors(table, key, columns, target, make_provider, separator), "vectors", run_folder)
+    embedded = row_vectors(table, key, columns, target, make_provider, separator, call_partitions)
+    vectors = materialize(embedded, "vectors", run_folder)
     wrong = F.raise_error(F.lit(f"a vector has not {dimensions} components"))
     sized = F.when(F.size("vector") == dimensions, F.col("vector")).otherwise(wrong.cast("array<float>"))
     text = table.schema[target].dataType.simpleString() == "string"

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from shelfmark import fixed
 from shelfmark.functions import text as tx
 from shelfmark.functions.vectors import vector_json
+from shelfmark.operators.embedding import check_vectors
 
 METADATA = [
     "source", "level", "code", "title", "hierarchy_path",
@@ -57,15 +58,17 @@ def manifest_row(corpus: DataFrame, model: str, prefix: str) -> DataFrame:
 
 
 def save_corpus(corpus: DataFrame, folder: str, model: str, prefix: str,
-                lookup_fields: Sequence[str] = fixed.LOOKUP_FIELDS) -> None:
+                lookup_fields: Sequence[str] = fixed.LOOKUP_FIELDS, dimensions: int | None = None) -> None:
     """Write corpus, archive, metadata dump, lookup and manifest under ``folder``.
 
-    The corpus is written first; the other outputs read that table, so the
-    vectors are computed once.
+    The corpus is written first; the check and the other outputs read that
+    table, so the vectors are computed once. A missing vector or a wrong size
+    stops the build. The manifest comes last: without it there is no build.
     """
     spark = corpus.sparkSession
     corpus.write.mode("overwrite").parquet(f"{folder}/corpus")
     stored = spark.read.schema(corpus.schema).parquet(f"{folder}/corpus")
+    check_vectors(stored, "embedding", dimensions)
     archive_rows(stored).write.mode("overwrite").parquet(f"{folder}/archive")
     dump = stored.select("position", "id", metadata_struct().alias("metadata"))
     dump.orderBy("position").write.mode("overwrite").option("ignoreNullFields", "false").json(f"{folder}/metadata")

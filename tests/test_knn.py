@@ -1,0 +1,137 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from shelfmark.operators import knn
+from shelfmark.operators.metadata import resolve_metadata
+from shelfmark.sources.corpus import lookup_rows
+
+
+def frame(spark, vectors, name="embedding"):
+    rows = [(i, f"d{i}", [float(x) for x in v] if v is not None else None) for i, v in enumerate(vectors)]
+    return spark.createDataFrame(rows, f"position bigint, id string, {name} array<float>").repartition(4)
+
+
+def brute_force(queries, vectors, k):
+    def unit(rows):
+        rows = np.asarray(rows, dtype=np.float32).astype(np.float64)
+        norm = np.linalg.norm(rows, axis=1, keepdims=True)
+        return rows / np.where(norm > 0, norm, 1)
+
+    q, c = unit(queries), unit(vectors)
+    best = []
+    for row in q:
+        score = ((row - c) ** 2).sum(axis=1)
+        order = sorted(range(len(c)), key=lambda i: (round(score[i], 12), i))[:k]
+        best.append([(i, score[i]) for i in order])
+    return best
+
+
+def found(df, key="position"):
+    rows = df.orderBy(key).collect()
+    return [None if r.hits is None else [(h.position, h.score) for h in r.hits] for r in rows]
+
+
+def same(hits, expected):
+    assert [[p for p, _ in row] for row in hits] == [[p for p, _ in row] for row in expected]
+    assert all(abs(a - b) < 1e-11 for x, y in zip(hits, expected) for (_, a), (_, b) in zip(x, y))
+
+
+@pytest.fixture(scope="module")
+def data():
+    rng = np.random.default_rng(5)
+    vectors = rng.normal(size=(300, 24))
+    vectors[40:140] = vectors[7]  # a third of all rows are copies of one
+    vectors[200] = 0
+    vectors[210] = vectors[211] * 3  # same direction
+    queries = np.vstack([vectors[:25], rng.normal(size=(30, 24)), np.zeros((1, 24))])
+    return vectors, queries
+
+
+@pytest.mark.parametrize("k", [1, 30, 500])
+def test_both_ways_are_exact(spark, data, k):
+    vectors, queries = data
+    corpus = frame(spark, vectors)
+    asked = frame(spark, queries, "vector").select("position", "vector")
+    expected = brute_force(queries, vectors, k)
+    same(found(knn.nearest_broadcast(asked, corpus, "vector", k)), expected)
+    same(found(knn.nearest_blocks(asked, corpus, "position", "vector", k, blocks=4, slices=3)), expected)
+    same(found(knn.nearest_blocks(asked, corpus, "position", "vector", k, blocks=1)), expected)
+
+
+def test_choice_by_measured_size(spark, data):
+    vectors, queries = data
+    corpus, asked = frame(spark, vectors), frame(spark, queries, "vector").select("position", "vector")
+    assert "ArrowEvalPython" in plan(knn.nearest(asked, corpus, "position"))
+    large = knn.nearest(asked, corpus, "position", broadcast_bytes=1000)
+    assert "MapInArrow" in plan(large)
+    same(found(large), brute_force(queries, vectors, 30))
+
+
+def test_near_copies_do_not_confuse_single_precision(spark):
+    rng = np.random.default_rng(9)
+    base = rng.normal(size=64)
+    vectors = base + rng.normal(scale=2e-5, size=(400, 64))
+    corpus, asked = frame(spark, vectors), frame(spark, vectors[:20], "vector").select("position", "vector")
+    same(found(knn.nearest_broadcast(asked, corpus, "vector", 5)), brute_force(vectors[:20], vectors, 5))
+
+
+def test_missing_query_vectors_and_empty_corpus(spark, data):
+    vectors, _ = data
+    corpus = frame(spark, vectors)
+    asked = frame(spark, [vectors[0], None, vectors[1]], "vector").select("position", "vector")
+    for result in (
+        knn.nearest_broadcast(asked, corpus, "vector", 2),
+        knn.nearest_blocks(asked, corpus, "position", "vector", 2, blocks=3),
+    ):
+        hits = found(result)
+        assert hits[1] is None and hits[0][0][0] == 0 and hits[2][0][0] == 1
+    nothing = knn.nearest(asked, corpus.where("position < 0"), "position")
+    assert found(nothing) == [[], None, []]
+
+
+def test_wrong_sizes_are_errors(spark, data):
+    vectors, _ = data
+    corpus = frame(spark, vectors)
+    with pytest.raises(Exception, match="components"):
+        knn.nearest_broadcast(frame(spark, [[1.0, 2.0]], "vector"), corpus).collect()
+
+
+def test_single_search(spark, data):
+    vectors, queries = data
+    rows = knn.search(frame(spark, vectors), list(queries[3]), 30).collect()
+    assert [r.position for r in rows] == [p for p, _ in brute_force(queries[3:4], vectors, 30)[0]]
+
+
+def test_ten_documents_example(spark):
+    rng = np.random.default_rng(1)
+    documents = [
+        (i, f"d{i}", f"doc {i}", 4, f"code{i}", f"Title {i}", ["A", "B", "C", f"D{i}"], [float(x) for x in rng.random(8)])
+        for i in range(10)
+    ]
+    corpus = spark.createDataFrame(
+        documents, "position bigint, id string, text string, level int, code string, title string, "
+        "hierarchy_path array<string>, embedding array<float>",
+    )
+    fields = ["level", "hierarchy_path"]
+    resolved = resolve_metadata(corpus, lookup_rows(corpus, fields), fields=fields)
+    rows = knn.search(resolved, [float(x) for x in rng.random(8)], 3).collect()
+    assert len(rows) == 3 and all(r.hierarchy_path[3] == f"D{r.position}" for r in rows)
+
+
+def test_metadata_of_repeated_codes(spark):
+    rows = [(0, "7", "first"), (1, "007", "last"), (2, "x", "own"), (3, "x", "own too"), (4, "8", "eight")]
+    corpus = spark.createDataFrame(rows, "position bigint, id string, title string").withColumn(
+        "embedding", F.array(F.lit(1.0).cast("float"))
+    )
+    lookup = lookup_rows(corpus, ["title"])
+    by_code = {r.position: r.title for r in resolve_metadata(corpus, lookup, fields=["title"]).collect()}
+    assert by_code == {0: "last", 1: "last", 2: "own", 3: "own too", 4: "eight"}
+    own = {r.position: r.title for r in resolve_metadata(corpus, key="position", fields=["title"]).collect()}
+    assert own == {p: t for p, _, t in rows}
+    partial = lookup.where("key <> '8'")
+    assert resolve_metadata(corpus, partial, fields=["title"]).where("position = 4").first().title is None
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
