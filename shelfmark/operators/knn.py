@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -95,9 +95,8 @@ def nearest_blocks(queries: DataFrame, corpus: DataFrame, key: str, vector: str
 
     Every grid cell is one partition. Its corpus block comes first and is the
     only part held in memory, the queries stream past it in Arrow batches.
-    Each cell keeps the best ``k`` per query, so at most ``blocks * k`` hits
-    per query meet in the final merge. Both sides are dealt out by hash, so no
-    cell depends on how values repeat.
+    Each cell keeps the best ``k`` per query. Both sides are dealt out by hash,
+    so no cell depends on how values repeat.
     """
     spark = queries.sparkSession
     slices = slices or max(1, -(-_parallelism(spark) // blocks))
@@ -132,10 +131,23 @@ def nearest_blocks(queries: DataFrame, corpus: DataFrame, key: str, vector: str
     )
     local_schema = T.StructType([T.StructField("query", key_type), T.StructField("hits", result)])
     local = cells.mapInArrow(_cell_search(k, arrow_type), local_schema)
-    merged = local.groupBy("query").agg(
-        F.slice(F.sort_array(F.flatten(F.collect_list("hits"))), 1, k).alias("hits")
+    # The rank filter above the window lets every task drop all but k rows per
+    # query before the shuffle, so the number of blocks does not matter here.
+    ranked = local.select("query", F.explode("hits").alias("hit")).withColumn(
+        "rank", F.row_number().over(Window.partitionBy("query").orderBy("hit.score", "hit.position"))
+    )
+    merged = (
+        ranked.where(F.col("rank") <= k)
+        .groupBy(F.col("query").alias(key))
+        .agg(F.array_sort(F.collect_list("hit")).alias("__hits"))
+    )
+    with_flag = queries.withColumn("__asked", F.col(vector).isNotNull()).drop(vector)
+    none = F.array().cast(result)
+    return (
+        with_flag.join(merged, key, "left")
+        .withColumn("hits", F.when(F.col("__asked"), F.coalesce("__hits", none)))
+        .drop("__asked", "__hits")
     )
-    return queries.drop(vector).join(merged.withColumnRenamed("query", key), key, "left")
 
 
 def _parallelism(spark: SparkSession) -> int:

@@ -105,6 +105,38 @@ def merge_into_table(updates: DataFrame, table: str, key: str, columns: Sequence
     ).merge()
 
 
+# How a JSON text column becomes a database vector.
+VECTOR_CASTS = {
+    "sqlserver": "CAST(CAST({column} AS VARCHAR(MAX)) AS VECTOR({dimension}))",
+    "postgresql": "CAST({column} AS vector({dimension}))",
+}
+
+
+def merge_statement(table: str, staging: str, key: str, columns: Sequence[str], dimension: int,
+                    dialect: str = "sqlserver") -> str:
+    """The one statement that moves staged updates into a database table.
+
+    Columns with ``embedding`` in their name are cast to vectors.
+    """
+    values = {
+        c: VECTOR_CASTS[dialect].format(column=f"s.{c}", dimension=dimension) if "embedding" in c.lower() else f"s.{c}"
+        for c in columns
+    }
+    assignments = ", ".join(f"{c} = {value}" for c, value in values.items())
+    return f"MERGE INTO {table} AS t USING {staging} AS s ON t.{key} = s.{key} WHEN MATCHED THEN UPDATE SET {assignments};"
+
+
+def stage_updates(updates: DataFrame, url: str, staging: str, partitions: int, **extra: str) -> None:
+    """Write updates to a staging table over ``partitions`` connections.
+
+    Run :func:`merge_statement` in the database afterwards: rows are then set
+    by one server-side statement instead of one UPDATE each.
+    """
+    updates.coalesce(partitions).write.format("jdbc").options(**jdbc_options(url, staging, **extra)).mode(
+        "overwrite"
+    ).save()
+
+
 def write_snapshot(df: DataFrame, path: str) -> DataFrame:
     """Write a new version of a table; never the path the plan reads from."""
     if any(path.rstrip("/") in file for file in df.inputFiles()):

@@ -86,8 +86,9 @@ def test_missing_query_vectors_and_empty_corpus(spark, data):
     ):
         hits = found(result)
         assert hits[1] is None and hits[0][0][0] == 0 and hits[2][0][0] == 1
-    nothing = knn.nearest(asked, corpus.where("position < 0"), "position")
-    assert found(nothing) == [[], None, []]
+    empty = corpus.where("position < 0")
+    assert found(knn.nearest(asked, empty, "position")) == [[], None, []]
+    assert found(knn.nearest_blocks(asked, empty, "position", blocks=2)) == [[], None, []]
 
 
 def test_wrong_sizes_are_errors(spark, data):

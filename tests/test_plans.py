@@ -35,6 +35,7 @@ def test_block_search_shuffles_vectors_once(spark, folder):
     queries = fx.query_vectors(spark, folder)
     text = plan(knn.nearest_blocks(queries, fx.resolved_corpus(spark, folder, "position"), "query_id", blocks=3))
     assert text.count("shufflepartitionidpassthrough") == text.count("REPARTITION_BY_NUM") > 0
+    assert "WindowGroupLimit" in text
 
 
 def test_pending_filter_reaches_the_scan(spark, folder, tmp_path):

@@ -59,6 +59,16 @@ def test_jdbc_options():
     assert options == {"url": "jdbc:x", "dbtable": "s.t", "fetchsize": "5", "user": "u"}
 
 
+def test_merge_statement():
+    assert tb.merge_statement("p.t", "p.s", "id", ["gs1_segment", "embedding_context"], 1024) == (
+        "MERGE INTO p.t AS t USING p.s AS s ON t.id = s.id WHEN MATCHED THEN UPDATE SET gs1_segment = s.gs1_segment, "
+        "embedding_context = CAST(CAST(s.embedding_context AS VARCHAR(MAX)) AS VECTOR(1024));"
+    )
+    assert "CAST(s.embedding_context AS vector(8))" in tb.merge_statement(
+        "t", "s", "id", ["embedding_context"], 8, "postgresql"
+    )
+
+
 def test_merge_needs_a_table_format_that_can(spark, table):
     spark.sql("DROP TABLE IF EXISTS merge_target")
     table.write.mode("overwrite").saveAsTable("merge_target")
