@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +16,7 @@ from shelfmark.operators import chat, embedding, knn, numbering, reports, tree
 from shelfmark.plans import build_vectors as jb
 from shelfmark.plans import classify as jc
 from shelfmark.plans import embed_rows as je
-from shelfmark.session import work_dir
+from shelfmark.session import run_folder
 from shelfmark.sources import corpus as cp
 from shelfmark.sources import tables as tb
 from shelfmark.sources import taxonomy
@@ -155,7 +154,7 @@ def manifest(spark, folder):
 
 @query
 def corpus_roundtrip(spark, folder):
-    place = f"{work_dir(spark)}/shelfmark/{uuid.uuid4().hex}"
+    place = run_folder(spark)
     cp.save_corpus(fx.corpus(spark, folder), place, "hash-64", "gs1")
     stored, lookup = cp.load_corpus(spark, place, "hash-64", fx.DIMENSION)
     archive = spark.read.parquet(f"{place}/archive")
@@ -376,7 +375,7 @@ def verify_listing(spark, folder):
 
 @query
 def job_build(spark, folder):
-    place = f"{work_dir(spark)}/shelfmark/{uuid.uuid4().hex}"
+    place = run_folder(spark)
     corpus, _ = jb.build_vectors(
         fx.tree_documents(spark, folder), place, embedding.hashing_provider(fx.DIMENSION), fx.DIMENSION, "hash-64"
     )

@@ -20,15 +20,14 @@ def number_rows(df: DataFrame, order: Sequence[str], name: str = "row_no",
 
     One shuffle: rows are range-partitioned by the key, sorted and written with
     their place inside the partition. The row counts per partition, one row
-    each, give every partition its first number. Range partitioning samples its
-    input, so ``df`` should be a scan rather than a long computation.
+    each, give every partition its first number. Without ``partitions`` the
+    adaptive planner joins small neighbouring ranges, which keeps their order.
+    Range partitioning samples its input, so ``df`` should be a scan rather
+    than a long computation.
     """
-    spark = df.sparkSession
-    partitions = partitions or max(
-        int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
-    )
+    bounds = [partitions, *order] if partitions else list(order)
     ranged = (
-        df.repartitionByRange(partitions, *order)
+        df.repartitionByRange(*bounds)
         .sortWithinPartitions(*order)
         .withColumn("__spot", F.monotonically_increasing_id())
     )

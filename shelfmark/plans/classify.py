@@ -13,10 +13,10 @@ from shelfmark.functions import text as tx
 from shelfmark.functions.vectors import with_vector
 from shelfmark.operators import answers as an
 from shelfmark.operators import chat, prompts, reports
-from shelfmark.operators.candidates import with_candidates
+from shelfmark.operators.candidates import path_prefix, with_candidates
 from shelfmark.operators.knn import BROADCAST_BYTES, nearest
 from shelfmark.operators.numbering import assign_batches
-from shelfmark.session import materialize
+from shelfmark.session import materialize, materialize_in_waves, run_folder
 from shelfmark.sources.tables import apply_updates, last_update, pending_rows
 
 
@@ -47,7 +47,11 @@ def prepared_products(table: DataFrame, corpus: DataFrame, key: str, prompt_colu
     context = parsed.select(
         key, "vector_status", "__vector", tx.context_entries(pending, prompt_columns).alias("context")
     )
-    found = with_candidates(nearest(context, corpus, key, "__vector", k, broadcast_bytes))
+    # Hits carry only what candidates are made of.
+    documents = corpus.select(
+        "position", "id", "embedding", "level", "code", "title", path_prefix(F.col("hierarchy_path")).alias("hierarchy_path")
+    )
+    found = with_candidates(nearest(context, documents, key, "__vector", k, broadcast_bytes))
     return found.join(assign_batches(pending, key, batch_rows), key)
 
 
@@ -82,34 +86,45 @@ def classify(table: DataFrame, corpus: DataFrame, key: str, make_provider: Calla
              dimensions: int | None = None, k: int = fixed.TOP_K, batch_rows: int = fixed.PROMPT_ROWS,
              coerce_ids: bool = False, only_null: bool = False, plain: bool = False,
              broadcast_bytes: int = BROADCAST_BYTES, call_partitions: int | None = None,
-             run_folder: str | None = None) -> Classification:
+             folder: str | None = None, waves: int = 1, resume: bool = False,
+             failure_path: str | None = None) -> Classification:
     """Classify the rows whose first target column is NULL.
 
     ``corpus`` comes from ``resolve_metadata``. Every pending row is tried
     once; rows that stay NULL are pending again in the next run. Products with
-    their candidates and the model's responses are written as they are made:
-    later steps read them back and no call is repeated.
+    their candidates, prompts and responses are written under ``folder`` as
+    they are made: later steps read them back and no call is repeated. The
+    responses are committed in ``waves``; a run that broke off goes on with the
+    same ``folder`` and ``resume``. ``call_partitions`` sets how many tasks
+    call the model at once. Failures also go to ``failure_path``, if there are
+    any.
     """
+    folder = folder or run_folder(table.sparkSession)
     products = materialize(
         prepared_products(table, corpus, key, prompt_columns, targets[0], vector, dimensions, k, batch_rows,
                           broadcast_bytes),
-        "products", run_folder,
+        "products", folder, resume,
     )
-    asked = product_prompts(products, key, plain)
-    if call_partitions:
-        asked = asked.repartition(call_partitions)
-    responses = materialize(chat.complete(asked, make_provider), "responses", run_folder)
-    parsed = materialize(an.parse_responses(responses), "parsed", run_folder)
+    asked = materialize(product_prompts(products, key, plain), "prompts", folder, resume)
+
+    def answered(part: DataFrame) -> DataFrame:
+        part = part.repartition(call_partitions) if call_partitions else part
+        return chat.complete(part, make_provider)
+
+    responses = materialize_in_waves(asked, "batch", answered, "responses", folder, waves, resume)
+    parsed = materialize(an.parse_responses(responses), "parsed", folder, resume)
 
     usable = products.where(F.col("vector_status") == "ok")
     matches = materialize(
-        an.match_answers(an.answer_rows(parsed), usable, key, coerce_ids=coerce_ids), "matches", run_folder
+        an.match_answers(an.answer_rows(parsed), usable, key, coerce_ids=coerce_ids), "matches", folder, resume
     )
     results = an.matched_results(matches, key, targets=targets)
     failed_batches = failed_vectors(products).unionByName(
         parsed.where(F.col("error").isNotNull()).select("batch", "error")
     )
     failures = reports.failure_rows(products, failed_batches, key)
+    if failure_path:
+        reports.write_failures(failures, failure_path)
     unresolved = (
         products.select(key, "batch", "vector_status")
         .join(results.select(key), key, "left_anti")

@@ -11,35 +11,38 @@ from shelfmark import fixed
 from shelfmark.functions import text as tx
 from shelfmark.functions.vectors import vector_json
 from shelfmark.operators.embedding import embed
-from shelfmark.session import materialize
+from shelfmark.session import materialize_in_waves, run_folder
 from shelfmark.sources.tables import apply_updates, pending_rows
 
 
-def row_vectors(table: DataFrame, key: str, columns: Sequence[str], target: str, make_provider: Callable,
-                separator: str = fixed.ROW_TEXT_SEPARATOR, call_partitions: int | None = None) -> DataFrame:
-    """Key and vector of each row whose ``target`` is NULL.
-
-    ``call_partitions`` sets how many tasks call the provider at once.
-    """
+def pending_texts(table: DataFrame, key: str, columns: Sequence[str], target: str,
+                  separator: str = fixed.ROW_TEXT_SEPARATOR) -> DataFrame:
+    """Key and ``text`` of each row whose ``target`` is NULL."""
     pending = pending_rows(table, target, [key, *columns])
-    if call_partitions:
-        pending = pending.repartition(call_partitions)
-    texts = pending.select(key, tx.row_text(pending, columns, separator).alias("__text"))
-    return texts.select(key, embed(F.col("__text"), make_provider).alias("vector"))
+    return pending.select(key, tx.row_text(pending, columns, separator).alias("text"))
 
 
 def embed_rows(table: DataFrame, key: str, columns: Sequence[str], make_provider: Callable,
                dimensions: int, target: str = fixed.VECTOR_COLUMN,
                separator: str = fixed.ROW_TEXT_SEPARATOR, call_partitions: int | None = None,
-               run_folder: str | None = None) -> DataFrame:
+               folder: str | None = None, waves: int = 1, resume: bool = False) -> DataFrame:
     """Table with ``target`` filled where it was NULL; other rows stay as they are.
 
-    The vectors are written once, before the update is planned, so the paid
-    calls are not repeated. Text columns get JSON, array columns the vector.
-    A vector of another size than ``dimensions`` stops the job.
+    The vectors are written before the update is planned, so the paid calls are
+    not repeated, in ``waves`` commits under ``folder``; a run that broke off
+    goes on with the same ``folder`` and ``resume``. ``call_partitions`` sets
+    how many tasks call the provider at once. Text columns get JSON, array
+    columns the vector. A vector of another size than ``dimensions`` stops the
+    job.
     """
-    embedded = row_vectors(table, key, columns, target, make_provider, separator, call_partitions)
-    vectors = materialize(embedded, "vectors", run_folder)
+    texts = pending_texts(table, key, columns, target, separator)
+
+    def embedded(part: DataFrame) -> DataFrame:
+        part = part.repartition(call_partitions) if call_partitions else part
+        return part.select(key, embed(F.col("text"), make_provider).alias("vector"))
+
+    folder = folder or run_folder(table.sparkSession)
+    vectors = materialize_in_waves(texts, key, embedded, "vectors", folder, waves, resume)
     wrong = F.raise_error(F.lit(f"a vector has not {dimensions} components"))
     sized = F.when(F.size("vector") == dimensions, F.col("vector")).otherwise(wrong.cast("array<float>"))
     text = table.schema[target].dataType.simpleString() == "string"

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _local_folders: dict[str, str] = {}
 
@@ -28,18 +30,47 @@ def work_dir(spark: SparkSession) -> str:
     return _local_folders[app]
 
 
-def materialize(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
+def materialize(df: DataFrame, label: str, folder: str | None = None, resume: bool = False) -> DataFrame:
     """Write ``df`` once as Parquet and return a scan of what was written.
 
     Cuts the lineage: later branches read the same rows instead of computing
-    them again, also after executors were lost.
+    them again, also after executors were lost. With ``resume`` a table that an
+    earlier run finished in ``folder`` is read and ``df`` is not computed.
     """
     spark = df.sparkSession
-    path = f"{folder or work_dir(spark) + '/shelfmark/' + uuid.uuid4().hex}/{label}"
-    df.write.mode("overwrite").parquet(path)
+    path = f"{folder or run_folder(spark)}/{label}"
+    if not (resume and _finished(spark, path)):
+        df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def materialize_in_waves(inputs: DataFrame, key: str, make: Callable[[DataFrame], DataFrame], label: str,
+                         folder: str, waves: int, resume: bool = False) -> DataFrame:
+    """``make(inputs)`` in ``waves`` writes that are committed one by one.
+
+    For results that are costly to make again: a run that breaks off loses the
+    wave it was in, and with ``resume`` the next run goes on from there. The
+    inputs are split before ``make``, whose Python calls no filter passes.
+    """
+    spark = inputs.sparkSession
+    tables = []
+    for wave in range(waves):
+        part = inputs.where(F.pmod(F.xxhash64(key), F.lit(waves)) == wave) if waves > 1 else inputs
+        tables.append(materialize(make(part), f"{label}/wave-{wave}", folder, resume))
+    paths = [f"{folder}/{label}/wave-{wave}" for wave in range(waves)]
+    return spark.read.schema(tables[0].schema).parquet(*paths)
+
+
+def run_folder(spark: SparkSession) -> str:
+    """A new folder for the intermediate tables of one run."""
+    return f"{work_dir(spark)}/shelfmark/{uuid.uuid4().hex}"
+
+
+def _finished(spark: SparkSession, path: str) -> bool:
+    marker = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """Small session for tests and the bench; a cluster brings its own."""
     return (

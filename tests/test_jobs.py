@@ -63,6 +63,32 @@ def test_embed_rows_resumes(spark, tmp_path):
         embed_rows(table, "id", ["name"], hashing_provider(8), 32).collect()
 
 
+def test_broken_run_goes_on_where_it_stopped(spark, tmp_path):
+    table, folder, calls = product_table(spark, 40), str(tmp_path / "run"), tmp_path / "seen"
+
+    def provider(broken):
+        def make():
+            call = hashing_provider(4)()
+
+            def counted(texts):
+                if broken and calls.exists() and len(calls.read_text().split()) >= 15:
+                    raise RuntimeError("out of quota")
+                with open(calls, "a") as log:
+                    log.write("x\n" * len(texts))
+                return call(texts)
+            return counted
+        return make
+
+    with pytest.raises(Exception, match="quota"):
+        embed_rows(table, "id", ["name"], provider(True), 4, folder=folder, waves=6)
+    before = len(calls.read_text().split())
+    done = embed_rows(table, "id", ["name"], provider(False), 4, folder=folder, waves=6, resume=True)
+    assert done.where("embedding_context IS NOT NULL").count() == 40
+    after = len(calls.read_text().split())
+    # Only the wave that broke off may be embedded twice.
+    assert 0 < before < after < before + 40
+
+
 def test_call_size_and_array_targets(spark):
     seen = []
     df = spark.range(1000).select(F.col("id").cast("string").alias("t")).coalesce(1)
@@ -135,6 +161,20 @@ def test_classify_failures_stay_in_their_batch(spark, corpus):
     assert rows[44].gs1_family == second.gs1_family and first.ordinal < second.ordinal
 
 
+def test_resumed_classification_repeats_no_call(spark, corpus, tmp_path):
+    table = embed_rows(product_table(spark), "id", ["name"], hashing_provider(32), 32)
+    folder = str(tmp_path / "run")
+    one = classify(table, corpus, "id", first_option_provider(), ["name"], TARGETS, dimensions=32, folder=folder, waves=2)
+
+    def dead():
+        raise RuntimeError("called again")
+
+    two = classify(table, corpus, "id", dead, ["name"], TARGETS, dimensions=32, folder=folder, waves=2, resume=True,
+                   failure_path=f"{tmp_path}/failures")
+    assert one.table.exceptAll(two.table).isEmpty() and tuple(two.summary.first()) == (24, 0, 24, 3)
+    assert not (tmp_path / "failures").exists()
+
+
 def test_large_corpus_way_gives_the_same_table(spark, corpus):
     table = embed_rows(product_table(spark), "id", ["name"], hashing_provider(32), 32)
     one = classify(table, corpus, "id", first_option_provider(), ["name"], TARGETS, dimensions=32)
