@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -24,20 +24,16 @@ def read_taxonomy(spark: SparkSession, path: str | list[str], encoding: str = "u
 def top_nodes(documents: DataFrame, key: str = "document", content: str = "content") -> DataFrame:
     """Top-level nodes of each document: ``key``, ``place``, ``node`` (variant).
 
-    ``Schema`` may be a list or one node. A document without it stops the job.
+    ``Schema`` may be a list or one node. A document without it stops the job,
+    and so does one that is no JSON. Each node becomes a variant of its own,
+    so the size limit of variants does not apply to the whole document.
     """
-    text = F.regexp_replace(F.col(content), "^﻿", "")
-    parsed = documents.select(F.col(key), F.parse_json(text).alias("tree"))
-    schema = F.variant_get("tree", "$.Schema", "variant")
-    missing = F.raise_error(F.concat(F.lit("taxonomy without top-level 'Schema': "), F.col(key).cast("string")))
-    checked = parsed.select(
-        key, F.when(schema.isNull() | F.is_variant_null(schema), missing.cast("variant")).otherwise(schema).alias("nodes")
+    text = F.regexp_replace(F.col(content), "^\ufeff", "")
+    listed = F.from_json(text, "Schema array<variant>")["Schema"]
+    single = F.from_json(text, "Schema variant")["Schema"]
+    one = F.when(F.startswith(F.schema_of_variant(single), F.lit("OBJECT")), F.array(single))
+    missing = F.raise_error(
+        F.concat(F.lit("taxonomy without readable top-level 'Schema': "), F.col(key).cast("string"))
     )
-    as_list = F.when(_is_list(F.col("nodes")), F.variant_get("nodes", "$", "array<variant>")).otherwise(
-        F.array("nodes")
-    )
-    return checked.select(key, F.posexplode(as_list).alias("place", "node"))
-
-
-def _is_list(value: Column) -> Column:
-    return F.startswith(F.schema_of_variant(value), F.lit("ARRAY"))
+    nodes = F.coalesce(listed, one, missing.cast("array<variant>"))
+    return documents.select(key, F.posexplode_outer(nodes).alias("place", "node")).where(F.col("place").isNotNull())

@@ -80,12 +80,28 @@ def test_other_encodings(spark, tmp_path, encoding):
     assert nodes.first().title == "Käse"
 
 
-def test_missing_schema_is_an_error(spark):
-    documents = spark.createDataFrame([("d", '{"Other": []}')], "document string, content string")
+@pytest.mark.parametrize("content", [
+    '{"Other": []}', '{"Schema": null}', '{"Schema": 5}', "", "no json", "[]", None,
+    '{"Schema": [{"Title": "a"}, {"Title": "b"', '{"Schema": [{"Title": "a"}, {"Title": "b" "c"}]}', '{"Schema": {"Title": "a"',
+])
+def test_missing_or_broken_schema_is_an_error(spark, content):
+    documents = spark.createDataFrame([("d", content)], "document string, content string")
     with pytest.raises(Exception, match="Schema"):
         top_nodes(documents).collect()
 
 
+def test_empty_schema_has_no_nodes(spark):
+    documents = spark.createDataFrame([("d", '{"Schema": []}')], "document string, content string")
+    assert flatten_tree(top_nodes(documents)).isEmpty()
+
+
+def test_document_larger_than_a_variant(spark, tmp_path):
+    nodes = [{"Code": i, "Title": f"t{i}", "Definition": "d" * 1_000_000, "Childs": [{"Code": -i}]} for i in range(140)]
+    (tmp_path / "big.json").write_text(json.dumps({"Schema": nodes}))
+    found = top_nodes(read_taxonomy(spark, str(tmp_path)))
+    assert found.count() == 140
+
+
 def test_build_and_load(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "t.json").write_text(json.dumps(TREE))
