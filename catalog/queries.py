@@ -159,7 +159,7 @@ def corpus_roundtrip(spark, folder):
     stored, lookup = cp.load_corpus(spark, place, "hash-64", fx.DIMENSION)
     archive = spark.read.parquet(f"{place}/archive")
     dump = spark.read.json(f"{place}/metadata")
-    total = F.aggregate(F.from_json("embedding", "array<double>"), F.lit(0.0), lambda a, x: a + x)
+    total = F.aggregate(F.from_json("embedding", "array<float>"), F.lit(0.0), lambda a, x: a + x.cast("double"))
     return (
         stored.select(F.lit("corpus").alias("part"), "id", "text", F.col("position").cast("double").alias("number"))
         .unionByName(archive.select(F.lit("archive").alias("part"), "id", "text", total.alias("number")))

@@ -34,8 +34,8 @@ def squared_l2(left: Column, right: Column) -> Column:
 
 
 def vector_json(vector: Column) -> Column:
-    """Vector as JSON text."""
-    return F.to_json(vector.cast("array<double>"))
+    """Vector as JSON text; single precision keeps its short decimal forms."""
+    return F.to_json(vector)
 
 
 def with_vector(df: DataFrame, name: str, dimension: int | None = None,

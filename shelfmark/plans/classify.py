@@ -20,6 +20,10 @@ from shelfmark.session import materialize, materialize_in_waves, run_folder
 from shelfmark.sources.tables import apply_updates, last_update, pending_rows
 
 
+# What a hit shows where the corpus was resolved without the field.
+_ABSENT = {"level": 0, "code": "", "title": ""}
+
+
 @dataclass
 class Classification:
     """What a run gives: the new table and what it says about each pending row."""
@@ -49,7 +53,9 @@ def prepared_products(table: DataFrame, corpus: DataFrame, key: str, prompt_colu
     )
     # Hits carry only what candidates are made of.
     documents = corpus.select(
-        "position", "id", "embedding", "level", "code", "title", path_prefix(F.col("hierarchy_path")).alias("hierarchy_path")
+        "position", "id", "embedding",
+        *[F.col(f) if f in corpus.columns else F.lit(absent).alias(f) for f, absent in _ABSENT.items()],
+        path_prefix(F.col("hierarchy_path")).alias("hierarchy_path"),
     )
     found = with_candidates(nearest(context, documents, key, "__vector", k, broadcast_bytes))
     return found.join(assign_batches(pending, key, batch_rows), key)
@@ -100,6 +106,9 @@ def classify(table: DataFrame, corpus: DataFrame, key: str, make_provider: Calla
     any.
     """
     folder = folder or run_folder(table.sparkSession)
+    if dimensions is None:
+        # A vector of another size than the corpus has fails its batch.
+        dimensions = corpus.agg(F.max(F.size("embedding"))).first()[0]
     products = materialize(
         prepared_products(table, corpus, key, prompt_columns, targets[0], vector, dimensions, k, batch_rows,
                           broadcast_bytes),

@@ -182,6 +182,16 @@ def test_large_corpus_way_gives_the_same_table(spark, corpus):
     assert one.table.exceptAll(two.table).isEmpty() and two.table.count() == 25
 
 
+def test_vectors_of_another_size_and_lean_metadata(spark, corpus):
+    table = embed_rows(product_table(spark, 12), "id", ["name"], hashing_provider(32), 32)
+    table = table.withColumn("embedding_context", F.when(F.col("id") == 0, "[1.0]").otherwise(F.col("embedding_context")))
+    lean = corpus.select("position", "id", "embedding", "hierarchy_path")
+    run = classify(table, lean, "id", first_option_provider(), ["name"], TARGETS)
+    assert tuple(run.summary.first()) == (1, 10, 11, 2)
+    row = run.table.where("id = 11").first()
+    assert row.gs1_brick == "Brown Bread" and row.gs1_attribute == ""
+
+
 def test_orchestrated_example(spark, corpus):
     flat = corpus.withColumn("embedding", F.array_repeat(F.lit(0.1).cast("float"), 1024)).where("position = 2")
     table = spark.createDataFrame([(1, "Whole grain bread", json.dumps([0.1] * 1024), None)], "id int, product_name string, embedding_context string, gs1_segment string")
