@@ -256,6 +256,9 @@ ORACLES["l2_normalize"] = _with(UNIT) + """
 SELECT vec_id, CAST(component AS INTEGER) AS component, round(v[component + 1], 6) + 0.0 AS value
 FROM unit, range(64) r(component)"""
 
+ORACLES["squared_distance"] = _with(UNIT) + """
+SELECT a.vec_id, round(list_distance(a.v, b.v) ** 2, 6) + 0.0 AS score FROM unit a JOIN unit b ON b.vec_id = a.vec_id + 1"""
+
 ORACLES["knn_single"] = _with(CORPUS, UNIT) + """
 SELECT c.vec_id AS position, k.id, round(list_distance(q.v, c.v) ** 2, 6) + 0.0 AS score
 FROM unit c JOIN corpus k ON k.position = c.vec_id, (SELECT v FROM unit ORDER BY vec_id LIMIT 1) q
@@ -439,10 +442,24 @@ ORACLES["job_embed"] = _with(
 ) + """
 SELECT doc_id, coalesce('[' || quality || ']', vector) AS embedding_context
 FROM labelled LEFT JOIN vectors ON key = doc_id"""
-ORACLES["job_classify"] = _with(BY_CODE, NEAREST, HITS, CANDIDATES, PREPARED) + f"""
+
+_JOB = _with(BY_CODE, NEAREST, HITS, CANDIDATES, PREPARED) + f"""
 , chosen AS (
     SELECT product_id, {SIX_COLUMNS} FROM asked JOIN full_options ON query_id = product_id AND rank = 1
+),
+failed AS (
+    SELECT product_id, batch, 'malformed vector' AS error FROM numbered
+    WHERE batch IN (SELECT batch FROM numbered WHERE vector_status = 'failed')
 )
+"""
+ORACLES["job_classify"] = _JOB + """
 SELECT p.product_id, coalesce(c.gs1_segment, p.gs1_segment) AS gs1_segment,
        coalesce(c.gs1_family, p.gs1_family) AS gs1_family, c.gs1_class, c.gs1_brick, c.gs1_attribute, c.gs1_attribute_value
 FROM products p LEFT JOIN chosen c ON c.product_id = p.product_id"""
+ORACLES["job_summary"] = _JOB + """
+SELECT c.n AS classified, f.n AS failed, c.n + f.n AS total, (p.n + 9) // 10 AS batches
+FROM (SELECT count(*) AS n FROM chosen) c, (SELECT count(*) AS n FROM failed) f, (SELECT count(*) AS n FROM numbered) p"""
+ORACLES["job_unresolved"] = _JOB + """
+SELECT product_id, batch, vector_status FROM numbered
+WHERE product_id NOT IN (SELECT product_id FROM chosen) AND product_id NOT IN (SELECT product_id FROM failed)"""
+ORACLES["failure_log"] = _JOB + "SELECT product_id, batch, error FROM failed"

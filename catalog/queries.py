@@ -44,6 +44,14 @@ def l2_normalize(spark, folder):
     )
 
 
+@query
+def squared_distance(spark, folder):
+    vectors = fx.table(spark, folder, "embeddings").select("vec_id", "embedding")
+    following = vectors.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("next"))
+    distance = vx.squared_l2(vx.l2_normalize(F.col("embedding")), vx.l2_normalize(F.col("next")))
+    return vectors.join(following, "vec_id").select("vec_id", distance.alias("score")).select("vec_id", _rounded("score"))
+
+
 @query
 def knn_single(spark, folder):
     first = fx.table(spark, folder, "embeddings").agg(F.min_by("embedding", "vec_id")).first()[0]
@@ -394,10 +402,30 @@ def job_embed(spark, folder):
     return done.select("doc_id", "embedding_context")
 
 
-@query
-def job_classify(spark, folder):
-    run = jc.classify(
+def _classified(spark, folder, **options):
+    return jc.classify(
         fx.products(spark, folder), fx.resolved_corpus(spark, folder), "product_id", chat.first_option_provider(),
-        fx.PROMPT_COLUMNS, fx.TARGETS, dimensions=fx.DIMENSION,
+        fx.PROMPT_COLUMNS, fx.TARGETS, dimensions=fx.DIMENSION, **options,
     )
-    return run.table.select("product_id", *fx.TARGETS)
+
+
+@query
+def job_classify(spark, folder):
+    return _classified(spark, folder).table.select("product_id", *fx.TARGETS)
+
+
+@query
+def job_summary(spark, folder):
+    return _classified(spark, folder).summary
+
+
+@query
+def job_unresolved(spark, folder):
+    return _classified(spark, folder).unresolved
+
+
+@query
+def failure_log(spark, folder):
+    place = f"{run_folder(spark)}/failures"
+    run = _classified(spark, folder, failure_path=place)
+    return spark.read.schema(run.failures.schema).json(place)
