@@ -15,12 +15,8 @@ def l2_norm(vector: Column) -> Column:
 def l2_normalize(vector: Column) -> Column:
     """Vector over its length as ``array<double>``; a zero vector stays zero."""
     # The one-element array evaluates the norm once per row, not per component.
-    scaled = F.transform(
-        F.array(l2_norm(vector)),
-        lambda norm: F.transform(
-            vector, lambda x: F.when(norm > 0, x.cast("double") / norm).otherwise(x.cast("double"))
-        ),
-    )
+    divisor = F.transform(F.array(l2_norm(vector)), lambda norm: F.when(norm > 0, norm).otherwise(1.0))
+    scaled = F.transform(divisor, lambda norm: F.transform(vector, lambda x: x.cast("double") / norm))
     return F.get(scaled, F.lit(0))
 
 
