@@ -2,21 +2,45 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shelfmark.llm import simhash_vptree, streaming_dedup
+from shelfmark.llm import packing, pii_surrogates, simhash_vptree, streaming_dedup, toxicity_crf
+
+PACK_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+SURROGATE_KEY = "surrogates of this corpus"
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, folder, "documents"), PACK_TOKENIZER, end_id=2, max_tokens=1024)
+
+
+def op2_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    return pii_surrogates.replace_private(_table(spark, folder, "documents"), SURROGATE_KEY).select(
+        "doc_id", "text", "private_kinds", F.size("private_kinds").alias("replaced"))
+
+
 def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_vptree.simhash_groups(_table(spark, folder, "documents"), shingle_words=4, max_distance=4)
 
 
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity_crf.toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return streaming_dedup.exact_dedup(_table(spark, folder, "documents"))
 
 
-QUERIES = {"op3_simhash": op3_simhash, "op6_exact_dedup": op6_exact_dedup}
+QUERIES = {
+    "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_pii_surrogates": op2_pii_surrogates,
+    "op3_simhash": op3_simhash,
+    "op5_toxicity": op5_toxicity,
+    "op6_exact_dedup": op6_exact_dedup,
+}
