@@ -20,7 +20,11 @@ from pyspark.sql import functions as F
 from shelfmark.llm.common import lower_ascii, new_folder
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": _ROCKSDB,
+    # Many small stores: do not reserve disk for each of them in advance.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 INBOX = "doc_id bigint, row bigint, digest string, bytes bigint"
 
 
@@ -56,8 +60,9 @@ class DedupState:
     def feed(self, docs: DataFrame) -> None:
         """Add documents and bring the state up to date."""
         self._digests(docs).write.mode("append").parquet(f"{self.folder}/inbox")
-        before = self.spark.conf.get(_PROVIDER, None)
-        self.spark.conf.set(_PROVIDER, _ROCKSDB)
+        before = {name: self.spark.conf.get(name, None) for name in _SETTINGS}
+        for name, value in _SETTINGS.items():
+            self.spark.conf.set(name, value)
         try:
             arriving = self.spark.readStream.schema(INBOX).option("maxFilesPerTrigger", self.files_per_batch).parquet(
                 f"{self.folder}/inbox")
@@ -68,10 +73,11 @@ class DedupState:
                 "checkpointLocation", f"{self.folder}/state").start()
             query.awaitTermination()
         finally:
-            if before is None:
-                self.spark.conf.unset(_PROVIDER)
-            else:
-                self.spark.conf.set(_PROVIDER, before)
+            for name, value in before.items():
+                if value is None:
+                    self.spark.conf.unset(name)
+                else:
+                    self.spark.conf.set(name, value)
 
     def state(self) -> DataFrame:
         """The state as a table: digest, keep_id, keep_row, keep_bytes, group_size."""
