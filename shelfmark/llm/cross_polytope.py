@@ -78,7 +78,7 @@ def distinct_vectors(vectors: DataFrame, keep: int) -> DataFrame:
     return vectors.withColumn("place", F.row_number().over(same)).where(F.col("place") <= keep).drop("place")
 
 
-def search(rows: DataFrame, queries: DataFrame, k: int = 5, tables: int = 8, probes: int = 8, seed: int = 7,
+def search(rows: DataFrame, queries: DataFrame, k: int = 5, tables: int = 10, probes: int = 12, seed: int = 7,
            cell_rows: int = 8192) -> DataFrame:
     """The ``k`` nearest of ``rows(id, vector)`` found for every one of ``queries(id, vector)``, by cosine.
 

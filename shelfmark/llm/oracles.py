@@ -9,4 +9,41 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(d.t) AS tex
 FROM d JOIN g ON d.t = g.t
 """
 
-ORACLES = {"op6_exact_dedup": OP6}
+# Records, digests and damage of the archives; the damage follows from the page's number.
+OP9 = """
+WITH p AS (SELECT page_id, page_id // 512 AS archive, url, coalesce(html, '') AS html,
+    page_id % 101 = 7 AS lost,
+    CASE WHEN page_id % 97 = 13 THEN substr(html, 1, 19) || '#' || substr(html, 21)
+         WHEN page_id % 103 = 5 THEN substr(html, 1, 100) ELSE html END AS other FROM pages),
+r AS (SELECT *, 'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10)
+    || 'WARC-Record-ID: <urn:page:' || page_id || '>' || chr(13) || chr(10) || 'WARC-Target-URI: ' || url
+    || chr(13) || chr(10) || 'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: '
+    || strlen(html) || chr(13) || chr(10) || chr(13) || chr(10) || html || chr(13) || chr(10) || chr(13) || chr(10)
+    AS record FROM p),
+m AS (SELECT archive, row_number() OVER w - 1 AS place, page_id, sum(strlen(record)) OVER w AS stop,
+    strlen(record) AS bytes, sha256(record) AS sha256,
+    CASE WHEN lost THEN 'missing' WHEN other <> html THEN 'altered' ELSE 'intact' END AS status
+    FROM r WINDOW w AS (PARTITION BY archive ORDER BY page_id)),
+n0 AS (SELECT archive, place, stop - bytes AS begin, stop,
+    sha256(sha256 || ':' || (stop - bytes)::bigint || ':' || stop::bigint) AS digest FROM m),
+n1 AS (SELECT archive, place // 16 AS place, min(begin) AS begin, max(stop) AS stop,
+    sha256(string_agg(digest, '' ORDER BY place) || ':' || min(begin)::bigint || ':' || max(stop)::bigint) AS digest
+    FROM n0 GROUP BY archive, place // 16),
+n2 AS (SELECT archive, place // 16 AS place, min(begin) AS begin, max(stop) AS stop,
+    sha256(string_agg(digest, '' ORDER BY place) || ':' || min(begin)::bigint || ':' || max(stop)::bigint) AS digest
+    FROM n1 GROUP BY archive, place // 16),
+n3 AS (SELECT archive, min(begin) AS begin, max(stop) AS stop,
+    sha256(string_agg(digest, '' ORDER BY place) || ':' || min(begin)::bigint || ':' || max(stop)::bigint) AS digest
+    FROM n2 GROUP BY archive),
+-- Trees end at the first level on which every archive has one node.
+top AS (SELECT CASE WHEN (SELECT max(place) FROM n0) = 0 THEN 0 WHEN (SELECT max(place) FROM n1) = 0 THEN 1
+    WHEN (SELECT max(place) FROM n2) = 0 THEN 2 ELSE 3 END AS level),
+roots AS (SELECT archive, digest FROM n3, top WHERE level = 3
+    UNION ALL SELECT archive, digest FROM n2, top WHERE level = 2
+    UNION ALL SELECT archive, digest FROM n1, top WHERE level = 1
+    UNION ALL SELECT archive, digest FROM n0, top WHERE level = 0)
+SELECT m.archive, place, page_id, (stop - bytes)::bigint AS begin, stop::bigint AS stop, sha256, status, digest AS root
+FROM m JOIN roots USING (archive)
+"""
+
+ORACLES = {"op6_exact_dedup": OP6, "op9_warc_fixity": OP9}

@@ -6,9 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import packing, pii_surrogates, simhash_vptree, streaming_dedup, toxicity_crf
+from shelfmark.llm import (
+    cross_polytope, language_centroids, packing, pii_surrogates, quality_rff, sentencepiece_prefix, simhash_vptree,
+    streaming_dedup, toxicity_crf, warc_fixity)
 
 PACK_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 SURROGATE_KEY = "surrogates of this corpus"
 
 
@@ -29,6 +32,12 @@ def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_vptree.simhash_groups(_table(spark, folder, "documents"), shingle_words=4, max_distance=4)
 
 
+def op4_cross_polytope(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = _table(spark, folder, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    found = cross_polytope.search(vectors, vectors.where(F.pmod("id", F.lit(50)) == 0), k=5)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity_crf.toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
@@ -37,10 +46,38 @@ def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return streaming_dedup.exact_dedup(_table(spark, folder, "documents"))
 
 
+def op7_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    ids = sentencepiece_prefix.encode_documents(_table(spark, folder, "documents"), PIECE_MODEL)
+    return sentencepiece_prefix.digests(sentencepiece_prefix.decode_ids(ids, PIECE_MODEL))
+
+
+def op8_language_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    return language_centroids.language_of(_table(spark, folder, "documents"))
+
+
+def op9_warc_fixity(spark: SparkSession, folder: str) -> DataFrame:
+    """Audits the archives of all pages against a copy with lost, overwritten and shortened records."""
+    pages = _table(spark, folder, "pages")
+    page = F.col("page_id")
+    damaged = F.when(page % 97 == 13, F.overlay("html", F.lit("#"), 20)).when(
+        page % 103 == 5, F.substring("html", 1, 100)).otherwise(F.col("html"))
+    copy = pages.where(page.isNull() | (page % 101 != 7)).withColumn("html", damaged)
+    return warc_fixity.fixity_audit(warc_fixity.archive_records(pages), warc_fixity.archive_records(copy))
+
+
+def op10_quality_rff(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rff.quality(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_pii_surrogates": op2_pii_surrogates,
     "op3_simhash": op3_simhash,
+    "op4_cross_polytope": op4_cross_polytope,
     "op5_toxicity": op5_toxicity,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_sentencepiece": op7_sentencepiece,
+    "op8_language_centroids": op8_language_centroids,
+    "op9_warc_fixity": op9_warc_fixity,
+    "op10_quality_rff": op10_quality_rff,
 }
