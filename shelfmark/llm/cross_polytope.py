@@ -15,6 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -63,9 +64,10 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & ~F.exists(vector, bad) & F.exists(vector, lambda v: v != 0)
 
 
-def _matrix(column) -> np.ndarray:
-    flat = column.flatten().to_numpy(zero_copy_only=False)
-    return flat.reshape(len(column), -1).astype(float)
+def _matrix(column: pa.Array, size: int) -> np.ndarray:
+    if pc.any(pc.not_equal(pc.list_value_length(column), size)).as_py():
+        raise ValueError(f"a vector does not have {size} components")
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), size)
 
 
 def distinct_vectors(vectors: DataFrame, keep: int) -> DataFrame:
@@ -108,7 +110,7 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 5, tables: int = 10, pr
             for batch in batches:
                 if not batch.num_rows:
                     continue
-                vectors = _matrix(batch.column(1))
+                vectors = _matrix(batch.column(1), size)
                 for table in range(tables):
                     buckets = index.buckets(vectors, table, count)
                     for probe in range(count):

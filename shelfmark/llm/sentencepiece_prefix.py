@@ -11,9 +11,9 @@ end there, also for texts without any space.
 
 from __future__ import annotations
 
+import codecs
 from collections.abc import Iterator
 
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -48,7 +48,7 @@ class PrefixEncoder:
             b"" if p.type == kinds.CONTROL else bytes([int(p.piece[1:-1], 16)]) if p.type == kinds.BYTE
             else trainer.unk_surface.encode() if p.type == kinds.UNKNOWN
             else p.piece.replace(_BLANK, " ").encode() for p in described.pieces]
-        self.is_byte = np.array([p.type == kinds.BYTE for p in described.pieces])
+        self.normal = [p.type == kinds.NORMAL for p in described.pieces]
         # Pieces that merging their own characters does not give never occur.
         reached = [piece for piece in self.ids if len(piece) == 1 or self.merged(piece) == [piece]]
         self.automaton = ahocorasick.Automaton()
@@ -150,14 +150,14 @@ class PrefixEncoder:
     def decode(self, ids: list[int]) -> str:
         """Text of ids; control ids have none and the blank that encoding put in front goes again."""
         data = b"".join(map(self.bytes.__getitem__, ids))
-        if self.prefix_blank and data[:1] == b" " and not self._starts_with_bytes(ids):
+        first = next((i for i in ids if self.bytes[i]), None)
+        if self.prefix_blank and first is not None and self.normal[first] and data[:1] == b" ":
             data = data[1:]
-        return data.decode("utf-8", "replace")
+        return data.decode("utf-8", "each_byte")
 
-    def _starts_with_bytes(self, ids: list[int]) -> bool:
-        first = next((i for i in ids if self.bytes[i]), None)
-        return first is not None and bool(self.is_byte[first])
 
+# Every byte that is no part of a character is one replacement character.
+codecs.register_error("each_byte", lambda error: ("\ufffd" * (error.end - error.start), error.end))
 
 _encoders: dict[str, PrefixEncoder] = {}
 

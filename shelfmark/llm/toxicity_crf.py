@@ -216,6 +216,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 3000, windows: int
                             if lexicon else F.lit(False))
     rows = sample_of_class(marked.withColumn("key", F.xxhash64("doc_id", "place")), "key", F.col("hit"),
                            windows // 2).select("words", "toxic").collect()
+    if not rows:
+        return ChainModel(document=(-8.0, 0.0, 0.0))
     rows.sort(key=lambda r: r.words)
     tags = [np.array([r.toxic and not lexicon.isdisjoint(features(w)) for w in r.words]) for r in rows]
     model = train_chain([r.words for r in rows], tags)
