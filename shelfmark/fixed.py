@@ -11,10 +11,6 @@ EXCLUDES_PREFIX = "Excludes: "
 
 # Default column names and sizes of the three jobs.
 LOOKUP_FIELDS = ["level", "code", "title", "hierarchy_path", "hierarchy_string"]
-ROW_TEXT_COLUMNS = [
-    "store", "country", "product_name", "product_name_en",
-    "category", "packaging_type", "packaging_value", "packaging_unit",
-]
 ROW_TEXT_SEPARATOR = " * "
 PROMPT_COLUMNS = [
     "store", "country", "product_name", "product_name_en",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,19 +16,34 @@ def strip(text: Column) -> Column:
     return F.regexp_replace(text, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed once however often ``body`` uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def float_text(value: Column) -> Column:
     """Shortest decimal text of a double: positional from 1e-4 up to 1e16.
 
     Spark's cast turns to scientific notation at 1e7 already, has no sign or
     padding in the exponent, and may print a digit more than is needed.
+    Subnormal numbers keep the digits of Spark's cast.
     """
-    raw = _shortest(value.cast("double"))
-    sign = F.regexp_extract(raw, r"^(-?)", 1)
-    whole = F.regexp_extract(raw, r"^-?(\d)\.\d+E", 1)
-    rest = F.regexp_replace(F.regexp_extract(raw, r"^-?\d\.(\d+)E", 1), r"0+$", "")
-    exponent = F.regexp_extract(raw, r"E(-?\d+)$", 1).cast("int")
-    digits = F.concat(whole, rest)
-    point = exponent + 1
+    return let(_shortest(value.cast("double")), _positional)
+
+
+def _positional(raw: Column) -> Column:
+    parts = F.struct(
+        F.regexp_extract(raw, r"^(-?)", 1).alias("sign"),
+        F.regexp_extract(raw, r"^-?(\d)\.\d+E", 1).alias("whole"),
+        F.regexp_replace(F.regexp_extract(raw, r"^-?\d\.(\d+)E", 1), r"0+$", "").alias("rest"),
+        F.regexp_extract(raw, r"E(-?\d+)$", 1).cast("int").alias("exponent"),
+    )
+    return F.when(~F.contains(raw, F.lit("E")), raw).otherwise(let(parts, _from_parts))
+
+
+def _from_parts(parts: Column) -> Column:
+    sign, exponent = parts["sign"], parts["exponent"]
+    digits, point = F.concat(parts["whole"], parts["rest"]), exponent + 1
     large = F.concat(
         sign,
         F.rpad(F.substring(digits, F.lit(1), point), point, "0"),
@@ -36,32 +51,36 @@ def float_text(value: Column) -> Column:
         F.when(F.length(digits) > point, F.substring(digits, point + 1, F.lit(32))).otherwise("0"),
     )
     small = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -point), digits)
+    power = F.abs(exponent).cast("string")
     scientific = F.concat(
         sign,
-        whole,
-        F.when(rest != "", F.concat(F.lit("."), rest)).otherwise(""),
+        parts["whole"],
+        F.when(parts["rest"] != "", F.concat(F.lit("."), parts["rest"])).otherwise(""),
         F.lit("e"),
         F.when(exponent < 0, "-").otherwise("+"),
-        F.lpad(F.abs(exponent).cast("string"), F.greatest(F.length(F.abs(exponent).cast("string")), F.lit(2)), "0"),
-    )
-    return (
-        F.when(~F.contains(raw, F.lit("E")), raw)
-        .when(exponent.between(0, 15), large)
-        .when(exponent.between(-4, -1), small)
-        .otherwise(scientific)
+        F.lpad(power, F.greatest(F.length(power), F.lit(2)), "0"),
     )
+    return F.when(exponent.between(0, 15), large).when(exponent.between(-4, -1), small).otherwise(scientific)
 
 
 def _shortest(value: Column) -> Column:
     """Spark's text of a double, or a shorter one that reads back as the same."""
-    raw = value.cast("string")
-    many = F.length(F.regexp_replace(F.regexp_replace(raw, "E.*", ""), r"\D", "")) > 15
-    shorter = [
-        F.regexp_replace(F.format_string(pattern, value), r"e\+?(-?)0*(\d)", "E$1$2") for pattern in ("%.14e", "%.15e", "%.16e")
-    ]
-    return F.when(
-        many & ~F.isnan(value), F.coalesce(*[F.when(s.cast("double") == value, s) for s in shorter], raw)
-    ).otherwise(raw)
+
+    def choose(raw: Column) -> Column:
+        many = F.length(F.regexp_replace(F.regexp_replace(raw, "E.*", ""), r"\D", "")) > 15
+        shorter = F.array(*[
+            F.regexp_replace(F.format_string(pattern, value), r"e\+?(-?)0*(\d)", "E$1$2")
+            for pattern in ("%.14e", "%.15e", "%.16e")
+        ])
+        same = F.get(F.filter(shorter, lambda s: s.cast("double") == value), F.lit(0))
+        return F.when(many & ~F.isnan(value), F.coalesce(same, raw)).otherwise(raw)
+
+    return let(value.cast("string"), choose)
+
+
+def storable(text: str | None) -> str | None:
+    """A Python text with what UTF-8 cannot hold (halves of surrogate pairs) replaced."""
+    return None if text is None else text.encode("utf-8", "replace").decode("utf-8")
 
 
 def filled_text(df: DataFrame, name: str) -> Column:

@@ -47,9 +47,12 @@ def parse_responses(responses: DataFrame, content: str = "content", error: str =
 def _read_answers(text: str | None) -> dict:
     """Answers of one response, or the error that fails it."""
     try:
-        items = _answer_list(text)
-    except (TypeError, RecursionError) as problem:
-        return {"answers": None, "error": str(problem)}
+        return _checked_answers(_answer_list(text))
+    except (TypeError, ValueError, OverflowError, RecursionError) as problem:
+        return {"answers": None, "error": tx.storable(str(problem)) or type(problem).__name__}
+
+
+def _checked_answers(items: list | None) -> dict:
     if items is None:
         return {"answers": None, "error": fixed.UNPARSEABLE}
     answers = []
@@ -58,7 +61,8 @@ def _read_answers(text: str | None) -> dict:
         if problem:
             return {"answers": None, "error": problem}
         key, shown = _typed_key(item.get("product_id"))
-        answers.append({"id_key": key, "id_text": shown, "choice": item.get("choice", "").strip().upper()})
+        choice = tx.storable(item.get("choice", "").strip().upper())
+        answers.append({"id_key": tx.storable(key), "id_text": tx.storable(shown), "choice": choice})
     return {"answers": answers, "error": None}
 
 
@@ -75,7 +79,7 @@ def _answer_problem(item) -> str | None:
 def _answer_list(text: str | None) -> list | None:
     try:
         value = json.loads(text)
-    except (json.JSONDecodeError, TypeError):
+    except (ValueError, TypeError):  # a number of too many digits is a plain ValueError
         value = None
     if isinstance(value, dict):
         value = next((v for v in value.values() if isinstance(v, list)), None)
@@ -84,7 +88,7 @@ def _answer_list(text: str | None) -> list | None:
     stretch = re.search(r"\[.*\]", text, re.DOTALL)
     try:
         return json.loads(stretch.group()) if stretch else None
-    except json.JSONDecodeError:
+    except ValueError:
         return None
 
 

@@ -6,8 +6,6 @@ so grouping, ranking and labelling stay inside the row: no shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,7 +28,7 @@ def with_candidates(df: DataFrame, hits: str = "hits", out: str = "candidates")
 def candidate_array(hits: Column) -> Column:
     """Candidates of one array of hits.
 
-    ``_let`` gives a name to each intermediate array. A lambda that referred to
+    ``let`` gives a name to each intermediate array. A lambda that referred to
     an outer column instead would compute that column again for every element
     once Catalyst merges the projections.
     """
@@ -42,16 +40,11 @@ def candidate_array(hits: Column) -> Column:
         groups = F.transform(keys, lambda key: F.filter(found, lambda h: h["key"] == key))
         return F.transform(groups, _candidate)
 
-    return _let(usable, build)
-
-
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of ``value``, which is computed once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    return tx.let(usable, build)
 
 
 def _keyed(hit: Column) -> Column:
-    return _let(
+    return tx.let(
         path_prefix(hit["hierarchy_path"]),
         lambda path: F.struct(
             hit["score"].alias("score"),

@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfmark.functions import text as tx
+
 # A provider maps (system, user) to {"content": str, "usage": {"prompt_tokens": ...}}.
 Chat = Callable[[str, str], dict[str, Any]]
 
@@ -33,11 +35,9 @@ def complete(prompts: DataFrame, make_provider: Callable[[], Chat], batch: str =
             rows = []
             for system, user in zip(systems.to_pylist(), users.to_pylist()):
                 try:
-                    answer = provider(system, user)
-                    usage = {name: answer["usage"].get(name) for name in _USAGE}
-                    rows.append({"content": answer["content"], **usage, "error": None})
+                    rows.append(_checked(provider(system, user)))
                 except Exception as problem:
-                    rows.append({"error": str(problem) or type(problem).__name__})
+                    rows.append({"error": tx.storable(str(problem)) or type(problem).__name__})
             ints = [(name, pa.int32()) for name in _USAGE]
             yield pa.array(rows, pa.struct([("content", pa.string()), *ints, ("error", pa.string())]))
 
@@ -46,6 +46,16 @@ def complete(prompts: DataFrame, make_provider: Callable[[], Chat], batch: str =
     return prompts.select(batch, once("system_message", "user_message").alias("answer")).select(batch, "answer.*")
 
 
+def _checked(answer: dict[str, Any]) -> dict[str, Any]:
+    """Row of an answer. Content that is no text fails; counts that are no numbers are unknown."""
+    content, usage = answer["content"], answer.get("usage")
+    if not isinstance(content, str):
+        raise TypeError("the content of an answer is not text")
+    counts = {name: usage.get(name) if isinstance(usage, dict) else None for name in _USAGE}
+    whole = {n: c if type(c) is int and abs(c) < 2**31 else None for n, c in counts.items()}
+    return {"content": tx.storable(content), **whole, "error": None}
+
+
 def first_option_provider(letter: str = "A") -> Callable[[], Chat]:
     """Offline provider: answers ``letter`` for every product of the prompt.
 
