@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,12 +19,14 @@ EmbedBatch = Callable[[list[str]], "list[list[float]] | np.ndarray"]
 
 
 def embed(text: Column, make_provider: Callable[[], EmbedBatch],
-          call_rows: int = fixed.EMBED_CALL_ROWS) -> Column:
+          call_rows: int = fixed.EMBED_CALL_ROWS, dimensions: int | None = None) -> Column:
     """Vector of ``text`` as ``array<float>``.
 
     ``make_provider`` runs once per task, so clients and models are built
     there. Each call gets at most ``call_rows`` texts. Concurrency is the
-    number of partitions of the DataFrame.
+    number of partitions of the DataFrame. A vector of another size than
+    ``dimensions``, or with components that are no finite numbers, is an error
+    as soon as the call returns it.
     """
 
     @F.arrow_udf("array<float>")
@@ -31,7 +34,7 @@ def embed(text: Column, make_provider: Callable[[], EmbedBatch],
         provider = make_provider()
         for texts in batches:
             parts = [
-                _as_lists(provider(texts.slice(start, call_rows).to_pylist()))
+                _sized(_as_lists(provider(texts.slice(start, call_rows).to_pylist())), dimensions)
                 for start in range(0, len(texts), call_rows)
             ]
             yield pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.float32()))
@@ -48,6 +51,16 @@ def _as_lists(vectors) -> pa.Array:
     return pa.array(vectors, pa.list_(pa.float32()))
 
 
+def _sized(vectors: pa.Array, dimensions: int | None) -> pa.Array:
+    if dimensions is not None and len(vectors):
+        sizes = pc.list_value_length(vectors).to_numpy(zero_copy_only=False)
+        if (sizes != dimensions).any():
+            raise ValueError(f"a vector has not {dimensions} components")
+        if not np.isfinite(vectors.flatten().to_numpy(zero_copy_only=False)).all():
+            raise ValueError("a vector has components that are no finite numbers")
+    return vectors
+
+
 def hashing_provider(dimension: int) -> Callable[[], EmbedBatch]:
     """Offline provider: each token adds +1 or -1 to one component.
 
@@ -103,11 +116,15 @@ def vector_problems(df: DataFrame, vector: str, dimension: int) -> DataFrame:
 def check_vectors(df: DataFrame, vector: str, dimension: int | None = None) -> None:
     """Raise unless every row has a vector, all of ``dimension`` components.
 
-    Without ``dimension`` they only have to be of one size.
+    Without ``dimension`` they only have to be of one size. Components have to
+    be finite numbers.
     """
     if dimension is None:
         dimension = df.agg(F.max(F.size(vector))).first()[0] or 0
     found = vector_problems(df, vector, dimension).first()
+    odd = F.exists(F.col(vector), lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
+    if not df.where(odd).isEmpty():
+        raise ValueError("a vector has components that are no finite numbers")
     if found["missing"] or found["wrong_size"]:
         raise ValueError(
             f"{found['missing']} of {found['rows']} rows have no vector, "

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from shelfmark import fixed
+from shelfmark.session import materialize
 
 SCORE_DECIMALS = 12
 BROADCAST_BYTES = 256 * 1024**2
@@ -60,7 +61,8 @@ def nearest(queries: DataFrame, corpus: DataFrame, key: str, vector: str = "vect
 def corpus_stats(corpus: DataFrame) -> DataFrame:
     """One row: ``rows``, and ``bytes`` of vectors and metadata in memory."""
     payload = F.to_json(F.struct(*[F.col(c) for c in corpus.columns if c != "embedding"]))
-    size = 4 * F.size("embedding") + F.length(payload)
+    width = 4 if corpus.schema["embedding"].dataType.elementType.typeName() == "float" else 8
+    size = width * F.size("embedding") + F.octet_length(payload)
     return corpus.agg(F.count("*").alias("rows"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes"))
 
 
@@ -96,9 +98,14 @@ def nearest_broadcast(queries: DataFrame, corpus: DataFrame, vector: str = "vect
 
 
 def nearest_blocks(queries: DataFrame, corpus: DataFrame, key: str, vector: str = "vector",
-                   k: int = fixed.TOP_K, blocks: int = 1, slices: int | None = None) -> DataFrame:
+                   k: int = fixed.TOP_K, blocks: int = 1, slices: int | None = None,
+                   folder: str | None = None) -> DataFrame:
     """Search a corpus of any size on a grid of query slices and corpus blocks.
 
+    Queries are written once with a row number of their own, by which they are
+    dealt out and their hits come back, so repeated or NULL keys are rows like
+    any others.
+
     Every grid cell is one partition. Its corpus block comes first and is the
     only part held in memory, the queries stream past it in Arrow batches.
     Each cell keeps the best ``k`` per query. Both sides are dealt out by hash,
@@ -108,7 +115,8 @@ def nearest_blocks(queries: DataFrame, corpus: DataFrame, key: str, vector: str
     slices = slices or max(1, -(-_parallelism(spark) // blocks))
     result = hits_type(corpus)
     arrow_type = to_arrow_type(result)
-    key_type = queries.schema[key].dataType
+    key_type = T.LongType()
+    queries = materialize(queries.withColumn("__row", F.monotonically_increasing_id()), "queries", folder)
     fields = [f for f in corpus.schema.fields if f.name != "embedding"]
 
     corpus_side = corpus.select(
@@ -121,10 +129,10 @@ def nearest_blocks(queries: DataFrame, corpus: DataFrame, key: str, vector: str
     )
     searched = queries.where(F.col(vector).isNotNull())
     query_side = searched.select(
-        F.pmod(F.xxhash64(key), F.lit(slices)).cast("int").alias("slice"),
+        F.pmod(F.xxhash64("__row"), F.lit(slices)).cast("int").alias("slice"),
         F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
         F.lit(1).alias("side"),
-        F.col(key).alias("query"),
+        F.col("__row").alias("query"),
         F.col(vector).cast("array<float>").alias("embedding"),
         *[F.lit(None).cast(f.dataType).alias(f.name) for f in fields],
     )
@@ -144,15 +152,15 @@ def nearest_blocks(queries: DataFrame, corpus: DataFrame, key: str, vector: str
     )
     merged = (
         ranked.where(F.col("rank") <= k)
-        .groupBy(F.col("query").alias(key))
+        .groupBy(F.col("query").alias("__row"))
         .agg(F.array_sort(F.collect_list("hit")).alias("__hits"))
     )
     with_flag = queries.withColumn("__asked", F.col(vector).isNotNull()).drop(vector)
     none = F.array().cast(result)
     return (
-        with_flag.join(merged, key, "left")
+        with_flag.join(merged, "__row", "left")
         .withColumn("hits", F.when(F.col("__asked"), F.coalesce("__hits", none)))
-        .drop("__asked", "__hits")
+        .drop("__asked", "__hits", "__row")
     )
 
 
@@ -247,6 +255,7 @@ class CorpusBlock:
         """
         unit, _ = _unit(queries)
         near = self.square - 2 * (unit.astype(np.float32) @ self.unit.T)
+        near[np.isnan(near)] = np.inf  # such documents come last, and never bound the others
         k = min(self.k, near.shape[1])
         slip = 2.0 * (queries.shape[1] + 8) * 2.0**-24
         bound = np.partition(near, k - 1, axis=1)[:, k - 1] + np.float32(2 * slip)

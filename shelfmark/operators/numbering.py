@@ -15,7 +15,7 @@ _PARTITION_BIT = 33
 
 
 def number_rows(df: DataFrame, order: Sequence[str], name: str = "row_no",
-                partitions: int | None = None) -> DataFrame:
+                partitions: int | None = None, folder: str | None = None) -> DataFrame:
     """Add ``name``: 0, 1, 2, ... in the order of the unique key ``order``.
 
     One shuffle: rows are range-partitioned by the key, sorted and written with
@@ -32,7 +32,7 @@ def number_rows(df: DataFrame, order: Sequence[str], name: str = "row_no",
         .withColumn("__spot", F.monotonically_increasing_id())
     )
     # Written, because both branches below need the same partition bounds.
-    stored = materialize(ranged, "ranged").withColumn("__range", F.shiftright("__spot", _PARTITION_BIT))
+    stored = materialize(ranged, f"ranged-{name.strip('_')}", folder).withColumn("__range", F.shiftright("__spot", _PARTITION_BIT))
     # The unpartitioned window sees one row per range.
     before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     starts = stored.groupBy("__range").agg(F.count("*").alias("__rows")).select(
@@ -46,7 +46,8 @@ def number_rows(df: DataFrame, order: Sequence[str], name: str = "row_no",
     )
 
 
-def assign_batches(keys: DataFrame, key: str, size: int, name: str = "batch") -> DataFrame:
+def assign_batches(keys: DataFrame, key: str, size: int, name: str = "batch",
+                   folder: str | None = None) -> DataFrame:
     """Key and batch number, from 1: each batch holds ``size`` consecutive keys."""
-    numbered = number_rows(keys.select(key), [key], "__row_no")
+    numbered = number_rows(keys.select(key), [key], "__row_no", folder=folder)
     return numbered.select(key, (F.floor(F.col("__row_no") / size) + 1).cast("bigint").alias(name))

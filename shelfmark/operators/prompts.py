@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -63,8 +64,22 @@ def context_json(context: Column) -> Column:
     return dump(context)
 
 
+@dataclass(frozen=True)
+class PromptTexts:
+    """Texts of a prompt: ``{n}`` in ``head`` becomes the number of products, ``block`` makes the text of one."""
+
+    system: str
+    head: str
+    tail: str
+    block: Callable[[Column, Column, Column], Column] = product_block
+
+
+STANDARD = PromptTexts(fixed.SYSTEM_PROMPT, fixed.USER_PROMPT_HEAD, fixed.USER_PROMPT_TAIL)
+PLAIN = PromptTexts(fixed.PLAIN_SYSTEM_PROMPT, fixed.PLAIN_PROMPT_HEAD, fixed.PLAIN_PROMPT_TAIL, plain_product_block)
+
+
 def batch_prompts(products: DataFrame, key: str, batch: str = "batch", block: str = "block",
-                  plain: bool = False) -> DataFrame:
+                  plain: bool = False, texts: PromptTexts | None = None) -> DataFrame:
     """One row per batch: ``batch``, ``products``, ``system_message``, ``user_message``.
 
     ``products`` has one row per product; a NULL ``block`` holds a place in its
@@ -75,13 +90,8 @@ def batch_prompts(products: DataFrame, key: str, batch: str = "batch", block: st
     grouped = products.groupBy(batch).agg(blocks.alias("__blocks")).where(F.size("__blocks") > 0)
     count = F.size("__blocks")
     body = F.array_join(F.transform("__blocks", lambda b: b[block]), "")
-    if plain:
-        message = F.concat(F.lit(fixed.PLAIN_PROMPT_HEAD), body, F.lit(fixed.PLAIN_PROMPT_TAIL))
-        system = fixed.PLAIN_SYSTEM_PROMPT
-    else:
-        head = F.replace(F.lit(fixed.USER_PROMPT_HEAD), F.lit("{n}"), count.cast("string"))
-        message = F.concat(head, body, F.lit(fixed.USER_PROMPT_TAIL))
-        system = fixed.SYSTEM_PROMPT
+    texts = texts or (PLAIN if plain else STANDARD)
+    message = F.concat(F.replace(F.lit(texts.head), F.lit("{n}"), count.cast("string")), body, F.lit(texts.tail))
     return grouped.select(
-        batch, count.alias("products"), F.lit(system).alias("system_message"), message.alias("user_message")
+        batch, count.alias("products"), F.lit(texts.system).alias("system_message"), message.alias("user_message")
     )

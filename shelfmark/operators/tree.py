@@ -32,11 +32,11 @@ def walk_tree(top: DataFrame, key: str = "document", spread: int | None = None)
 
     ``place`` lists the child numbers from the root, so it sorts in pre-order;
     ``path`` lists the titles. ``spread`` redistributes every level over that
-    many partitions: use it where few documents hold many nodes.
+    many partitions: use it where few documents hold many nodes. With its
+    default, ``spark.sql.cteRecursionRowLimit`` stops a walk at a million
+    nodes; :func:`flatten_tree` lifts that while it writes.
     """
     spark = top.sparkSession
-    # Without this setting the walk stops with an error at a million nodes.
-    spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")
     hint = f"/*+ REPARTITION({spread}) */" if spread else ""
     query = _WALK.format(key=key, title=_title("node"), child_title=_title("child"), spread=hint)
     return spark.sql(query, top=top.repartition(spread) if spread else top)
@@ -71,7 +71,14 @@ def _stripped(path: str):
     return tx.strip(F.coalesce(F.variant_get("node", path, "string"), F.lit("")))
 
 
-def flatten_tree(top: DataFrame, key: str = "document", spread: int | None = None) -> DataFrame:
+def flatten_tree(top: DataFrame, key: str = "document", spread: int | None = None,
+                 folder: str | None = None) -> DataFrame:
     """Node rows with ``position``: the pre-order number over all documents."""
-    nodes = materialize(node_rows(walk_tree(top, key, spread), key), "nodes")
-    return number_rows(nodes, [key, "place"], "position")
+    conf, limit = top.sparkSession.conf, "spark.sql.cteRecursionRowLimit"
+    before = conf.get(limit)
+    conf.set(limit, "-1")
+    try:
+        nodes = materialize(node_rows(walk_tree(top, key, spread), key), "nodes", folder)
+    finally:
+        conf.set(limit, before)
+    return number_rows(nodes, [key, "place"], "position", folder=folder)

@@ -16,8 +16,8 @@ from shelfmark.operators import chat, prompts, reports
 from shelfmark.operators.candidates import path_prefix, with_candidates
 from shelfmark.operators.knn import BROADCAST_BYTES, nearest
 from shelfmark.operators.numbering import assign_batches
-from shelfmark.session import materialize, materialize_in_waves, run_folder
-from shelfmark.sources.tables import apply_updates, last_update, pending_rows
+from shelfmark.session import fingerprint, materialize, materialize_in_waves, open_run, run_folder
+from shelfmark.sources.tables import apply_pending_updates, last_update, pending_rows
 
 
 # What a hit shows where the corpus was resolved without the field.
@@ -29,6 +29,7 @@ class Classification:
     """What a run gives: the new table and what it says about each pending row."""
 
     table: DataFrame
+    updates: DataFrame
     results: DataFrame
     unmatched: DataFrame
     unresolved: DataFrame
@@ -40,7 +41,7 @@ class Classification:
 
 def prepared_products(table: DataFrame, corpus: DataFrame, key: str, prompt_columns: Sequence[str],
                       target: str, vector: str, dimensions: int | None, k: int, batch_rows: int,
-                      broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+                      broadcast_bytes: int = BROADCAST_BYTES, folder: str | None = None) -> DataFrame:
     """Pending rows with batch number, vector status, context and candidates.
 
     Search and candidates stay within the row, so with a broadcast corpus the
@@ -58,19 +59,20 @@ def prepared_products(table: DataFrame, corpus: DataFrame, key: str, prompt_colu
         path_prefix(F.col("hierarchy_path")).alias("hierarchy_path"),
     )
     found = with_candidates(nearest(context, documents, key, "__vector", k, broadcast_bytes))
-    return found.join(assign_batches(pending, key, batch_rows), key)
+    return found.join(assign_batches(pending, key, batch_rows, folder=folder), key)
 
 
-def product_prompts(products: DataFrame, key: str, plain: bool = False) -> DataFrame:
+def product_prompts(products: DataFrame, key: str, plain: bool = False,
+                    texts: prompts.PromptTexts | None = None) -> DataFrame:
     """Prompts of the batches without a failed vector."""
-    make = prompts.plain_product_block if plain else prompts.product_block
+    texts = texts or (prompts.PLAIN if plain else prompts.STANDARD)
     usable = F.col("vector_status") == "ok"
     blocks = products.select(
         key, "batch", "vector_status",
-        F.when(usable, make(_id_text(products, key), F.col("context"), F.col("candidates"))).alias("block"),
+        F.when(usable, texts.block(_id_text(products, key), F.col("context"), F.col("candidates"))).alias("block"),
     )
     broken = failed_vectors(products).select("batch")
-    return prompts.batch_prompts(blocks.join(broken, "batch", "left_anti"), key, plain=plain)
+    return prompts.batch_prompts(blocks.join(broken, "batch", "left_anti"), key, texts=texts)
 
 
 def _id_text(df: DataFrame, key: str):
@@ -93,7 +95,7 @@ def classify(table: DataFrame, corpus: DataFrame, key: str, make_provider: Calla
              coerce_ids: bool = False, only_null: bool = False, plain: bool = False,
              broadcast_bytes: int = BROADCAST_BYTES, call_partitions: int | None = None,
              folder: str | None = None, waves: int = 1, resume: bool = False,
-             failure_path: str | None = None) -> Classification:
+             failure_path: str | None = None, texts: prompts.PromptTexts | None = None) -> Classification:
     """Classify the rows whose first target column is NULL.
 
     ``corpus`` comes from ``resolve_metadata``. Every pending row is tried
@@ -101,31 +103,39 @@ def classify(table: DataFrame, corpus: DataFrame, key: str, make_provider: Calla
     their candidates, prompts and responses are written under ``folder`` as
     they are made: later steps read them back and no call is repeated. The
     responses are committed in ``waves``; a run that broke off goes on with the
-    same ``folder`` and ``resume``. ``call_partitions`` sets how many tasks
+    same ``folder`` and ``resume``, and refuses other inputs or settings.
+    ``texts`` replaces the prompt's own texts. ``call_partitions`` sets how many tasks
     call the model at once. Failures also go to ``failure_path``, if there are
     any.
     """
-    folder = folder or run_folder(table.sparkSession)
+    given, folder = folder, folder or run_folder(table.sparkSession)
     if dimensions is None:
         # A vector of another size than the corpus has fails its batch.
         dimensions = corpus.agg(F.max(F.size("embedding"))).first()[0]
+    if given:
+        open_run(table.sparkSession, folder, resume, {
+            "job": "classify", "key": key, "prompt_columns": list(prompt_columns), "targets": list(targets),
+            "vector": vector, "dimensions": dimensions, "k": k, "batch_rows": batch_rows, "coerce_ids": coerce_ids,
+            "plain": plain, "texts": texts and [texts.system, texts.head, texts.tail], "waves": waves,
+            "rows": fingerprint(pending_rows(table, targets[0], [key, *prompt_columns, vector])),
+            "corpus": fingerprint(corpus)})
     products = materialize(
-        prepared_products(table, corpus, key, prompt_columns, targets[0], vector, dimensions, k, batch_rows,
-                          broadcast_bytes),
+        lambda: prepared_products(table, corpus, key, prompt_columns, targets[0], vector, dimensions, k, batch_rows,
+                                  broadcast_bytes, folder),
         "products", folder, resume,
     )
-    asked = materialize(product_prompts(products, key, plain), "prompts", folder, resume)
+    asked = materialize(lambda: product_prompts(products, key, plain, texts), "prompts", folder, resume)
 
     def answered(part: DataFrame) -> DataFrame:
         part = part.repartition(call_partitions) if call_partitions else part
         return chat.complete(part, make_provider)
 
     responses = materialize_in_waves(asked, "batch", answered, "responses", folder, waves, resume)
-    parsed = materialize(an.parse_responses(responses), "parsed", folder, resume)
+    parsed = materialize(lambda: an.parse_responses(responses), "parsed", folder, resume)
 
     usable = products.where(F.col("vector_status") == "ok")
     matches = materialize(
-        an.match_answers(an.answer_rows(parsed), usable, key, coerce_ids=coerce_ids), "matches", folder, resume
+        lambda: an.match_answers(an.answer_rows(parsed), usable, key, coerce_ids=coerce_ids), "matches", folder, resume
     )
     results = an.matched_results(matches, key, targets=targets)
     failed_batches = failed_vectors(products).unionByName(
@@ -142,7 +152,8 @@ def classify(table: DataFrame, corpus: DataFrame, key: str, make_provider: Calla
     )
     updates = last_update(results.drop("batch"), key, ["ordinal"]).select(key, *targets)
     return Classification(
-        table=apply_updates(table, updates, key, list(targets), only_null),
+        table=apply_pending_updates(table, updates, key, list(targets), targets[0], only_null),
+        updates=updates,
         results=results,
         unmatched=an.unmatched_answers(matches),
         unresolved=unresolved,

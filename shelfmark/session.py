@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _local_folders: dict[str, str] = {}
 
@@ -30,17 +32,21 @@ def work_dir(spark: SparkSession) -> str:
     return _local_folders[app]
 
 
-def materialize(df: DataFrame, label: str, folder: str | None = None, resume: bool = False) -> DataFrame:
-    """Write ``df`` once as Parquet and return a scan of what was written.
+def materialize(source: DataFrame | Callable[[], DataFrame], label: str, folder: str | None = None,
+                resume: bool = False) -> DataFrame:
+    """Write ``source`` once as Parquet and return a scan of what was written.
 
     Cuts the lineage: later branches read the same rows instead of computing
     them again, also after executors were lost. With ``resume`` a table that an
-    earlier run finished in ``folder`` is read and ``df`` is not computed.
+    earlier run finished in ``folder`` is read; a function as ``source`` is
+    then not even called.
     """
-    spark = df.sparkSession
+    spark = source.sparkSession if isinstance(source, DataFrame) else SparkSession.active()
     path = f"{folder or run_folder(spark)}/{label}"
-    if not (resume and _finished(spark, path)):
-        df.write.mode("overwrite").parquet(path)
+    if resume and _finished(spark, path):
+        return spark.read.parquet(path)
+    df = source if isinstance(source, DataFrame) else source()
+    df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -50,17 +56,48 @@ def materialize_in_waves(inputs: DataFrame, key: str, make: Callable[[DataFrame]
 
     For results that are costly to make again: a run that breaks off loses the
     wave it was in, and with ``resume`` the next run goes on from there. The
-    inputs are split before ``make``, whose Python calls no filter passes.
+    inputs are written once, partitioned by wave, so no wave scans them all.
+    Use :func:`open_run` first: it refuses a resume with other settings.
     """
     spark = inputs.sparkSession
+    if waves > 1:
+        path = f"{folder}/{label}/inputs"
+        if not (resume and _finished(spark, path)):
+            inputs.withColumn("__wave", F.pmod(F.xxhash64(key), F.lit(waves)).cast("int")).write.mode(
+                "overwrite").partitionBy("__wave").parquet(path)
+        schema = T.StructType([*inputs.schema, T.StructField("__wave", T.IntegerType())])
+        inputs = spark.read.schema(schema).parquet(path)
     tables = []
     for wave in range(waves):
-        part = inputs.where(F.pmod(F.xxhash64(key), F.lit(waves)) == wave) if waves > 1 else inputs
-        tables.append(materialize(make(part), f"{label}/wave-{wave}", folder, resume))
+        part = inputs.where(F.col("__wave") == wave).drop("__wave") if waves > 1 else inputs
+        tables.append(materialize(lambda part=part: make(part), f"{label}/wave-{wave}", folder, resume))
     paths = [f"{folder}/{label}/wave-{wave}" for wave in range(waves)]
     return spark.read.schema(tables[0].schema).parquet(*paths)
 
 
+def open_run(spark: SparkSession, folder: str, resume: bool, settings: dict[str, object]) -> None:
+    """Note the settings of a run in ``folder``; a resume with other settings is an error.
+
+    Without that, tables of another input, wave count or parameter would be
+    taken for finished parts of this run.
+    """
+    path = f"{folder}/run"
+    new = json.loads(json.dumps(settings, default=str))
+    if resume and _finished(spark, path):
+        old = json.loads(spark.read.parquet(path).first()["settings"])
+        different = sorted(name for name in old.keys() | new.keys() if old.get(name) != new.get(name))
+        if different:
+            raise ValueError(f"{folder} holds a run with other settings: {', '.join(different)}")
+        return
+    spark.createDataFrame([(json.dumps(new),)], "settings string").coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def fingerprint(df: DataFrame) -> str:
+    """Row count and combined hash of a table's rows, whatever their order: one pass with partial sums."""
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")).alias("h")).first()
+    return f"{row.n}:{row.h or 0}"
+
+
 def run_folder(spark: SparkSession) -> str:
     """A new folder for the intermediate tables of one run."""
     return f"{work_dir(spark)}/shelfmark/{uuid.uuid4().hex}"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from typing import Any
 
@@ -97,6 +98,18 @@ def apply_updates(table: DataFrame, updates: DataFrame, key: str,
     return joined.select(*[value(c) for c in table.columns])
 
 
+def apply_pending_updates(table: DataFrame, updates: DataFrame, key: str, columns: Sequence[str],
+                          target: str, only_null: bool = False) -> DataFrame:
+    """:func:`apply_updates` where only rows with a NULL ``target`` can change.
+
+    Finished rows pass through without a shuffle; only the pending ones meet
+    the updates.
+    """
+    pending = F.col(target).isNull()
+    changed = apply_updates(table.where(pending), updates, key, columns, only_null)
+    return table.where(~pending).unionByName(changed)
+
+
 def merge_into_table(updates: DataFrame, table: str, key: str, columns: Sequence[str]) -> None:
     """Update a catalog table in place, for table formats that support MERGE."""
     source = updates.alias("updates")
@@ -137,9 +150,15 @@ def stage_updates(updates: DataFrame, url: str, staging: str, partitions: int, *
     ).save()
 
 
+def _within(file: str, folder: str) -> bool:
+    """Whether ``file`` lies in ``folder``, by whole path components."""
+    parts, inside = ([p for p in re.sub(r"^[a-z0-9]+:", "", x).split("/") if p] for x in (folder, file))
+    return inside[:len(parts)] == parts
+
+
 def write_snapshot(df: DataFrame, path: str) -> DataFrame:
     """Write a new version of a table; never the path the plan reads from."""
-    if any(path.rstrip("/") in file for file in df.inputFiles()):
+    if any(_within(file, path) for file in df.inputFiles()):
         raise ValueError(f"{path} is read by the same plan; write the snapshot elsewhere")
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
