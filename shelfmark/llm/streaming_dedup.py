@@ -12,12 +12,13 @@ Only DataFrame functions run on the executors.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import lower_ascii, new_folder
+from shelfmark.llm.common import lower_ascii, new_folder, stored
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _SETTINGS = {
@@ -25,7 +26,8 @@ _SETTINGS = {
     # Many small stores: do not reserve disk for each of them in advance.
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
-INBOX = "doc_id bigint, row bigint, digest string, bytes bigint"
+_SLOTS = 1 << 20
+INBOX = "doc_id bigint, feed bigint, row bigint, digest string, bytes bigint"
 
 
 def sha256_hex(text: Column) -> Column:
@@ -52,6 +54,7 @@ class DedupState:
         text = lower_ascii(F.col("text"))
         return docs.select(
             F.col("doc_id").cast("bigint").alias("doc_id"),
+            F.lit(time.time_ns()).alias("feed"),
             F.monotonically_increasing_id().alias("row"),
             self.digest(text).alias("digest"),
             F.octet_length(text).cast("bigint").alias("bytes"),
@@ -66,9 +69,9 @@ class DedupState:
         try:
             arriving = self.spark.readStream.schema(INBOX).option("maxFilesPerTrigger", self.files_per_batch).parquet(
                 f"{self.folder}/inbox")
-            # The locator of the content is the id with its row number; the largest one stays.
+            # The locator of the content is the id with its feed and row number; the largest one stays.
             groups = arriving.groupBy("digest").agg(
-                F.max(F.struct("doc_id", "row", "bytes")).alias("stays"), F.count(F.lit(1)).alias("group_size"))
+                F.max(F.struct("doc_id", "feed", "row", "bytes")).alias("stays"), F.count(F.lit(1)).alias("group_size"))
             query = groups.writeStream.format("noop").outputMode("update").trigger(availableNow=True).option(
                 "checkpointLocation", f"{self.folder}/state").start()
             query.awaitTermination()
@@ -80,12 +83,12 @@ class DedupState:
                     self.spark.conf.set(name, value)
 
     def state(self) -> DataFrame:
-        """The state as a table: digest, keep_id, keep_row, keep_bytes, group_size."""
+        """The state as a table: digest, keep_id, keep_feed, keep_row, keep_bytes, group_size."""
         table = self.spark.read.format("statestore").load(f"{self.folder}/state")
         largest, size = (F.col(f"value.`{f.name}`") for f in table.schema["value"].dataType.fields)
         return table.select(
-            F.col("key.digest").alias("digest"), largest["doc_id"].alias("keep_id"), largest["row"].alias("keep_row"),
-            largest["bytes"].alias("keep_bytes"), size.alias("group_size"))
+            F.col("key.digest").alias("digest"), largest["doc_id"].alias("keep_id"), largest["feed"].alias("keep_feed"),
+            largest["row"].alias("keep_row"), largest["bytes"].alias("keep_bytes"), size.alias("group_size"))
 
     def rows(self) -> DataFrame:
         return self.spark.read.schema(INBOX).parquet(f"{self.folder}/inbox")
@@ -100,25 +103,28 @@ class DedupState:
         rows, state = self.rows(), self.state()
         judged = rows.join(state, "digest").select(
             "doc_id", "digest", "keep_id", "group_size",
-            (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("row") == F.col("keep_row"))).alias("kept"))
-        clashes = self._clashes(docs, state)
-        if not clashes.isEmpty():
-            clashing = clashes.select("digest").distinct()
+            (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("feed") == F.col("keep_feed"))
+             & (F.col("row") == F.col("keep_row"))).alias("kept"))
+        clashing = stored(self._clashes(docs, state), "clashes")
+        if not clashing.isEmpty():
             judged = judged.join(clashing, "digest", "left_anti").unionByName(self._by_text(docs, clashing))
         return judged.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
     def _clashes(self, docs: DataFrame, state: DataFrame) -> DataFrame:
-        """Hits whose text differs from the text of the row that stays."""
-        repeated = state.where(F.col("group_size") > 1)
+        """Digests with hits whose full texts are not all the same.
+
+        Only texts whose digest falls in a slot of a repeated digest are looked
+        at; the list of slots has at most ``_SLOTS`` numbers. The smallest and
+        the largest text of a digest are found within tasks first, so a text
+        that a third of all rows share is one row a task.
+        """
+        slot = F.pmod(F.xxhash64("digest"), F.lit(_SLOTS)).cast("int").alias("slot")
+        slots = state.where(F.col("group_size") > 1).select(slot).distinct()
         text = lower_ascii(F.col("text"))
-        texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), self.digest(text).alias("digest"),
-                            text.alias("text"))
-        hits = texts.join(repeated.select("digest", "keep_id"), "digest")
-        # Ids may repeat, so several rows can carry the id that stays: any text of theirs is compared.
-        staying = hits.where(F.col("doc_id").eqNullSafe(F.col("keep_id")))
-        staying = staying.groupBy("digest").agg(F.min("text").alias("kept_text"), F.max("text").alias("other_text"))
-        return hits.select("digest", "text").join(staying, "digest").where(
-            (F.col("text") != F.col("kept_text")) | (F.col("text") != F.col("other_text"))).select("digest")
+        hits = docs.select(self.digest(text).alias("digest"), text.alias("text")).withColumn("slot", slot).join(
+            F.broadcast(slots), "slot", "left_semi")
+        ends = hits.groupBy("digest").agg(F.min("text").alias("least"), F.max("text").alias("most"))
+        return ends.where(F.col("least") != F.col("most")).select("digest")
 
     def _by_text(self, docs: DataFrame, clashing: DataFrame) -> DataFrame:
         from pyspark.sql import Window
