@@ -36,7 +36,7 @@ from shelfmark.llm.common import stored
 # Fixed value: the pattern by which a byte-level tokenizer cuts texts before merging.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _LONGER_SPACE = re.compile(r" \s| \Z")
-_KNOWN_WORDS, _KNOWN_LENGTH = 1_000_000, 48
+_KNOWN_WORDS, _KNOWN_LENGTH = 250_000, 48
 
 
 def _byte_of_character() -> dict[str, int]:

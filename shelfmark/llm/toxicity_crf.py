@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from shelfmark.llm.common import id_remainder, sample_of_class, stored
 
 WORD = re.compile(r"[^\W\d_]+")
-_KNOWN_WORDS = 500_000
+_KNOWN_WORDS = 200_000
 _SEGMENT = 64
 
 
