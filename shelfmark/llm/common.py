@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfmark.session import work_dir
 
+_SLICES = 64
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -37,11 +38,13 @@ def id_remainder(doc_id: Column, divisor: int) -> Column:
 def sample_of_class(rows: DataFrame, key: str, label: Column, per_class: int) -> DataFrame:
     """At most ``per_class`` rows of each value of ``label``, chosen by the hash of ``key``.
 
-    The ranking window has a partial limit before its shuffle, so a class of
-    any size costs ``per_class`` rows a task.
+    Ranked within slices of the hash first, so a class of any size is cut down
+    by many tasks; the last window sees ``_SLICES * per_class`` rows of a class.
+    Both windows have a partial limit before their shuffle.
     """
-    from pyspark.sql import Window
-
-    order = Window.partitionBy("_class").orderBy(F.xxhash64(F.col(key)), F.col(key))
-    ranked = rows.withColumn("_class", label).withColumn("_rank", F.row_number().over(order))
-    return ranked.where(F.col("_rank") <= per_class).drop("_class", "_rank")
+    digest = F.xxhash64(F.col(key))
+    sliced = rows.withColumn("_class", label).withColumn("_slice", F.pmod(digest, F.lit(_SLICES)))
+    for parts in (["_class", "_slice"], ["_class"]):
+        order = Window.partitionBy(*parts).orderBy(digest, F.col(key))
+        sliced = sliced.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= per_class).drop("_rank")
+    return sliced.drop("_class", "_slice")
