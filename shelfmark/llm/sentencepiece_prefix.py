@@ -7,12 +7,17 @@ is the one if it can stand behind the last piece of the prefix before it, that
 is if merging the two pieces' characters gives just these two. The ids are read
 backwards through the table. Work per character is bounded by the matches that
 end there, also for texts without any space.
+
+Words are parts of their own where no piece crosses a blank. The tables of many
+new words are filled side by side, one character of each at a step; long parts
+are encoded one by one.
 """
 
 from __future__ import annotations
 
 import codecs
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +26,159 @@ from pyspark.sql import functions as F
 
 _BLANK = "▁"
 _KNOWN_PARTS, _KNOWN_LENGTH, _KNOWN_PAIRS = 400_000, 40, 1_000_000
+_SIDE_BY_SIDE, _PAIR_SLOTS = 1 << 14, 1 << 20
+
+
+class WordTables:
+    """Prefix tables of many short words at once, in arrays.
+
+    ``pieces`` are those an encoder can reach, ``stand_together`` its test of two
+    pieces. The automaton's edges are sorted keys (state, character); each state
+    knows the longest piece that ends there, each piece the next shorter one.
+    A character outside the vocabulary is a piece of its own, number
+    ``len(pieces)``, that starts the automaton anew; ``outside`` gives its ids.
+    """
+
+    def __init__(self, pieces: list[str], ids: dict[str, int], stand_together: Callable[[str, str], bool],
+                 outside: Callable[[str], list[int]]):
+        self.pieces, self.stand_together, self.outside = pieces, stand_together, outside
+        self.length = np.array([*map(len, pieces), 1], dtype=np.int64)
+        self.ids = np.array([*(ids[p] for p in pieces), -1], dtype="<i4")
+        singles = [p for p in pieces if len(p) == 1]
+        self.kind = np.full(0x110000, -1, dtype=np.int32)
+        self.kind[[ord(c) for c in singles]] = np.arange(len(singles))
+        self.kinds = len(singles)
+        children: list[dict[int, int]] = [{}]
+        own = [-1]  # the piece a state spells
+        for number, piece in enumerate(pieces):
+            state = 0
+            for kind in self.kind[[ord(c) for c in piece]].tolist():
+                following = children[state].get(kind)
+                if following is None:
+                    following = children[state][kind] = len(children)
+                    children.append({})
+                    own.append(-1)
+                state = following
+            own[state] = number
+        fail, longest = [0] * len(children), own[:]
+        shorter = [-1] * len(pieces)
+        level = [0]
+        while level:  # breadth first: the states a state falls back to are finished before it
+            below = []
+            for state in level:
+                for kind, following in children[state].items():
+                    back = fail[state]
+                    while state and back and kind not in children[back]:
+                        back = fail[back]
+                    fail[following] = children[back].get(kind, 0) if state else 0
+                    if own[following] >= 0:
+                        shorter[own[following]] = longest[fail[following]]
+                    else:
+                        longest[following] = longest[fail[following]]
+                    below.append(following)
+            level = below
+        edges = sorted((state * self.kinds + kind, following)
+                       for state, known in enumerate(children) for kind, following in known.items())
+        self.edge, self.target = np.array(edges, dtype=np.int64).reshape(-1, 2).T.copy()
+        longest[0] = len(pieces)
+        self.fail, self.longest, self.shorter = np.array(fail), np.array(longest), np.array([*shorter, -1])
+        # The last tests of pairs, by a hash of the pair; what is not found there is asked for.
+        self.slot_pair = np.full(_PAIR_SLOTS, -1, dtype=np.int64)
+        self.slot_good = np.zeros(_PAIR_SLOTS, dtype=bool)
+
+    def _step(self, state: np.ndarray, kind: np.ndarray) -> np.ndarray:
+        """The automaton's states after one more character of every word."""
+        result, todo = np.zeros_like(state), np.flatnonzero(kind >= 0)
+        state, kind = state[todo], kind[todo]
+        while len(todo):
+            key = state * self.kinds + kind
+            at = np.minimum(np.searchsorted(self.edge, key), len(self.edge) - 1)
+            hit = self.edge[at] == key
+            result[todo[hit]] = self.target[at[hit]]
+            miss = ~hit
+            todo, state, kind = todo[miss], self.fail[state[miss]], kind[miss]
+        return result
+
+    def _together(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Whether pieces can stand behind pieces; ``left`` is not outside the vocabulary."""
+        pair = left * len(self.pieces) + right
+        slot = (pair * 0x9E3779B1 >> 12) % _PAIR_SLOTS
+        good = self.slot_good[slot]
+        new = np.flatnonzero(self.slot_pair[slot] != pair)
+        if len(new):
+            asked, place = np.unique(pair[new], return_inverse=True)
+            names, count = self.pieces, len(self.pieces)
+            answers = np.array([self.stand_together(names[p // count], names[p % count]) for p in asked.tolist()])
+            good[new] = answers[place]
+            slots = (asked * 0x9E3779B1 >> 12) % _PAIR_SLOTS
+            slots, first = np.unique(slots, return_index=True)
+            self.slot_pair[slots], self.slot_good[slots] = asked[first], answers[first]
+        return good
+
+    def encode(self, words: list[str]) -> list[bytes]:
+        """Ids of words of one character or more."""
+        order = sorted(range(len(words)), key=lambda i: -len(words[i]))
+        size = np.array([len(words[i]) for i in order], dtype=np.int64)
+        flat = self.kind[np.frombuffer("".join([words[i] for i in order]).encode("utf-32-le", "surrogatepass"), "<u4")]
+        first = np.cumsum(size) - size
+        strange = (np.minimum.reduceat(flat, first) < 0).tolist()
+        last = np.full((len(order), int(size[0]) + 1), -1, dtype=np.int64)
+        state = np.zeros(len(order), dtype=np.int64)
+        for end in range(1, int(size[0]) + 1):
+            active = int(np.searchsorted(-size, -end, side="right"))
+            state = self._step(state[:active], flat[first[:active] + end - 1])
+            piece, word = self.longest[state], np.arange(active)
+            while len(word):
+                before = end - self.length[piece]
+                left = last[word, before]
+                good = (before == 0) | (left == len(self.pieces)) | (piece == len(self.pieces))
+                later = np.flatnonzero(~good)
+                good[later] = self._together(left[later], piece[later])
+                last[word[good], end] = piece[good]
+                word, piece = word[~good], self.shorter[piece[~good]]
+                if len(piece) and piece.min() < 0:
+                    raise AssertionError("a prefix without a last piece")
+        # Backwards: one piece of every word at a step, the k-th from the end into column k.
+        at, word, found = size.copy(), np.arange(len(order)), []
+        while len(word):
+            piece = last[word, at[word]]
+            found.append((word, piece))
+            at[word] -= self.length[piece]
+            word = word[at[word] > 0]
+        amount = np.zeros(len(order), dtype=np.int64)
+        for word, _ in found:
+            amount[word] += 1
+        stop = np.cumsum(amount)
+        ids = np.empty(int(stop[-1]), dtype="<i4")
+        for k, (word, piece) in enumerate(found):
+            ids[stop[word] - 1 - k] = self.ids[piece]
+        data, begin, result = ids.tobytes(), 0, [b""] * len(words)
+        for i, end, odd in zip(order, (4 * stop).tolist(), strange):
+            result[i] = self._with_outside(words[i], data[begin:end]) if odd else data[begin:end]
+            begin = end
+        return result
+
+    def _with_outside(self, word: str, data: bytes) -> bytes:
+        """``data`` with the ids of characters outside the vocabulary in their places."""
+        characters = (c for c in word if self.kind[ord(c)] < 0)
+        ids: list[int] = []
+        for own in np.frombuffer(data, dtype="<i4").tolist():
+            ids += [own] if own >= 0 else self.outside(next(characters))
+        return np.array(ids, dtype="<i4").tobytes()
+
+
+class _Parts(dict):
+    """Ids of parts; short ones are remembered."""
+
+    def __init__(self, encoded: Callable[[str], bytes]):
+        super().__init__()
+        self.encoded = encoded
+
+    def __missing__(self, part: str) -> bytes:
+        ids = self.encoded(part)
+        if len(part) <= _KNOWN_LENGTH:
+            self[part] = ids
+        return ids
 
 
 class PrefixEncoder:
@@ -58,20 +216,24 @@ class PrefixEncoder:
         # No piece has a blank behind another character, so no merge crosses that border.
         self.by_word = not any(_BLANK in piece.lstrip(_BLANK) for piece in self.ids)
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.parts: dict[str, bytes] = {}
+        self.parts = _Parts(self._encoded)
+        # Side by side only if every character of a piece is a piece, so that each prefix ends in one.
+        self.tables = (WordTables(reached, self.ids, self.stand_together, self._outside)
+                       if self.by_word and {c for p in reached for c in p} <= self.ids.keys() else None)
 
     def merged(self, text: str) -> list[str]:
         """Pieces of a short text by merging step by step: the best pair first, of equals the leftmost."""
-        pieces = list(text)
-        while True:
-            best, place = None, -1
-            for i in range(len(pieces) - 1):
-                score = self.score.get(pieces[i] + pieces[i + 1])
-                if score is not None and (best is None or score > best):
-                    best, place = score, i
-            if best is None:
-                return pieces
-            pieces[place:place + 2] = [pieces[place] + pieces[place + 1]]
+        pieces, score, none = list(text), self.score.get, float("-inf")
+        scores = [score(a + b, none) for a, b in zip(pieces, pieces[1:])]
+        while scores and (best := max(scores)) > none:
+            i = scores.index(best)
+            pieces[i:i + 2] = [pieces[i] + pieces[i + 1]]
+            del scores[i]
+            if i:
+                scores[i - 1] = score(pieces[i - 1] + pieces[i], none)
+            if i < len(scores):
+                scores[i] = score(pieces[i] + pieces[i + 1], none)
+        return pieces
 
     def stand_together(self, left: str, right: str) -> bool:
         pair = left, right
@@ -105,47 +267,48 @@ class PrefixEncoder:
         found.reverse()
         return found
 
+    def _outside(self, character: str) -> list[int]:
+        return [self.byte_id[b] for b in character.encode()] if self.byte_id else [self.unknown]
+
     def _encoded(self, part: str) -> bytes:
         ids: list[int] = []
         for piece in self.pieces(part):
             known = self.ids.get(piece)
-            if known is not None:
-                ids.append(known)
-            elif self.byte_id:
-                ids += [self.byte_id[b] for b in piece.encode()]
-            else:
-                ids.append(self.unknown)
+            ids += [known] if known is not None else self._outside(piece)
         return np.array(ids, dtype="<i4").tobytes()
 
-    def __getitem__(self, part: str) -> bytes:
-        known = self.parts.get(part)
-        if known is None:
-            known = self._encoded(part)
-            if len(part) <= _KNOWN_LENGTH:
-                if len(self.parts) >= _KNOWN_PARTS:
-                    self.parts.clear()
-                self.parts[part] = known
-        return known
-
-    def encode(self, text: str) -> np.ndarray:
-        """Ids of a text, without an end id."""
-        if not text:
-            return np.zeros(0, dtype=np.int32)
-        normal = self.normalizer.normalize(text)
+    def _parts(self, text: str) -> list[str]:
+        """"a__b" is cut to "a" and "__b": blanks belong to what follows them."""
+        normal = self.normalizer.normalize(text) if text else ""
         if not self.by_word:
-            return np.frombuffer(self._encoded(normal), dtype="<i4")
-        # "a__b" is cut to "a" and "__b": blanks belong to what follows them.
-        words = normal.split(_BLANK)
-        parts, blanks = [], ""
-        for i, word in enumerate(words):
-            if i:
-                blanks += _BLANK
+            return [normal] if normal else []
+        first, *words = normal.split(_BLANK)
+        parts, blanks = [first] if first else [], _BLANK
+        for word in words:
             if word:
                 parts.append(blanks + word)
-                blanks = ""
-        if blanks:
-            parts.append(blanks)
-        return np.frombuffer(b"".join(map(self.__getitem__, parts)), dtype="<i4")
+                blanks = _BLANK
+            else:
+                blanks += _BLANK
+        if len(blanks) > 1:
+            parts.append(blanks[1:])
+        return parts
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of every text, without end ids; words that are not remembered are encoded side by side."""
+        cut = [self._parts(text) for text in texts]
+        if len(self.parts) >= _KNOWN_PARTS:
+            self.parts.clear()
+        if self.tables is not None:
+            new = [p for p in set(chain.from_iterable(cut)).difference(self.parts) if len(p) <= _KNOWN_LENGTH]
+            for i in range(0, len(new), _SIDE_BY_SIDE):
+                some = new[i:i + _SIDE_BY_SIDE]
+                self.parts.update(zip(some, self.tables.encode(some)))
+        return [np.frombuffer(b"".join(map(self.parts.__getitem__, parts)), dtype="<i4") for parts in cut]
+
+    def encode(self, text: str) -> np.ndarray:
+        """Ids of a text, without an end id."""
+        return self.encode_all([text])[0]
 
     def decode(self, ids: list[int]) -> str:
         """Text of ids; control ids have none and the blank that encoding put in front goes again."""
@@ -169,8 +332,8 @@ def encoder(path: str) -> PrefixEncoder:
     return _encoders[path]
 
 
-def encode_documents(docs: DataFrame, path: str, at_once: int = 1 << 22) -> DataFrame:
-    """doc_id and ids (with the end id) of every row.
+def encode_documents(docs: DataFrame, path: str, at_once: int = 1 << 21) -> DataFrame:
+    """doc_id and ids (with the end id) of every row; texts are encoded some ``at_once`` characters at a time.
 
     Null and empty texts have only the end id. Repeated rows are each encoded,
     extra columns ignored; an empty table gives no rows.
@@ -180,16 +343,17 @@ def encode_documents(docs: DataFrame, path: str, at_once: int = 1 << 22) -> Data
         own = encoder(path)
         end = np.array([own.end_id], dtype=np.int32)
         for batch in batches:
-            first, rows, total = 0, [], 0
+            first, texts, total = 0, [], 0
             for i, text in enumerate(batch.column(1)):
-                rows.append(np.concatenate([own.encode(text.as_py() or ""), end]))
-                total += len(rows[-1])
+                texts.append(text.as_py() or "")
+                total += len(texts[-1])
                 if total >= at_once or i == batch.num_rows - 1:
+                    rows = [np.concatenate([ids, end]) for ids in own.encode_all(texts)]
                     offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
                     ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(rows)))
                     yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(rows)), ids],
                                                      names=["doc_id", "ids"])
-                    first, rows, total = i + 1, [], 0
+                    first, texts, total = i + 1, [], 0
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
         run, "doc_id bigint, ids array<int>")
@@ -201,7 +365,7 @@ def decode_ids(encoded: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path)
         for batch in batches:
-            texts = [None if ids.as_py() is None else own.decode(ids.values.to_pylist()) for ids in batch.column(1)]
+            texts = [None if ids.as_py() is None else own.decode(ids.values.to_numpy().tolist()) for ids in batch.column(1)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())],
                                              names=["doc_id", "ids", "text"])
 
