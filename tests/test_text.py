@@ -27,7 +27,7 @@ def test_empty_values_become_empty_text(spark):
 
 def test_row_text_example(spark):
     values = ("SuperStore", "DE", "Bio Tomaten", "Organic Tomatoes", "Fresh Produce", "Punnet", "500", "g")
-    df = spark.createDataFrame([values], tx.fixed.ROW_TEXT_COLUMNS)
+    df = spark.createDataFrame([values], [f"c{i}" for i in range(len(values))])
     assert df.select(tx.row_text(df, df.columns)).first()[0] == (
         "SuperStore * DE * Bio Tomaten * Organic Tomatoes * Fresh Produce * Punnet * 500 * g"
     )
