@@ -46,4 +46,51 @@ SELECT m.archive, place, page_id, (stop - bytes)::bigint AS begin, stop::bigint
 FROM m JOIN roots USING (archive)
 """
 
-ORACLES = {"op6_exact_dedup": OP6, "op9_warc_fixity": OP9}
+# Offsets behind a number of lines: their lengths and line feeds, at most the whole text.
+OP12 = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(doc_id::varchar, '')) AS h FROM documents),
+u AS (SELECT doc_id, t, string_split(t, chr(10)) AS l, CASE WHEN t = '' OR ends_with(t, chr(10)) THEN 0 ELSE 1 END
+    + length(t) - length(replace(t, chr(10), '')) AS n, ('0x' || substr(h, 1, 8))::bigint AS h1,
+    ('0x' || substr(h, 9, 8))::bigint AS h2, ('0x' || substr(h, 17, 8))::bigint AS h3,
+    ('0x' || substr(h, 25, 8))::bigint AS h4 FROM d),
+f AS (SELECT doc_id, t, n, CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+    OR h3 % 100 >= 100 THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form,
+    [length(x) + 1 for x in l] AS sizes, least(h1 % (n + 1), h2 % (n + 1)) AS a,
+    greatest(h1 % (n + 1), h2 % (n + 1)) AS b FROM u),
+c AS (SELECT doc_id, t, n, form,
+    CASE WHEN a = 0 THEN 0 ELSE least(length(t), list_sum(sizes[1:a])) END AS p,
+    CASE WHEN b = 0 THEN 0 ELSE least(length(t), list_sum(sizes[1:b])) END AS m FROM f),
+o AS (SELECT doc_id, n, form, p, m, t, substr(t, 1, p::bigint) AS prefix, substr(t, p::bigint + 1, (m - p)::bigint) AS middle,
+    substr(t, m::bigint + 1) AS suffix FROM c)
+SELECT doc_id, n::bigint AS n, form, CASE WHEN form <> 'plain' THEN p::bigint END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN (m - p)::bigint END AS middle_chars,
+    sha256(CASE form WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+        WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle ELSE t END) AS output_sha256,
+    sha256(t) AS restored_sha256
+FROM o
+"""
+
+_PARTS = r"'(?s)^.*?://([^/?#]*)([^?#]*)(?:\?([^#]*))?'"
+OP13 = f"""
+WITH p AS (SELECT page_id, url, translate(coalesce(regexp_extract(url, {_PARTS}, 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz') AS host, coalesce(regexp_extract(url, {_PARTS}, 2), '') AS path,
+    coalesce(regexp_extract(url, {_PARTS}, 3), '') AS query FROM pages),
+k AS (SELECT *, array_to_string([x for x in string_split(query, '&') if x <> '' AND NOT starts_with(x, 'utm_')], '&')
+    AS kept FROM p),
+c AS (SELECT page_id, host, path, CASE WHEN contains(url, '://') THEN regexp_replace(regexp_replace(host, '^www\\.', ''),
+    ':(80|443)$', '') || regexp_replace(path, '/+$', '') || CASE WHEN kept <> '' THEN '?' || kept ELSE '' END END
+    AS canonical FROM k),
+r AS (SELECT *, CASE
+    WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+    WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/es/') THEN 'example.org/es/'
+    WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/de/') THEN 'com/de/'
+    WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/fr/') THEN 'com/fr/'
+    WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/') THEN 'org/' END AS rule FROM c),
+l AS (SELECT DISTINCT canonical FROM c WHERE regexp_matches(host, '(^|[.-])(ads|adult|bets|casino|pills|spam)([.-]|$)'))
+SELECT page_id, host, path, rule, l.canonical IS NOT NULL AS listed, CASE
+    WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+    WHEN l.canonical IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict
+FROM r LEFT JOIN l ON r.canonical = l.canonical
+"""
+
+ORACLES = {"op6_exact_dedup": OP6, "op9_warc_fixity": OP9, "op12_fill_middle": OP12, "op13_url_filter": OP13}

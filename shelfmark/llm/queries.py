@@ -7,12 +7,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.llm import (
-    cross_polytope, language_centroids, packing, pii_surrogates, quality_rff, sentencepiece_prefix, simhash_vptree,
-    streaming_dedup, toxicity_crf, warc_fixity)
+    cross_polytope, fill_middle, language_centroids, packing, pii_surrogates, quality_rff, sentencepiece_prefix,
+    simhash_vptree, streaming_dedup, toxicity_crf, url_filter, warc_fixity, whitening)
 
 PACK_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 SURROGATE_KEY = "surrogates of this corpus"
+# The rules, and the words in the names of hosts whose pages make up the list.
+URL_RULES = [
+    url_filter.Rule("allow", "org", "/"),
+    url_filter.Rule("block", "example.org", "/es/"),
+    url_filter.Rule("block", "example.org", "/en/1"),
+    url_filter.Rule("allow", "com", "/fr/"),
+    url_filter.Rule("block", "com", "/de/"),
+]
+LISTED_HOSTS = r"(^|[.-])(ads|adult|bets|casino|pills|spam)([.-]|$)"
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -69,6 +78,26 @@ def op10_quality_rff(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rff.quality(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """``deviation`` is null where it is beyond 64 bits; ``deviation_exact`` never is."""
+    vectors = _table(spark, folder, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    return whitening.whiten(vectors, components=8, steps=1024, shift=100_000).select(
+        F.col("id").alias("vec_id"), "component", "n", F.col("deviation").try_cast("bigint").alias("deviation"),
+        "whitened", "explained", "identity_error", F.col("deviation").alias("deviation_exact"))
+
+
+def op12_fill_middle(spark: SparkSession, folder: str) -> DataFrame:
+    return fill_middle.digests(fill_middle.fill_in_middle(
+        _table(spark, folder, "documents"), seed=7, changed_percent=100, spm_percent=50))
+
+
+def op13_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """The list holds the pages of hosts with certain words in their names, in their canonical form."""
+    pages = _table(spark, folder, "pages")
+    listed = pages.where(url_filter.host_of(F.col("url")).rlike(LISTED_HOSTS)).select("url")
+    return url_filter.judge_urls(pages, URL_RULES, listed)
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_pii_surrogates": op2_pii_surrogates,
@@ -80,4 +109,7 @@ QUERIES = {
     "op8_language_centroids": op8_language_centroids,
     "op9_warc_fixity": op9_warc_fixity,
     "op10_quality_rff": op10_quality_rff,
+    "op11_whitening": op11_whitening,
+    "op12_fill_middle": op12_fill_middle,
+    "op13_url_filter": op13_url_filter,
 }

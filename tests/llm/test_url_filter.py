@@ -1,0 +1,118 @@
+from urllib.parse import urlsplit
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from shelfmark.llm import url_filter as uf
+from shelfmark.llm.queries import LISTED_HOSTS, QUERIES, URL_RULES
+
+URLS = [
+    "http://Example.ORG/es/1", "https://a.example.org/en/12?x=1", "https://badexample.org/es/1", "http://x.com/fr/",
+    "http://x.com/fr", "http://x.com/de/?a", "http://x.com#/de/", "http://com/de/1", "http://x.net/de/1", "no scheme", "",
+    None, "://org/", "http://org", "ftp://u@a.org:80/p://q/", "http://ex.org?/es/", "http://É.org/ß", "http://x.com/DE/1",
+    "http://example.org/en/1", "http://example.org/en/2", "http://h.net/a\nb/c", "x" * 100_000 + "://a.org/" + "y" * 100_000,
+]
+LIST = ["http://www.x.net/de/1/", "http://X.net:80/de/1#top", "http://h.net/q?utm_source=a&b=2&&c=3", "broken", None]
+
+
+def plain(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    for mark in "#?":
+        rest = rest.split(mark, 1)[0]
+    host, slash, path = rest.partition("/")
+    return "".join(c.lower() if c.isascii() else c for c in host), slash + path
+
+
+def plain_rule(host, path, rules):
+    fitting = [r for r in rules if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+    return max(fitting, key=lambda r: len(r.name), default=None)
+
+
+def judged(spark, urls, listed=(), rules=URL_RULES, **options):
+    pages = spark.createDataFrame([(i, u, "h", True) for i, u in enumerate(urls)],
+                                  "page_id bigint, url string, host string, listed boolean").repartition(3)
+    table = spark.createDataFrame([(u, 1) for u in listed], "url string, canonical int")
+    return sorted(uf.judge_urls(pages, rules, table, **options).collect())
+
+
+def test_hosts_paths_and_rules(spark):
+    rows = judged(spark, URLS * 2)
+    assert len(rows) == 2 * len(URLS)
+    for r in rows:
+        host, path = plain(URLS[r.page_id % len(URLS)])
+        rule = plain_rule(host, path, URL_RULES)
+        assert (r.host, r.path, r.rule) == (host, path, rule and rule.name)
+        assert r.verdict == (rule.verdict if rule else "allow") and not r.listed
+
+
+def test_list(spark):
+    urls = ["https://x.net/de/1", "http://www.x.net/de/1?utm_a=b", "http://x.net/de/11", "http://h.net/q/?b=2&c=3#f",
+            "http://h.net/q?c=3&b=2", "http://h.net/Q?b=2&c=3", "broken", None, "http://www.www.x.net/de/1"]
+    assert [r.listed for r in judged(spark, urls, LIST)] == [True, True, False, True, False, False, False, False, False]
+    rows = judged(spark, [*urls, "http://x.org/es"], [*LIST, "http://x.org/es"])
+    assert [r.verdict for r in rows] == ["block"] * 2 + ["allow", "block"] + ["allow"] * 6
+    assert rows[-1].listed and rows[-1].rule == "org/"
+
+
+@pytest.mark.parametrize("bits", [16, 1])
+def test_false_positives_are_removed(spark, bits):
+    """With one bit a key nearly all pages pass the filter; with a frequent one, listed or not, on the broadcast side."""
+    listed = [f"http://h{i}.net/p" for i in range(500)]
+    urls = [f"http://h{i}.net/p" for i in range(400, 900)] + ["http://h1.net/p"] * 300 + ["http://h700.net/p"] * 300
+    rows = judged(spark, urls, listed, bits_per_key=bits, heavy_rows=100)
+    assert [r.listed for r in rows] == [u in set(listed) for u in urls]
+
+
+def test_filter(spark):
+    rng = np.random.default_rng(0)
+    keys, others = (rng.integers(-2**63, 2**63, 20_000) for _ in range(2))
+    table = spark.createDataFrame([(int(k),) for k in keys], "hash bigint").repartition(5)
+    bloom = uf.build_filter(table, len(keys))
+    assert bloom.words.nbytes == 32 * -(-len(keys) * 16 // 256)
+    assert bloom.might_hold(keys.view(np.uint64)).all()
+    assert bloom.might_hold(others.view(np.uint64)).mean() < 0.005
+    alone = uf.BlockedBloom(len(bloom.words))
+    alone.add(keys.view(np.uint64))
+    assert (alone.words == bloom.words).all()
+    small = uf.build_filter(table, len(keys), max_bytes=1024)
+    assert small.words.nbytes == 1024 and small.might_hold(keys.view(np.uint64)).all()
+
+
+def test_filter_of_several_pieces(spark, monkeypatch):
+    monkeypatch.setattr(uf, "_PIECE_BLOCKS", 16)
+    keys = np.random.default_rng(1).integers(-2**63, 2**63, 3_000)
+    table = spark.createDataFrame([(int(k),) for k in keys], "hash bigint")
+    bloom, alone = uf.build_filter(table, len(keys)), uf.BlockedBloom(-(-3_000 * 16 // 256))
+    alone.add(keys.view(np.uint64))
+    assert (alone.words == bloom.words).all()
+
+
+def test_empty_tables_and_odd_rows(spark):
+    assert judged(spark, [], LIST) == [] and len(judged(spark, URLS, [])) == len(URLS)
+    pages = spark.createDataFrame([(None, "http://x.net/de/1"), (None, "http://x.net/de/1"), (1, None)], "page_id bigint, url string")
+    rows = uf.judge_urls(pages, [], spark.createDataFrame([(u,) for u in LIST], "url string")).collect()
+    assert sorted((r.page_id is None, r.verdict) for r in rows) == [(False, "allow"), (True, "block"), (True, "block")]
+    with pytest.raises(ValueError, match="host"):
+        uf.judge_urls(pages, [uf.Rule("allow", "", "/")], pages)
+
+
+def test_query_on_pages(spark, folder):
+    pages = {r.page_id: r.url for r in spark.read.parquet(f"{folder}/pages.parquet").collect()}
+    rows = QUERIES["op13_url_filter"](spark, folder).collect()
+    assert sorted(r.page_id for r in rows) == sorted(pages)
+    import re
+    for r in rows:
+        assert r.host == urlsplit(pages[r.page_id]).netloc.lower() and r.path == urlsplit(pages[r.page_id]).path
+        assert bool(re.search(LISTED_HOSTS, r.host)) == r.listed
+        rule = plain_rule(r.host, r.path, URL_RULES)
+        assert r.rule == (rule and rule.name)
+        assert r.verdict == (rule.verdict if rule else "block" if r.listed else "allow")
+
+
+def test_plan_sends_only_hashes_to_python(spark, folder):
+    pages = spark.read.parquet(f"{folder}/pages.parquet")
+    plan = pages.select(uf.canonical_url(F.col("url")))._jdf.queryExecution().executedPlan().toString()
+    assert "html" not in plan
