@@ -106,14 +106,17 @@ class FitList:
         """Rows of partial sums, at most ``_DIRECT_TASKS`` of them, for the driver."""
         if self.tasks <= _DIRECT_TASKS:
             return partial.collect()
+        first, second = partial.columns
 
         def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            rows = [r for batch in batches for r in batch.to_pylist()]
-            if rows:
-                first, second = partial.columns
-                yield pa.RecordBatch.from_pylist([{
-                    first: sum(r[first] for r in rows),
-                    second: np.sum([r[second] for r in rows], axis=0).tolist()}], schema=batch.schema)
+            n, total, shape = 0, None, None
+            for batch in batches:
+                shape = batch.schema
+                for row in batch.to_pylist():
+                    part = np.array(row[second])
+                    n, total = n + row[first], part if total is None else total + part
+            if total is not None:
+                yield pa.RecordBatch.from_pylist([{first: n, second: total.tolist()}], schema=shape)
 
         return partial.repartition(_ADDERS).mapInArrow(add, schema).collect()
 
