@@ -62,7 +62,7 @@ def query_vectors(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def hits(spark: SparkSession, folder: str, key: str = "code") -> DataFrame:
-    return nearest(query_vectors(spark, folder), resolved_corpus(spark, folder, key), "query_id")
+    return nearest(query_vectors(spark, folder), resolved_corpus(spark, folder, key))
 
 
 def hit_rows(found: DataFrame) -> DataFrame:

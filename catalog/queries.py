@@ -69,9 +69,9 @@ def knn_batch(spark, folder):
 
 @query
 def knn_blocks(spark, folder):
-    return _ranked_hits(
-        knn.nearest_blocks(fx.query_vectors(spark, folder), fx.resolved_corpus(spark, folder), "query_id", blocks=3)
-    )
+    """The same search with blocks of 64 KiB, none of which a worker keeps."""
+    return _ranked_hits(knn.nearest(
+        fx.query_vectors(spark, folder), fx.resolved_corpus(spark, folder), block_bytes=1 << 16, kept_bytes=0))
 
 
 def _hit_metadata(found):
@@ -113,7 +113,7 @@ def candidate_letters(spark, folder):
 @query
 def candidate_lists(spark, folder):
     parsed = vx.with_vector(fx.products(spark, folder), "embedding_context", fx.DIMENSION)
-    found = knn.nearest(parsed.select("product_id", "vector"), fx.resolved_corpus(spark, folder), "product_id")
+    found = knn.nearest(parsed.select("product_id", "vector"), fx.resolved_corpus(spark, folder))
     return cd.with_candidates(found).select(
         "product_id",
         F.size("candidates").alias("options"),

@@ -6,11 +6,14 @@ hits are ordered by (score, position), so equal scores have a fixed order.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+import re
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+import pyarrow.fs as pa_fs
+import pyarrow.parquet as pq
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -19,8 +22,8 @@ from shelfmark import fixed
 from shelfmark.session import materialize
 
 SCORE_DECIMALS = 12
-BROADCAST_BYTES = 256 * 1024**2
-BLOCK_BYTES = 128 * 1024**2
+BLOCK_BYTES = 32 * 1024**2
+KEPT_BYTES = 256 * 1024**2
 
 
 def search(corpus: DataFrame, vector: Sequence[float], k: int = fixed.TOP_K) -> DataFrame:
@@ -42,32 +45,36 @@ def search(corpus: DataFrame, vector: Sequence[float], k: int = fixed.TOP_K) ->
     return scored.drop("embedding").orderBy("score", "position").limit(k)
 
 
-def nearest(queries: DataFrame, corpus: DataFrame, key: str, vector: str = "vector",
-            k: int = fixed.TOP_K, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def nearest(queries: DataFrame, corpus: DataFrame, vector: str = "vector", k: int = fixed.TOP_K,
+            block_bytes: int = BLOCK_BYTES, kept_bytes: int = KEPT_BYTES, folder: str | None = None) -> DataFrame:
     """``queries`` without ``vector`` but with ``hits``, its ``k`` nearest documents.
 
     ``corpus`` has ``position``, ``id``, ``embedding`` and metadata columns
     (see ``resolve_metadata``). ``hits`` is an array of structs: score,
-    position, id, metadata; NULL where the query has no vector. The corpus is
-    measured first: up to ``broadcast_bytes`` every task gets a copy and the
-    queries are not shuffled at all; a larger one is searched block by block.
+    position, id, metadata; NULL where the query has no vector.
+
+    The corpus is written once to the shared folder and the queries are not
+    shuffled: for each batch of them a task goes through the stored corpus in
+    blocks of about ``block_bytes`` and keeps a running best ``k``. A worker
+    process keeps blocks of up to ``kept_bytes`` decoded for its next batches
+    and reads the rest again, so the corpus may be of any size. Reading costs
+    little beside the product: a block is compared with a whole batch.
     """
-    stats = corpus_stats(corpus).first()
-    if stats["bytes"] <= broadcast_bytes:
-        return nearest_broadcast(queries, corpus, vector, k)
-    return nearest_blocks(queries, corpus, key, vector, k, blocks=block_count(stats["bytes"]))
-
-
-def corpus_stats(corpus: DataFrame) -> DataFrame:
-    """One row: ``rows``, and ``bytes`` of vectors and metadata in memory."""
-    payload = F.to_json(F.struct(*[F.col(c) for c in corpus.columns if c != "embedding"]))
-    width = 4 if corpus.schema["embedding"].dataType.elementType.typeName() == "float" else 8
-    size = width * F.size("embedding") + F.octet_length(payload)
-    return corpus.agg(F.count("*").alias("rows"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes"))
+    result = hits_type(corpus)
+    arrow_type = to_arrow_type(result)
+    stored = materialize(corpus.withColumn("embedding", F.col("embedding").cast("array<float>")), "blocks", folder)
+    files = sorted(stored.inputFiles())
+    for file in files[:1]:
+        _open(file).close()
 
+    @F.arrow_udf(result)
+    def hits(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        blocks = block_set(files, k, block_bytes, kept_bytes)
+        for vectors in batches:
+            yield blocks.hits(vectors, arrow_type)
 
-def block_count(corpus_bytes: int, block_bytes: int = BLOCK_BYTES) -> int:
-    return max(1, -(-corpus_bytes // block_bytes))
+    # Marked so that Catalyst never copies the search into a pushed-down filter.
+    return queries.withColumn("hits", hits.asNondeterministic()(F.col(vector))).drop(vector)
 
 
 def hits_type(corpus: DataFrame) -> T.ArrayType:
@@ -79,125 +86,150 @@ def hits_type(corpus: DataFrame) -> T.ArrayType:
     ]))
 
 
-def nearest_broadcast(queries: DataFrame, corpus: DataFrame, vector: str = "vector",
-                      k: int = fixed.TOP_K) -> DataFrame:
-    """Search with a copy of the corpus in every task; for a corpus of checked size."""
-    result = hits_type(corpus)
-    arrow_type = to_arrow_type(result)
-    copy = corpus.sparkSession.sparkContext.broadcast(corpus.toArrow().combine_chunks())
-
-    @F.arrow_udf(result)
-    def hits(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        block = CorpusBlock(copy.value, k)
-        for vectors in batches:
-            yield block.hits(vectors, arrow_type)
+def _open(file: str) -> pa.NativeFile:
+    """A file of the shared folder, opened by a worker process."""
+    uri = re.sub("^s3[an]:", "s3:", re.sub("^file:/+", "file:///", file))
+    try:
+        system, path = pa_fs.FileSystem.from_uri(uri)
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError, ValueError) as error:
+        raise ValueError(f"{file}: the search needs a work folder on file, hdfs, s3, gs or abfs") from error
+    return system.open_input_file(path)
+
+
+_sets: dict[tuple, BlockSet] = {}
+
+
+def block_set(files: list[str], k: int, block_bytes: int, kept_bytes: int) -> BlockSet:
+    """The blocks of the corpus that this worker process searched last, or of a new one."""
+    key = (*files, k, block_bytes, kept_bytes)
+    if key not in _sets:
+        _sets.clear()
+        _sets[key] = BlockSet(files, k, block_bytes, kept_bytes)
+    return _sets[key]
+
+
+class BlockSet:
+    """A stored corpus as a sequence of blocks, the first of them kept, and the exact search in all of them."""
+
+    def __init__(self, files: list[str], k: int, block_bytes: int, kept_bytes: int):
+        self.files, self.k, self.block_bytes, self.kept_bytes = files, k, block_bytes, kept_bytes
+        self.kept: list[CorpusBlock] = []
+        self.ended = False  # whether the kept blocks are all there are
+        self.empty: pa.Table | None = None
+
+    def blocks(self) -> Iterator[CorpusBlock]:
+        yield from self.kept
+        if self.ended:
+            return
+        held = sum(b.size for b in self.kept)
+        keeping, skip = True, len(self.kept)
+        for number, table in enumerate(self._tables()):
+            if number < skip:
+                continue
+            block = CorpusBlock(table, self.k)
+            held += block.size
+            keeping = keeping and held <= self.kept_bytes
+            if keeping:
+                self.kept.append(block)
+            yield block
+        self.ended = keeping
+
+    def _tables(self) -> Iterator[pa.Table]:
+        """The corpus in tables of about ``block_bytes`` of vectors, whatever the sizes of its files."""
+        parts: list[pa.RecordBatch] = []
+        held = 0
+        for name in self.files:
+            with _open(name) as source, pq.ParquetFile(source) as file:
+                rows, leaf = file.metadata.num_rows, file.schema_arrow.get_field_index("embedding")
+                self.empty = file.schema_arrow.empty_table() if self.empty is None else self.empty
+                if not rows:
+                    continue
+                values = max(1, _leaf_values(file, "embedding"))
+                step = max(1, self.block_bytes * rows // (4 * values))
+                for batch in file.iter_batches(batch_size=step):
+                    parts.append(batch)
+                    held += 4 * len(batch.column(leaf).values)
+                    if held >= self.block_bytes:
+                        yield pa.Table.from_batches(parts).combine_chunks()
+                        parts, held = [], 0
+        if parts:
+            yield pa.Table.from_batches(parts).combine_chunks()
 
-    # Marked so that Catalyst never copies the search into a pushed-down filter.
-    once = hits.asNondeterministic()
-    return queries.withColumn("hits", once(F.col(vector))).drop(vector)
+    def hits(self, vectors: pa.Array, arrow_type: pa.DataType) -> pa.Array:
+        """One list of hits per vector; NULL for NULL."""
+        if isinstance(vectors, pa.ChunkedArray):
+            vectors = vectors.combine_chunks()
+        present = vectors.is_valid().to_numpy(zero_copy_only=False)
+        counts = np.zeros(len(vectors), dtype=np.int64)
+        best = Best(int(present.sum()), self.k)
+        if present.any():
+            queries = _matrix(vectors.drop_null())
+            unit, norm = _unit(queries)
+            for block in self.blocks():
+                block.search(unit, norm > 0, best)
+        counts[present], score, rows = best.result()
+        offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+        columns = [
+            pa.array(score) if f.name == "score" else
+            rows.column(f.name).combine_chunks().cast(f.type) if rows is not None else pa.nulls(0, f.type)
+            for f in arrow_type.value_type
+        ]
+        return pa.ListArray.from_arrays(
+            pa.array(offsets), pa.StructArray.from_arrays(columns, fields=list(arrow_type.value_type)),
+            type=arrow_type, mask=pa.array(~present),
+        )
 
 
-def nearest_blocks(queries: DataFrame, corpus: DataFrame, key: str, vector: str = "vector",
-                   k: int = fixed.TOP_K, blocks: int = 1, slices: int | None = None,
-                   folder: str | None = None) -> DataFrame:
-    """Search a corpus of any size on a grid of query slices and corpus blocks.
+def _leaf_values(file: pq.ParquetFile, column: str) -> int:
+    """How many numbers a list column holds, by the file's footer."""
+    footer, leaves = file.metadata, [file.schema.column(i).path.split(".")[0] for i in range(len(file.schema))]
+    return sum(footer.row_group(g).column(leaves.index(column)).num_values for g in range(footer.num_row_groups))
 
-    Queries are written once with a row number of their own, by which they are
-    dealt out and their hits come back, so repeated or NULL keys are rows like
-    any others.
 
-    Every grid cell is one partition. Its corpus block comes first and is the
-    only part held in memory, the queries stream past it in Arrow batches.
-    Each cell keeps the best ``k`` per query. Both sides are dealt out by hash,
-    so no cell depends on how values repeat.
-    """
-    spark = queries.sparkSession
-    slices = slices or max(1, -(-_parallelism(spark) // blocks))
-    result = hits_type(corpus)
-    arrow_type = to_arrow_type(result)
-    key_type = T.LongType()
-    queries = materialize(queries.withColumn("__row", F.monotonically_increasing_id()), "queries", folder)
-    fields = [f for f in corpus.schema.fields if f.name != "embedding"]
-
-    corpus_side = corpus.select(
-        F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice"),
-        F.pmod(F.xxhash64("position"), F.lit(blocks)).cast("int").alias("block"),
-        F.lit(0).alias("side"),
-        F.lit(None).cast(key_type).alias("query"),
-        F.col("embedding").cast("array<float>").alias("embedding"),
-        *[F.col(f.name) for f in fields],
-    )
-    searched = queries.where(F.col(vector).isNotNull())
-    query_side = searched.select(
-        F.pmod(F.xxhash64("__row"), F.lit(slices)).cast("int").alias("slice"),
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
-        F.lit(1).alias("side"),
-        F.col("__row").alias("query"),
-        F.col(vector).cast("array<float>").alias("embedding"),
-        *[F.lit(None).cast(f.dataType).alias(f.name) for f in fields],
-    )
-    cells = (
-        corpus_side.unionByName(query_side)
-        .withColumn("cell", (F.col("slice") * blocks + F.col("block")).cast("int"))
-        .drop("slice", "block")
-        .repartitionById(slices * blocks, F.col("cell"))
-        .sortWithinPartitions("cell", "side")
-    )
-    local_schema = T.StructType([T.StructField("query", key_type), T.StructField("hits", result)])
-    local = cells.mapInArrow(_cell_search(k, arrow_type), local_schema)
-    # The rank filter above the window lets every task drop all but k rows per
-    # query before the shuffle, so the number of blocks does not matter here.
-    ranked = local.select("query", F.explode("hits").alias("hit")).withColumn(
-        "rank", F.row_number().over(Window.partitionBy("query").orderBy("hit.score", "hit.position"))
-    )
-    merged = (
-        ranked.where(F.col("rank") <= k)
-        .groupBy(F.col("query").alias("__row"))
-        .agg(F.array_sort(F.collect_list("hit")).alias("__hits"))
-    )
-    with_flag = queries.withColumn("__asked", F.col(vector).isNotNull()).drop(vector)
-    none = F.array().cast(result)
-    return (
-        with_flag.join(merged, "__row", "left")
-        .withColumn("hits", F.when(F.col("__asked"), F.coalesce("__hits", none)))
-        .drop("__asked", "__hits", "__row")
-    )
-
-
-def _parallelism(spark: SparkSession) -> int:
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-
-
-def _cell_search(k: int, arrow_type: pa.DataType) -> Callable:
-    """Task function over rows sorted by (cell, side)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell, corpus_rows, block = None, [], None
-        for batch in batches:
-            cells = batch.column("cell").to_numpy(zero_copy_only=False)
-            sides = batch.column("side").to_numpy(zero_copy_only=False)
-            cuts = np.flatnonzero((np.diff(cells) != 0) | (np.diff(sides) != 0)) + 1
-            for start, end in zip([0, *cuts], [*cuts, len(cells)]):
-                if start == end:
-                    continue
-                part = batch.slice(start, end - start)
-                if cells[start] != cell:
-                    cell, corpus_rows, block = cells[start], [], None
-                if sides[start] == 0:
-                    corpus_rows.append(part)
-                    continue
-                if block is None and corpus_rows:
-                    table = pa.Table.from_batches(corpus_rows).drop_columns(["cell", "side", "query"])
-                    block, corpus_rows = CorpusBlock(table.combine_chunks(), k), []
-                if block is not None:
-                    hits = block.hits(part.column("embedding"), arrow_type)
-                    yield pa.RecordBatch.from_arrays([part.column("query"), hits], ["query", "hits"])
+class Best:
+    """The best ``k`` documents so far of each of ``count`` queries, by (score, position)."""
 
-    return run
+    def __init__(self, count: int, k: int):
+        self.k = k
+        self.score = np.full((count, k), np.inf)
+        self.position = np.zeros((count, k), dtype=np.int64)
+        self.place = np.full((count, k), -1, dtype=np.int64)  # row of the documents found
+        self.found: list[pa.Table] = []
+        self.rows = 0
+
+    def add(self, first: int, count: int, row: np.ndarray, score: np.ndarray, position: np.ndarray,
+            column: np.ndarray, payload: pa.Table) -> None:
+        """Merge documents ``column`` of ``payload``, found for queries ``first + row``."""
+        old = np.nonzero(self.place[first:first + count] >= 0)
+        window = slice(first, first + count)
+        rows = np.concatenate([old[0], row])
+        scores = np.concatenate([self.score[window][old], score])
+        positions = np.concatenate([self.position[window][old], position])
+        places = np.concatenate([self.place[window][old], -2 - column])
+        order = np.lexsort((positions, scores, rows))
+        rank = np.arange(len(order)) - np.searchsorted(rows[order], rows[order])
+        order, rank = order[rank < self.k], rank[rank < self.k]
+        rows, places = rows[order], places[order]
+        fresh = places < -1
+        taken, where = np.unique(-2 - places[fresh], return_inverse=True)
+        places[fresh] = self.rows + where
+        if len(taken):
+            self.found.append(payload.take(pa.array(taken)))
+            self.rows += len(taken)
+        for held, empty, values in ((self.score, np.inf, scores[order]), (self.position, 0, positions[order]),
+                                    (self.place, -1, places)):
+            held[window] = empty
+            held[first + rows, rank] = values
+
+    def result(self) -> tuple[np.ndarray, np.ndarray, pa.Table | None]:
+        """Hits of each query, then all scores and documents in order."""
+        filled = self.place >= 0
+        rows = pa.concat_tables(self.found).take(pa.array(self.place[filled])) if self.found else None
+        return filled.sum(axis=1), self.score[filled], rows
 
 
 class CorpusBlock:
-    """Corpus rows held by one task, and the exact search in them."""
+    """Corpus rows held by one worker process, and the exact search in them."""
 
     def __init__(self, table: pa.Table, k: int):
         self.k = k
@@ -208,70 +240,48 @@ class CorpusBlock:
             raw, table = raw[keep], table.take(pa.array(keep))
         self.raw = raw
         self.payload = table.drop_columns(["embedding"]).combine_chunks()
+        self.position = self.payload.column("position").to_numpy()
+        self.size = 3 * raw.nbytes + self.payload.nbytes
         unit, self.norm = _unit(raw)
         self.unit = unit.astype(np.float32)
         self.square = (self.norm > 0).astype(np.float32)
         self.norm = np.where(self.norm > 0, self.norm, 1.0)
 
-    def hits(self, vectors: pa.Array, arrow_type: pa.DataType) -> pa.Array:
-        """One list of hits per vector; NULL for NULL."""
-        if isinstance(vectors, pa.ChunkedArray):
-            vectors = vectors.combine_chunks()
-        present = vectors.is_valid().to_numpy(zero_copy_only=False)
-        counts = np.zeros(len(vectors), dtype=np.int64)
-        index, score = np.empty(0, np.int64), np.empty(0)
-        if present.any() and len(self.raw):
-            queries = _matrix(vectors.drop_null())
-            if queries.shape[1] != self.raw.shape[1]:
-                raise ValueError(
-                    f"query vectors have {queries.shape[1]} components, corpus vectors {self.raw.shape[1]}"
-                )
-            found, index, score = self._search(queries)
-            counts[present] = found
-        offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-        rows = self.payload.take(pa.array(index))
-        struct = arrow_type.value_type
-        columns = [
-            pa.array(score) if f.name == "score" else rows.column(f.name).combine_chunks().cast(f.type)
-            for f in struct
-        ]
-        return pa.ListArray.from_arrays(
-            pa.array(offsets), pa.StructArray.from_arrays(columns, fields=list(struct)),
-            type=arrow_type, mask=pa.array(~present),
-        )
-
-    def _search(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        rows = max(1, 64 * 1024**2 // (4 * len(self.raw)))
-        parts = [self._search_some(queries[i : i + rows]) for i in range(0, len(queries), rows)]
-        return tuple(np.concatenate(p) for p in zip(*parts))
+    def search(self, unit: np.ndarray, nonzero: np.ndarray, best: Best) -> None:
+        """Merge what this block holds for queries of unit length into ``best``."""
+        if unit.shape[1] != self.raw.shape[1]:
+            raise ValueError(f"query vectors have {unit.shape[1]} components, corpus vectors {self.raw.shape[1]}")
+        step = max(1, 64 * 1024**2 // (4 * len(self.raw)))
+        for first in range(0, len(unit), step):
+            self._search_some(first, unit[first:first + step], nonzero[first:first + step], best)
 
-    def _search_some(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _search_some(self, first: int, unit: np.ndarray, nonzero: np.ndarray, best: Best) -> None:
         """Single-precision product, then exact scores of all that can be in the best k.
 
         ``near`` differs from the exact score (less the query's own square) by
         at most ``slip``, the worst-case rounding of a dot product of unit
         vectors. A document of the exact best k is therefore within
-        ``2 * slip`` of the k-th smallest value of its row.
+        ``2 * slip`` of the k-th smallest value of its row, and within ``slip``
+        of the k-th best score of earlier blocks.
         """
-        unit, _ = _unit(queries)
         near = self.square - 2 * (unit.astype(np.float32) @ self.unit.T)
         near[np.isnan(near)] = np.inf  # such documents come last, and never bound the others
         k = min(self.k, near.shape[1])
-        slip = 2.0 * (queries.shape[1] + 8) * 2.0**-24
-        bound = np.partition(near, k - 1, axis=1)[:, k - 1] + np.float32(2 * slip)
+        slip = 2.0 * (unit.shape[1] + 8) * 2.0**-24
+        bound = np.partition(near, k - 1, axis=1)[:, k - 1] + 2 * slip
+        earlier = best.score[first:first + len(unit), -1] - nonzero + slip
+        earlier[np.isnan(earlier)] = np.inf
+        # One step up: the bound must not round below a value that it allows.
+        bound = np.nextafter(np.minimum(bound, earlier).astype(np.float32), np.float32(np.inf))
         row, column = np.nonzero(near <= bound[:, None])
         score = np.empty(len(row))
-        step = max(1, 4_000_000 // queries.shape[1])
+        step = max(1, 4_000_000 // unit.shape[1])
         for i in range(0, len(row), step):
             r, c = row[i : i + step], column[i : i + step]
             gap = unit[r] - self.raw[c] / self.norm[c, None]
             score[i : i + step] = np.einsum("ij,ij->i", gap, gap).round(SCORE_DECIMALS)
-        # Columns are in position order already.
-        order = np.lexsort((column, score, row))
-        row, column, score = row[order], column[order], score[order]
-        rank = np.arange(len(row)) - np.searchsorted(row, row)
-        best = rank < k
-        return np.bincount(row[best], minlength=len(queries)), column[best], score[best]
+        if len(row):
+            best.add(first, len(unit), row, score, self.position[column], column, self.payload)
 
 
 def _matrix(vectors: pa.Array) -> np.ndarray:

@@ -14,7 +14,7 @@ from shelfmark.functions.vectors import with_vector
 from shelfmark.operators import answers as an
 from shelfmark.operators import chat, prompts, reports
 from shelfmark.operators.candidates import path_prefix, with_candidates
-from shelfmark.operators.knn import BROADCAST_BYTES, nearest
+from shelfmark.operators.knn import BLOCK_BYTES, nearest
 from shelfmark.operators.numbering import assign_batches
 from shelfmark.session import fingerprint, materialize, materialize_in_waves, open_run, run_folder
 from shelfmark.sources.tables import apply_pending_updates, last_update, pending_rows
@@ -41,7 +41,7 @@ class Classification:
 
 def prepared_products(table: DataFrame, corpus: DataFrame, key: str, prompt_columns: Sequence[str],
                       target: str, vector: str, dimensions: int | None, k: int, batch_rows: int,
-                      broadcast_bytes: int = BROADCAST_BYTES, folder: str | None = None) -> DataFrame:
+                      folder: str | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Pending rows with batch number, vector status, context and candidates.
 
     Search and candidates stay within the row, so with a broadcast corpus the
@@ -58,7 +58,7 @@ def prepared_products(table: DataFrame, corpus: DataFrame, key: str, prompt_colu
         *[F.col(f) if f in corpus.columns else F.lit(absent).alias(f) for f, absent in _ABSENT.items()],
         path_prefix(F.col("hierarchy_path")).alias("hierarchy_path"),
     )
-    found = with_candidates(nearest(context, documents, key, "__vector", k, broadcast_bytes))
+    found = with_candidates(nearest(context, documents, "__vector", k, block_bytes, folder=folder))
     return found.join(assign_batches(pending, key, batch_rows, folder=folder), key)
 
 
@@ -93,7 +93,7 @@ def classify(table: DataFrame, corpus: DataFrame, key: str, make_provider: Calla
              targets: Sequence[str] = fixed.TARGET_COLUMNS, vector: str = fixed.VECTOR_COLUMN,
              dimensions: int | None = None, k: int = fixed.TOP_K, batch_rows: int = fixed.PROMPT_ROWS,
              coerce_ids: bool = False, only_null: bool = False, plain: bool = False,
-             broadcast_bytes: int = BROADCAST_BYTES, call_partitions: int | None = None,
+             block_bytes: int = BLOCK_BYTES, call_partitions: int | None = None,
              folder: str | None = None, waves: int = 1, resume: bool = False,
              failure_path: str | None = None, texts: prompts.PromptTexts | None = None) -> Classification:
     """Classify the rows whose first target column is NULL.
@@ -121,7 +121,7 @@ def classify(table: DataFrame, corpus: DataFrame, key: str, make_provider: Calla
             "corpus": fingerprint(corpus)})
     products = materialize(
         lambda: prepared_products(table, corpus, key, prompt_columns, targets[0], vector, dimensions, k, batch_rows,
-                                  broadcast_bytes, folder),
+                                  folder, block_bytes),
         "products", folder, resume,
     )
     asked = materialize(lambda: product_prompts(products, key, plain, texts), "prompts", folder, resume)

@@ -175,10 +175,10 @@ def test_resumed_classification_repeats_no_call(spark, corpus, tmp_path):
     assert not (tmp_path / "failures").exists()
 
 
-def test_large_corpus_way_gives_the_same_table(spark, corpus):
+def test_any_block_size_gives_the_same_table(spark, corpus):
     table = embed_rows(product_table(spark), "id", ["name"], hashing_provider(32), 32)
     one = classify(table, corpus, "id", first_option_provider(), ["name"], TARGETS, dimensions=32)
-    two = classify(table, corpus, "id", first_option_provider(), ["name"], TARGETS, dimensions=32, broadcast_bytes=0)
+    two = classify(table, corpus, "id", first_option_provider(), ["name"], TARGETS, dimensions=32, block_bytes=1)
     assert one.table.exceptAll(two.table).isEmpty() and two.table.count() == 25
 
 

@@ -49,23 +49,39 @@ def data():
 
 
 @pytest.mark.parametrize("k", [1, 30, 500])
-def test_both_ways_are_exact(spark, data, k):
+def test_blocks_of_any_size_are_exact(spark, data, k):
     vectors, queries = data
     corpus = frame(spark, vectors)
     asked = frame(spark, queries, "vector").select("position", "vector")
     expected = brute_force(queries, vectors, k)
-    same(found(knn.nearest_broadcast(asked, corpus, "vector", k)), expected)
-    same(found(knn.nearest_blocks(asked, corpus, "position", "vector", k, blocks=4, slices=3)), expected)
-    same(found(knn.nearest_blocks(asked, corpus, "position", "vector", k, blocks=1)), expected)
+    for block_bytes, kept_bytes in ((1 << 25, 1 << 28), (24 * 4 * 70, 1 << 28), (24 * 4 * 13, 24 * 4 * 90), (1, 0)):
+        same(found(knn.nearest(asked, corpus, "vector", k, block_bytes, kept_bytes)), expected)
 
 
-def test_choice_by_measured_size(spark, data):
+def test_blocks_are_kept_up_to_a_bound(spark, data, tmp_path):
     vectors, queries = data
-    corpus, asked = frame(spark, vectors), frame(spark, queries, "vector").select("position", "vector")
-    assert "ArrowEvalPython" in plan(knn.nearest(asked, corpus, "position"))
-    large = knn.nearest(asked, corpus, "position", broadcast_bytes=1000)
-    assert "MapInArrow" in plan(large)
-    same(found(large), brute_force(queries, vectors, 30))
+    frame(spark, vectors).write.parquet(str(tmp_path / "corpus"))
+    files = sorted(spark.read.parquet(str(tmp_path / "corpus")).inputFiles())
+    unit, norm = knn._unit(np.asarray(queries, dtype=np.float32))
+    expected = brute_force(queries, vectors, 7)
+    for kept_bytes in (0, 60_000, 1 << 28):
+        held = knn.BlockSet(files, 7, 24 * 4 * 50, kept_bytes)
+        for _ in range(3):
+            best = knn.Best(len(queries), 7)
+            rows = 0
+            for block in held.blocks():
+                rows += len(block.raw)
+                block.search(unit, norm > 0, best)
+            counts, score, documents = best.result()
+            assert counts.tolist() == [7] * len(queries) and 200 < rows <= 300
+            assert documents.column("position").to_pylist() == [p for row in expected for p, _ in row]
+            assert sum(b.size for b in held.kept) <= kept_bytes
+        assert held.ended == (kept_bytes == 1 << 28) and bool(held.kept) == (kept_bytes > 0)
+
+
+def test_work_folder_must_be_readable_by_workers():
+    with pytest.raises(ValueError, match="work folder"):
+        knn._open("nosuch://folder/part.parquet")
 
 
 def test_near_copies_do_not_confuse_single_precision(spark):
@@ -73,29 +89,26 @@ def test_near_copies_do_not_confuse_single_precision(spark):
     base = rng.normal(size=64)
     vectors = base + rng.normal(scale=2e-5, size=(400, 64))
     corpus, asked = frame(spark, vectors), frame(spark, vectors[:20], "vector").select("position", "vector")
-    same(found(knn.nearest_broadcast(asked, corpus, "vector", 5)), brute_force(vectors[:20], vectors, 5))
+    for block_bytes in (1 << 25, 64 * 4 * 37):
+        same(found(knn.nearest(asked, corpus, "vector", 5, block_bytes)), brute_force(vectors[:20], vectors, 5))
 
 
 def test_missing_query_vectors_and_empty_corpus(spark, data):
     vectors, _ = data
     corpus = frame(spark, vectors)
     asked = frame(spark, [vectors[0], None, vectors[1]], "vector").select("position", "vector")
-    for result in (
-        knn.nearest_broadcast(asked, corpus, "vector", 2),
-        knn.nearest_blocks(asked, corpus, "position", "vector", 2, blocks=3),
-    ):
-        hits = found(result)
+    for block_bytes in (1 << 25, 1000):
+        hits = found(knn.nearest(asked, corpus, "vector", 2, block_bytes))
         assert hits[1] is None and hits[0][0][0] == 0 and hits[2][0][0] == 1
     empty = corpus.where("position < 0")
-    assert found(knn.nearest(asked, empty, "position")) == [[], None, []]
-    assert found(knn.nearest_blocks(asked, empty, "position", blocks=2)) == [[], None, []]
+    assert found(knn.nearest(asked, empty)) == [[], None, []]
 
 
 def test_wrong_sizes_are_errors(spark, data):
     vectors, _ = data
     corpus = frame(spark, vectors)
     with pytest.raises(Exception, match="components"):
-        knn.nearest_broadcast(frame(spark, [[1.0, 2.0]], "vector"), corpus).collect()
+        knn.nearest(frame(spark, [[1.0, 2.0]], "vector"), corpus).collect()
 
 
 def test_single_search(spark, data):

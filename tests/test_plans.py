@@ -23,7 +23,7 @@ def test_no_nested_loop_or_cartesian_product(name, spark, folder):
 
 
 def test_search_and_candidates_need_no_shuffle(spark, folder):
-    found = with_candidates(knn.nearest_broadcast(fx.query_vectors(spark, folder), fx.resolved_corpus(spark, folder)))
+    found = with_candidates(knn.nearest(fx.query_vectors(spark, folder), fx.resolved_corpus(spark, folder)))
     assert "Exchange" not in plan(found)
     rows = plan(candidate_rows(found, "query_id"))
     assert rows.count("ArrowEvalPython") == 1 and rows.count("FileScan") == 1
@@ -31,11 +31,11 @@ def test_search_and_candidates_need_no_shuffle(spark, folder):
     assert rows.count("array_distinct") == 1
 
 
-def test_block_search_shuffles_vectors_once(spark, folder):
-    queries = fx.query_vectors(spark, folder)
-    text = plan(knn.nearest_blocks(queries, fx.resolved_corpus(spark, folder, "position"), "query_id", blocks=3))
-    assert text.count("shufflepartitionidpassthrough") == text.count("REPARTITION_BY_NUM") > 0
-    assert "WindowGroupLimit" in text
+def test_search_plan_is_the_same_for_any_block_size(spark, folder):
+    queries, corpus = fx.query_vectors(spark, folder), fx.resolved_corpus(spark, folder, "position")
+    plans = [plan(knn.nearest(queries, corpus, block_bytes=size, kept_bytes=kept)) for size, kept in ((1, 0), (1 << 30, 1 << 30))]
+    for text in plans:
+        assert "Exchange" not in text and "Broadcast" not in text and text.count("ArrowEvalPython") == 1
 
 
 def test_pending_filter_reaches_the_scan(spark, folder, tmp_path):

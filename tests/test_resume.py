@@ -9,7 +9,7 @@ from shelfmark.functions.text import float_text
 from shelfmark.operators.answers import parse_responses
 from shelfmark.operators.chat import complete
 from shelfmark.operators.embedding import check_vectors, hashing_provider
-from shelfmark.operators.knn import nearest_blocks, nearest_broadcast, search
+from shelfmark.operators.knn import nearest, search
 from shelfmark.operators.prompts import PromptTexts, batch_prompts
 from shelfmark.plans.embed_rows import embed_rows, embed_updates
 from shelfmark.session import materialize
@@ -88,19 +88,22 @@ def test_odd_completions_fail_their_row_only(spark, answer, error, tokens):
     assert found[2].content == "[]" and found[2].prompt_tokens == 1
 
 
-def test_both_searches_agree_on_repeated_and_null_keys(spark):
+def test_repeated_and_null_keys_are_searched_alike(spark):
     corpus = spark.createDataFrame([(i, f"d{i}", [float(i % 7), 1.0]) for i in range(30)] + [(30, "nan", [float("nan"), 1.0])],
                                    "position bigint, id string, embedding array<float>")
     queries = spark.createDataFrame([(1, [0.0, 1.0]), (1, [6.0, 1.0]), (None, [3.0, 1.0]), (2, None)], "key bigint, vector array<float>")
-    plain = [(r.key, [h.position for h in r.hits] if r.hits is not None else None) for r in nearest_broadcast(queries, corpus, k=3).collect()]
-    for blocks in (1, 2, 20):
-        grid = [(r.key, [h.position for h in r.hits] if r.hits is not None else None)
-                for r in nearest_blocks(queries, corpus, "key", k=3, blocks=blocks).collect()]
-        assert sorted(grid, key=repr) == sorted(plain, key=repr)
+
+    def positions(**options):
+        return [(r.key, r.hits and [h.position for h in r.hits]) for r in nearest(queries, corpus, k=3, **options).collect()]
+
+    plain = positions()
+    assert plain == [(1, [0, 7, 14]), (1, [6, 13, 20]), (None, [3, 10, 17]), (2, None)]
+    assert positions(block_bytes=1) == positions(block_bytes=40) == positions(block_bytes=40, kept_bytes=0) == plain
     one = [r.position for r in search(corpus, [3.0, 1.0], 3).collect()]
     assert (None, one) in plain
     small = corpus.where("position >= 28")
-    assert [h.position for h in nearest_broadcast(queries.limit(1), small, k=3).first().hits][:2] == [28, 29]
+    for size in (1, 1000):
+        assert [h.position for h in nearest(queries.limit(1), small, k=3, block_bytes=size).first().hits][:2] == [28, 29]
 
 
 def test_finished_rows_pass_without_a_shuffle(spark, tmp_path):
