@@ -409,6 +409,7 @@ FROM customer LEFT JOIN (
     SELECT o_custkey, o_orderpriority, o_totalprice FROM orders
     QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) = 1
 ) ON o_custkey = c_custkey"""
+ORACLES["keyed_in_place"] = ORACLES["keyed_update"]
 ORACLES["category_counts"] = """
 WITH results AS (
     SELECT event_id // 20 AS batch, event_id AS ordinal,
@@ -443,6 +444,8 @@ ORACLES["job_embed"] = _with(
 SELECT doc_id, coalesce('[' || quality || ']', vector) AS embedding_context
 FROM labelled LEFT JOIN vectors ON key = doc_id"""
 
+ORACLES["job_embed_in_place"] = ORACLES["job_embed"]
+
 _JOB = _with(BY_CODE, NEAREST, HITS, CANDIDATES, PREPARED) + f"""
 , chosen AS (
     SELECT product_id, {SIX_COLUMNS} FROM asked JOIN full_options ON query_id = product_id AND rank = 1

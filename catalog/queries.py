@@ -12,12 +12,13 @@ from shelfmark.functions import text as tx
 from shelfmark.functions import vectors as vx
 from shelfmark.operators import answers as an
 from shelfmark.operators import candidates as cd
-from shelfmark.operators import chat, embedding, knn, numbering, reports, tree
+from shelfmark.operators import chat, embedding, knn, numbering, prompts, reports, tree
 from shelfmark.plans import build_vectors as jb
 from shelfmark.plans import classify as jc
 from shelfmark.plans import embed_rows as je
 from shelfmark.session import run_folder
 from shelfmark.sources import corpus as cp
+from shelfmark.sources import keyed
 from shelfmark.sources import tables as tb
 from shelfmark.sources import taxonomy
 
@@ -260,35 +261,33 @@ def prompt_batches(spark, folder):
     return numbering.assign_batches(pending, "doc_id", 10)
 
 
-def _prepared(spark, folder):
-    return jc.prepared_products(
+def _prompts(spark, folder, texts=prompts.STANDARD):
+    batches = jc.prepared_batches(
         fx.products(spark, folder), fx.resolved_corpus(spark, folder), "product_id", fx.PROMPT_COLUMNS,
-        "gs1_segment", "embedding_context", fx.DIMENSION, 30, 10,
+        "gs1_segment", "embedding_context", fx.DIMENSION, 30, 10, texts,
     )
+    return jc.product_prompts(batches, texts)
 
 
 @query
 def prompt_text(spark, folder):
-    asked = jc.product_prompts(_prepared(spark, folder), "product_id")
-    return asked.select("batch", "products", F.md5("system_message").alias("system_md5"), "user_message")
+    return _prompts(spark, folder).select("batch", "products", F.md5("system_message").alias("system_md5"), "user_message")
 
 
 @query
 def prompt_fallback(spark, folder):
-    asked = jc.product_prompts(_prepared(spark, folder), "product_id", plain=True)
+    asked = _prompts(spark, folder, prompts.PLAIN)
     return asked.select("batch", "products", F.md5("system_message").alias("system_md5"), "user_message")
 
 
 @query
 def chat_offline(spark, folder):
-    asked = jc.product_prompts(_prepared(spark, folder), "product_id")
-    return chat.complete(asked, chat.first_option_provider()).drop("error")
+    return chat.complete(_prompts(spark, folder), chat.first_option_provider()).drop("error")
 
 
 @query
 def token_usage(spark, folder):
-    asked = jc.product_prompts(_prepared(spark, folder), "product_id")
-    return chat.token_usage(chat.complete(asked, chat.first_option_provider()))
+    return chat.token_usage(chat.complete(_prompts(spark, folder), chat.first_option_provider()))
 
 
 # Responses
@@ -351,6 +350,19 @@ def keyed_update(spark, folder):
     return tb.apply_updates(fx.table(spark, folder, "customer"), updates, "c_custkey", ["c_mktsegment", "c_acctbal"])
 
 
+@query
+def keyed_in_place(spark, folder):
+    """The same update made in a keyed table of ranges of 500 customers."""
+    place = f"{run_folder(spark)}/customers"
+    keyed.create_keyed(fx.table(spark, folder, "customer"), place, "c_custkey", rows_per_range=500)
+    orders = fx.table(spark, folder, "orders").select(
+        F.col("o_custkey").alias("c_custkey"), "o_orderkey", F.col("o_orderpriority").alias("c_mktsegment"),
+        F.col("o_totalprice").alias("c_acctbal"),
+    )
+    keyed.update_keyed(tb.last_update(orders, "c_custkey", ["o_orderkey"]), place, ["c_mktsegment", "c_acctbal"])
+    return keyed.read_keyed(spark, place)
+
+
 @query
 def category_counts(spark, folder):
     events = fx.table(spark, folder, "events")
@@ -402,6 +414,21 @@ def job_embed(spark, folder):
     return done.select("doc_id", "embedding_context")
 
 
+@query
+def job_embed_in_place(spark, folder):
+    """Vectors written into a keyed table; what had a vector stays in its files where no row of its range lacked one."""
+    place = f"{run_folder(spark)}/documents"
+    documents = fx.labelled_documents(spark, folder).select(
+        "doc_id", "lang", "text", F.concat(F.lit("["), "quality", F.lit("]")).alias("embedding_context")
+    )
+    keyed.create_keyed(documents, place, "doc_id", rows_per_range=1000)
+    je.embed_in_place(
+        spark, place, "doc_id", ["lang", "text"], embedding.hashing_provider(fx.DIMENSION), fx.DIMENSION,
+        call_partitions=spark.sparkContext.defaultParallelism,
+    )
+    return keyed.read_keyed(spark, place).select("doc_id", "embedding_context")
+
+
 def _classified(spark, folder, **options):
     return jc.classify(
         fx.products(spark, folder), fx.resolved_corpus(spark, folder), "product_id", chat.first_option_provider(),

@@ -88,10 +88,14 @@ def batch_prompts(products: DataFrame, key: str, batch: str = "batch", block: st
     """
     blocks = F.array_sort(F.collect_list(F.when(F.col(block).isNotNull(), F.struct(key, block))))
     grouped = products.groupBy(batch).agg(blocks.alias("__blocks")).where(F.size("__blocks") > 0)
-    count = F.size("__blocks")
-    body = F.array_join(F.transform("__blocks", lambda b: b[block]), "")
-    texts = texts or (PLAIN if plain else STANDARD)
-    message = F.concat(F.replace(F.lit(texts.head), F.lit("{n}"), count.cast("string")), body, F.lit(texts.tail))
-    return grouped.select(
+    return block_prompts(grouped, F.transform("__blocks", lambda b: b[block]), batch, texts or (PLAIN if plain else STANDARD))
+
+
+def block_prompts(batches: DataFrame, blocks: Column, batch: str = "batch", texts: PromptTexts = STANDARD) -> DataFrame:
+    """Prompts of batches that hold the texts of their products as an array, without a shuffle."""
+    count = F.size("__texts")
+    message = F.concat(F.replace(F.lit(texts.head), F.lit("{n}"), count.cast("string")), F.array_join("__texts", ""),
+                       F.lit(texts.tail))
+    return batches.select(batch, blocks.alias("__texts")).select(
         batch, count.alias("products"), F.lit(texts.system).alias("system_message"), message.alias("user_message")
     )

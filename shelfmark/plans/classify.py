@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark import fixed
@@ -15,8 +15,9 @@ from shelfmark.operators import answers as an
 from shelfmark.operators import chat, prompts, reports
 from shelfmark.operators.candidates import path_prefix, with_candidates
 from shelfmark.operators.knn import BLOCK_BYTES, nearest
-from shelfmark.operators.numbering import assign_batches
+from shelfmark.operators.numbering import in_batches, key_problems
 from shelfmark.session import fingerprint, materialize, materialize_in_waves, open_run, run_folder
+from shelfmark.sources.keyed import KeyedUpdate, read_keyed, update_keyed
 from shelfmark.sources.tables import apply_pending_updates, last_update, pending_rows
 
 
@@ -37,15 +38,19 @@ class Classification:
     responses: DataFrame
     categories: DataFrame
     summary: DataFrame
+    refused: DataFrame
 
 
-def prepared_products(table: DataFrame, corpus: DataFrame, key: str, prompt_columns: Sequence[str],
-                      target: str, vector: str, dimensions: int | None, k: int, batch_rows: int,
-                      folder: str | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Pending rows with batch number, vector status, context and candidates.
+def prepared_batches(table: DataFrame, corpus: DataFrame, key: str, prompt_columns: Sequence[str],
+                     target: str, vector: str, dimensions: int | None, k: int, batch_rows: int,
+                     texts: prompts.PromptTexts = prompts.STANDARD, folder: str | None = None,
+                     block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Pending rows by batch: ``batch`` and ``products``, an array of key, vector_status, candidates and block.
 
-    Search and candidates stay within the row, so with a broadcast corpus the
-    only shuffles are those of the batch numbers, over the bare keys.
+    Vectors, search, candidates and prompt texts are found where the rows are.
+    One shuffle, of what came of that and not of the vectors, then brings the
+    rows into batches, which are gathered within their partitions. Rows whose
+    key is NULL or repeated are left out.
     """
     pending = pending_rows(table, target, [key, *prompt_columns, vector])
     parsed = with_vector(pending, vector, dimensions, "__vector", "vector_status")
@@ -59,20 +64,31 @@ def prepared_products(table: DataFrame, corpus: DataFrame, key: str, prompt_colu
         path_prefix(F.col("hierarchy_path")).alias("hierarchy_path"),
     )
     found = with_candidates(nearest(context, documents, "__vector", k, block_bytes, folder=folder))
-    return found.join(assign_batches(pending, key, batch_rows, folder=folder), key)
+    block = texts.block(_id_text(pending, key), F.col("context"), F.col("candidates"))
+    products = found.select(
+        key, "vector_status", "candidates", F.when(F.col("vector_status") == "ok", block).alias("block"))
+    placed = in_batches(products, pending.select(key), key, batch_rows, "__batch", "__part", folder=folder)
+    product = F.struct(key, "vector_status", "candidates", "block")
+    # Partitioned by ``__part`` already.
+    grouped = placed.groupBy("__part", "__batch").agg(F.array_sort(F.collect_list(product), _by(key)).alias("products"))
+    return grouped.select(F.col("__batch").alias("batch"), "products")
 
 
-def product_prompts(products: DataFrame, key: str, plain: bool = False,
-                    texts: prompts.PromptTexts | None = None) -> DataFrame:
+def _by(key: str) -> Callable:
+    return lambda a, b: F.when(a[key] < b[key], -1).when(a[key] > b[key], 1).otherwise(0)
+
+
+def batch_products(batches: DataFrame) -> DataFrame:
+    """One row per product: key, vector_status, candidates, block and batch."""
+    return batches.select("batch", F.explode("products").alias("product")).select("product.*", "batch")
+
+
+def product_prompts(batches: DataFrame, texts: prompts.PromptTexts = prompts.STANDARD) -> DataFrame:
     """Prompts of the batches without a failed vector."""
-    texts = texts or (prompts.PLAIN if plain else prompts.STANDARD)
-    usable = F.col("vector_status") == "ok"
-    blocks = products.select(
-        key, "batch", "vector_status",
-        F.when(usable, texts.block(_id_text(products, key), F.col("context"), F.col("candidates"))).alias("block"),
-    )
-    broken = failed_vectors(products).select("batch")
-    return prompts.batch_prompts(blocks.join(broken, "batch", "left_anti"), key, texts=texts)
+    whole = batches.where(~F.exists("products", lambda p: p["vector_status"] == "failed")
+                          & F.exists("products", lambda p: p["block"].isNotNull()))
+    blocks = F.transform(F.filter("products", lambda p: p["block"].isNotNull()), lambda p: p["block"])
+    return prompts.block_prompts(whole, blocks, texts=texts)
 
 
 def _id_text(df: DataFrame, key: str):
@@ -80,12 +96,10 @@ def _id_text(df: DataFrame, key: str):
     return tx.float_text(F.col(key)) if kind in ("float", "double") else F.col(key).cast("string")
 
 
-def failed_vectors(products: DataFrame) -> DataFrame:
+def failed_vectors(batches: DataFrame) -> DataFrame:
     """Batches that hold a vector which cannot be read."""
-    return (
-        products.where(F.col("vector_status") == "failed").select("batch").distinct()
-        .withColumn("error", F.lit("malformed vector"))
-    )
+    return batches.where(F.exists("products", lambda p: p["vector_status"] == "failed")).select(
+        "batch", F.lit("malformed vector").alias("error"))
 
 
 def classify(table: DataFrame, corpus: DataFrame, key: str, make_provider: Callable,
@@ -95,7 +109,8 @@ def classify(table: DataFrame, corpus: DataFrame, key: str, make_provider: Calla
              coerce_ids: bool = False, only_null: bool = False, plain: bool = False,
              block_bytes: int = BLOCK_BYTES, call_partitions: int | None = None,
              folder: str | None = None, waves: int = 1, resume: bool = False,
-             failure_path: str | None = None, texts: prompts.PromptTexts | None = None) -> Classification:
+             failure_path: str | None = None, texts: prompts.PromptTexts | None = None,
+             refuse: bool = True) -> Classification:
     """Classify the rows whose first target column is NULL.
 
     ``corpus`` comes from ``resolve_metadata``. Every pending row is tried
@@ -107,7 +122,19 @@ def classify(table: DataFrame, corpus: DataFrame, key: str, make_provider: Calla
     ``texts`` replaces the prompt's own texts. ``call_partitions`` sets how many tasks
     call the model at once. Failures also go to ``failure_path``, if there are
     any.
+
+    An answer names its product by key, so a pending row whose key is NULL or
+    repeated stops the job before any call; without ``refuse`` such rows stay
+    pending and their keys are listed in ``refused``.
     """
+    texts = texts or (prompts.PLAIN if plain else prompts.STANDARD)
+    pending = pending_rows(table, targets[0], [key, *prompt_columns, vector])
+    refused = key_problems(pending, key)
+    if refuse:
+        odd = refused.limit(5).collect()
+        if odd:
+            raise ValueError("pending rows need a key of their own: " + ", ".join(
+                f"{r['problem']} {r[key]} ({r['rows']} rows)" for r in odd))
     given, folder = folder, folder or run_folder(table.sparkSession)
     if dimensions is None:
         # A vector of another size than the corpus has fails its batch.
@@ -116,15 +143,16 @@ def classify(table: DataFrame, corpus: DataFrame, key: str, make_provider: Calla
         open_run(table.sparkSession, folder, resume, {
             "job": "classify", "key": key, "prompt_columns": list(prompt_columns), "targets": list(targets),
             "vector": vector, "dimensions": dimensions, "k": k, "batch_rows": batch_rows, "coerce_ids": coerce_ids,
-            "plain": plain, "texts": texts and [texts.system, texts.head, texts.tail], "waves": waves,
-            "rows": fingerprint(pending_rows(table, targets[0], [key, *prompt_columns, vector])),
+            "plain": plain, "texts": [texts.system, texts.head, texts.tail], "waves": waves,
+            "rows": fingerprint(pending),
             "corpus": fingerprint(corpus)})
-    products = materialize(
-        lambda: prepared_products(table, corpus, key, prompt_columns, targets[0], vector, dimensions, k, batch_rows,
-                                  folder, block_bytes),
-        "products", folder, resume,
+    batches = materialize(
+        lambda: prepared_batches(table, corpus, key, prompt_columns, targets[0], vector, dimensions, k, batch_rows,
+                                 texts, folder, block_bytes),
+        "batches", folder, resume,
     )
-    asked = materialize(lambda: product_prompts(products, key, plain, texts), "prompts", folder, resume)
+    products = batch_products(batches)
+    asked = materialize(lambda: product_prompts(batches, texts), "prompts", folder, resume)
 
     def answered(part: DataFrame) -> DataFrame:
         part = part.repartition(call_partitions) if call_partitions else part
@@ -138,7 +166,7 @@ def classify(table: DataFrame, corpus: DataFrame, key: str, make_provider: Calla
         lambda: an.match_answers(an.answer_rows(parsed), usable, key, coerce_ids=coerce_ids), "matches", folder, resume
     )
     results = an.matched_results(matches, key, targets=targets)
-    failed_batches = failed_vectors(products).unionByName(
+    failed_batches = failed_vectors(batches).unionByName(
         parsed.where(F.col("error").isNotNull()).select("batch", "error")
     )
     failures = reports.failure_rows(products, failed_batches, key)
@@ -161,4 +189,19 @@ def classify(table: DataFrame, corpus: DataFrame, key: str, make_provider: Calla
         responses=responses,
         categories=reports.category_counts(results, targets[0]),
         summary=reports.run_summary(products, results, failures, batch_rows),
+        refused=refused,
     )
+
+
+def classify_in_place(spark: SparkSession, path: str, corpus: DataFrame, key: str, make_provider: Callable,
+                      targets: Sequence[str] = fixed.TARGET_COLUMNS, only_null: bool = False,
+                      **options) -> tuple[Classification, KeyedUpdate]:
+    """Classify the pending rows of the keyed table at ``path``; only key ranges with new classes are rewritten.
+
+    Takes the ``options`` of :func:`classify`. The ``table`` of the result is the updated one.
+    """
+    run = classify(read_keyed(spark, path), corpus, key, make_provider, targets=targets, only_null=only_null, **options)
+    # What the run says of its rows lies under its folder and does not read the table again, but for ``refused``.
+    refused = materialize(run.refused, "refused", options.get("folder"))
+    done = update_keyed(run.updates, path, list(targets), only_null)
+    return replace(run, table=read_keyed(spark, path), refused=refused), done

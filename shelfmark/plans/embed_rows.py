@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark import fixed
@@ -12,6 +12,7 @@ from shelfmark.functions import text as tx
 from shelfmark.functions.vectors import vector_json
 from shelfmark.operators.embedding import embed
 from shelfmark.session import fingerprint, materialize_in_waves, open_run, run_folder
+from shelfmark.sources.keyed import KeyedUpdate, read_keyed, update_keyed
 from shelfmark.sources.tables import apply_pending_updates, pending_rows
 
 
@@ -61,3 +62,13 @@ def embed_rows(table: DataFrame, key: str, columns: Sequence[str], make_provider
     """
     updates = embed_updates(table, key, columns, make_provider, dimensions, target, **options)
     return apply_pending_updates(table, updates, key, [target], target)
+
+
+def embed_in_place(spark: SparkSession, path: str, key: str, columns: Sequence[str], make_provider: Callable,
+                   dimensions: int, target: str = fixed.VECTOR_COLUMN, **options) -> KeyedUpdate:
+    """Fill ``target`` in the keyed table at ``path`` where it is NULL; only key ranges with such rows are rewritten.
+
+    See :func:`embed_updates` for the ``options``.
+    """
+    updates = embed_updates(read_keyed(spark, path), key, columns, make_provider, dimensions, target, **options)
+    return update_keyed(updates, path, [target], only_null=True)

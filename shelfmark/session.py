@@ -43,7 +43,7 @@ def materialize(source: DataFrame | Callable[[], DataFrame], label: str, folder:
     """
     spark = source.sparkSession if isinstance(source, DataFrame) else SparkSession.active()
     path = f"{folder or run_folder(spark)}/{label}"
-    if resume and _finished(spark, path):
+    if resume and finished(spark, path):
         return spark.read.parquet(path)
     df = source if isinstance(source, DataFrame) else source()
     df.write.mode("overwrite").parquet(path)
@@ -62,7 +62,7 @@ def materialize_in_waves(inputs: DataFrame, key: str, make: Callable[[DataFrame]
     spark = inputs.sparkSession
     if waves > 1:
         path = f"{folder}/{label}/inputs"
-        if not (resume and _finished(spark, path)):
+        if not (resume and finished(spark, path)):
             inputs.withColumn("__wave", F.pmod(F.xxhash64(key), F.lit(waves)).cast("int")).write.mode(
                 "overwrite").partitionBy("__wave").parquet(path)
         schema = T.StructType([*inputs.schema, T.StructField("__wave", T.IntegerType())])
@@ -83,7 +83,7 @@ def open_run(spark: SparkSession, folder: str, resume: bool, settings: dict[str,
     """
     path = f"{folder}/run"
     new = json.loads(json.dumps(settings, default=str))
-    if resume and _finished(spark, path):
+    if resume and finished(spark, path):
         old = json.loads(spark.read.parquet(path).first()["settings"])
         different = sorted(name for name in old.keys() | new.keys() if old.get(name) != new.get(name))
         if different:
@@ -103,7 +103,8 @@ def run_folder(spark: SparkSession) -> str:
     return f"{work_dir(spark)}/shelfmark/{uuid.uuid4().hex}"
 
 
-def _finished(spark: SparkSession, path: str) -> bool:
+def finished(spark: SparkSession, path: str) -> bool:
+    """Whether a write to ``path`` came to its end."""
     marker = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
     return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
 

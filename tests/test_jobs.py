@@ -122,6 +122,24 @@ def test_classify_end_to_end(spark, corpus):
     assert tuple(second.summary.first()) == (0, 0, 0, 0) and second.responses.isEmpty()
 
 
+def test_keys_that_tell_no_rows_apart_are_refused_or_listed(spark, corpus):
+    table = embed_rows(product_table(spark), "id", ["name"], hashing_provider(32), 32)
+    odd = table.withColumn("id", F.when(F.col("id") == 4, None).when(F.col("id") == 6, 7).otherwise(F.col("id")))
+    called = []
+
+    def provider():
+        called.append(1)
+        raise RuntimeError("asked")
+
+    with pytest.raises(ValueError, match="no key None.*repeated key 7|repeated key 7.*no key None"):
+        classify(odd, corpus, "id", provider, ["name"], TARGETS, dimensions=32)
+    run = classify(odd, corpus, "id", first_option_provider(), ["name"], TARGETS, dimensions=32, refuse=False)
+    assert {(r.id, r.rows, r.problem) for r in run.refused.collect()} == {(None, 1, "no key"), (7, 2, "repeated key")}
+    rows = run.table.collect()
+    assert len(rows) == 25 and sum(r.gs1_segment is None for r in rows) == 3
+    assert tuple(run.summary.first()) == (21, 0, 21, 3)
+
+
 def test_classify_failures_stay_in_their_batch(spark, corpus):
     table = embed_rows(product_table(spark, 64), "id", ["name"], hashing_provider(32), 32)
     table = table.withColumn(

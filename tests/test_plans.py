@@ -4,8 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalog import fixtures as fx
+from catalog import queries
 from catalog.queries import QUERIES
-from shelfmark.operators import knn
+from shelfmark.operators import knn, prompts
 from shelfmark.operators.candidates import candidate_rows, with_candidates
 
 # These run jobs while they are built; their plans are those of written tables.
@@ -38,6 +39,16 @@ def test_search_plan_is_the_same_for_any_block_size(spark, folder):
         assert "Exchange" not in text and "Broadcast" not in text and text.count("ArrowEvalPython") == 1
 
 
+@pytest.mark.parametrize("texts", [prompts.STANDARD, prompts.PLAIN])
+def test_one_wide_shuffle_up_to_the_prompt(spark, folder, texts):
+    text = plan(queries._prompts(spark, folder, texts))
+    wide = [line for line in text.splitlines() if "Exchange" in line and "Single" not in line and "Broadcast" not in line]
+    assert len(wide) == 1 and "shufflepartitionidpassthrough" in wide[0]
+    # What is shuffled are candidates and prompt texts, no vectors.
+    shuffled = text[text.index(wide[0]):].splitlines()[1]
+    assert "block" in text and "embedding" not in shuffled.split("[")[1].split("CASE")[0]
+
+
 def test_pending_filter_reaches_the_scan(spark, folder, tmp_path):
     fx.products(spark, folder).write.parquet(f"{tmp_path}/products")
     stored = spark.read.parquet(f"{tmp_path}/products")

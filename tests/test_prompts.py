@@ -1,9 +1,10 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from shelfmark.operators import chat, prompts
-from shelfmark.operators.numbering import assign_batches, number_rows
+from shelfmark.operators.numbering import assign_batches, in_batches, key_problems, number_rows, range_of
 
 PRODUCT = (
     "batch bigint, id bigint, context array<struct<key:string,value:string>>, candidates array<struct<letter:string,"
@@ -63,6 +64,32 @@ def test_batches(spark):
     assert (sizes(10, 3), sizes(6, 3), sizes(0, 3), sizes(1000, 7)) == (4, 2, 0, 143)
 
 
+@pytest.mark.parametrize("n, size, partitions", [(0, 10, 4), (1, 10, 4), (95, 10, 4), (1000, 7, 8), (64, 1, 5), (30, 100, 3)])
+def test_batches_lie_within_partitions(spark, n, size, partitions):
+    rows = spark.range(n).select((F.col("id") * 37 % 1009).alias("k"), F.concat(F.lit("v"), "id").alias("v")).repartition(6)
+    placed = in_batches(rows, rows.select("k"), "k", size, partitions=partitions)
+    found = placed.withColumn("task", F.spark_partition_id()).orderBy("k").collect()
+    assert [r.batch for r in found] == [i // size + 1 for i in range(n)]
+    assert len({(r.batch, r.task) for r in found}) == len({r.batch for r in found})
+    assert {r.part for r in found} <= set(range(partitions)) and sorted(r.v for r in found) == sorted(f"v{i}" for i in range(n))
+    plan = placed.groupBy("part", "batch").agg(F.collect_list("v"))._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan
+
+
+def test_batches_leave_out_keys_that_tell_no_rows_apart(spark):
+    rows = spark.createDataFrame([("b",), ("a",), (None,), ("c",), ("c",), ("d",), (None,), ("",)], "k string").repartition(3)
+    found = in_batches(rows, rows, "k", 2, partitions=2).orderBy("k").collect()
+    assert [(r.k, r.batch) for r in found] == [("", 1), ("a", 1), ("b", 2), ("d", 2)]
+    odd = {r.k: (r.rows, r.problem) for r in key_problems(rows, "k").collect()}
+    assert odd == {None: (2, "no key"), "c": (2, "repeated key")}
+
+
+def test_range_of(spark):
+    rows = spark.range(50).select("id", range_of(F.col("id"), [3, 10, 11, 40]).alias("r")).collect()
+    assert [r.r for r in rows] == [sum(b <= r.id for b in (3, 10, 11, 40)) for r in rows]
+    assert spark.range(2).select(range_of(F.col("id"), [])).distinct().collect() == [(0,)]
+
+
 def test_numbers_follow_any_order(spark):
     df = spark.range(500).select(
         F.concat(F.lit("k"), (F.col("id") * 7 % 500).cast("string")).alias("name"), F.array(F.col("id") % 9, F.col("id")).alias("place")
