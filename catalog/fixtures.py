@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +11,7 @@ from shelfmark.operators.candidates import with_candidates
 from shelfmark.operators.knn import nearest
 from shelfmark.operators.metadata import resolve_metadata
 from shelfmark.sources.corpus import lookup_rows
+from shelfmark.sources.taxonomy import top_nodes
 
 DIMENSION = 64
 PROMPT_COLUMNS = ["p_name", "p_brand", "p_size", "p_retailprice"]
@@ -127,6 +129,23 @@ def tree_documents(spark: SparkSession, folder: str) -> DataFrame:
     """, "customer", "nation", "region")
 
 
+def taxonomy_files(spark: SparkSession, folder: str, path: str) -> str:
+    """All trees of :func:`tree_documents` as JSON files, a file for each task with many top-level nodes."""
+
+    def listed(batches):
+        yield pa.RecordBatch.from_pydict({"value": ['{"Schema": [']})
+        first = True
+        for batch in batches:
+            lines = [line if first and i == 0 else f", {line}" for i, line in enumerate(batch.column(0).to_pylist())]
+            first = first and not lines
+            yield pa.RecordBatch.from_pydict({"value": pa.array(lines, pa.string())})
+        yield pa.RecordBatch.from_pydict({"value": ["]}"]})
+
+    nodes = top_nodes(tree_documents(spark, folder)).select(F.to_json("node").alias("value"))
+    nodes.mapInArrow(listed, "value string").write.text(path)
+    return path
+
+
 def responses(spark: SparkSession, folder: str) -> DataFrame:
     """One model response per ten products, in twelve good and bad shapes."""
     return _sql(spark, folder, """

@@ -409,6 +409,8 @@ FROM customer LEFT JOIN (
     SELECT o_custkey, o_orderpriority, o_totalprice FROM orders
     QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) = 1
 ) ON o_custkey = c_custkey"""
+ORACLES["taxonomy_scan"] = (
+    "SELECT id, level, title, hierarchy_string, definition, excludes, active, text FROM (" + ORACLES["tree_flatten"] + ")")
 ORACLES["keyed_in_place"] = ORACLES["keyed_update"]
 ORACLES["category_counts"] = """
 WITH results AS (

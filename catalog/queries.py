@@ -21,6 +21,7 @@ from shelfmark.sources import corpus as cp
 from shelfmark.sources import keyed
 from shelfmark.sources import tables as tb
 from shelfmark.sources import taxonomy
+from shelfmark.sources import taxonomy_scan as taxonomy_scanner
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -142,6 +143,14 @@ def tree_flatten(spark, folder):
     )
 
 
+@query
+def taxonomy_scan(spark, folder):
+    """The same nodes from few large files, cut by byte ranges."""
+    path = fx.taxonomy_files(spark, folder, f"{run_folder(spark)}/taxonomy")
+    nodes = tree.flatten_tree(taxonomy_scanner.scan_nodes(spark, path))
+    return nodes.select("id", "level", "title", "hierarchy_string", "definition", "excludes", "active", "text")
+
+
 @query
 def node_text(spark, folder):
     part = fx.table(spark, folder, "part")

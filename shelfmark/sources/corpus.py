@@ -11,12 +11,16 @@ from shelfmark import fixed
 from shelfmark.functions import text as tx
 from shelfmark.functions.vectors import vector_json
 from shelfmark.operators.embedding import check_vectors
+from shelfmark.session import fingerprint
 
 METADATA = [
     "source", "level", "code", "title", "hierarchy_path",
     "hierarchy_string", "definition", "excludes", "active",
 ]
 
+#: Parts whose contents are checked when a build is loaded.
+CHECKED = ("corpus", "lookup")
+
 
 def metadata_struct(fields: Sequence[str] = METADATA) -> Column:
     return F.struct(*[F.col(f) for f in fields])
@@ -63,7 +67,9 @@ def save_corpus(corpus: DataFrame, folder: str, model: str, prefix: str,
 
     The corpus is written first; the check and the other outputs read that
     table, so the vectors are computed once. A missing vector or a wrong size
-    stops the build. The manifest comes last: without it there is no build.
+    stops the build. The manifest comes last: without it there is no build. It
+    holds row counts and order-free hashes of corpus and lookup as they were
+    written.
     """
     spark = corpus.sparkSession
     corpus.write.mode("overwrite").parquet(f"{folder}/corpus")
@@ -73,21 +79,29 @@ def save_corpus(corpus: DataFrame, folder: str, model: str, prefix: str,
     dump = stored.select("position", "id", metadata_struct().alias("metadata"))
     dump.orderBy("position").write.mode("overwrite").option("ignoreNullFields", "false").json(f"{folder}/metadata")
     lookup_rows(stored, lookup_fields).write.mode("overwrite").parquet(f"{folder}/lookup")
-    manifest_row(stored, model, prefix).coalesce(1).write.mode("overwrite").json(f"{folder}/manifest")
+    content = {part: fingerprint(spark.read.parquet(f"{folder}/{part}")) for part in CHECKED}
+    manifest = manifest_row(stored, model, prefix).withColumns({f"{part}_content": F.lit(h) for part, h in content.items()})
+    manifest.coalesce(1).write.mode("overwrite").json(f"{folder}/manifest")
 
 
 def load_corpus(spark: SparkSession, folder: str, model: str | None = None,
-                dimensions: int | None = None) -> tuple[DataFrame, DataFrame]:
+                dimensions: int | None = None, check_content: bool = True) -> tuple[DataFrame, DataFrame]:
     """Corpus and lookup of a build, checked against its manifest.
 
     A missing part is an error, and so is a build with another model or vector
-    size than the one asked for.
+    size than the one asked for, or whose corpus or lookup does not hold the
+    rows that were written. That check reads both once; ``check_content`` can
+    leave it out for a build that was checked before.
     """
-    corpus = spark.read.parquet(f"{folder}/corpus")
-    lookup = spark.read.parquet(f"{folder}/lookup")
+    parts = {part: spark.read.parquet(f"{folder}/{part}") for part in CHECKED}
     manifest = spark.read.json(f"{folder}/manifest").first()
     if model is not None and manifest["model"] != model:
         raise ValueError(f"corpus was built with model {manifest['model']}, not {model}")
     if dimensions is not None and manifest["dimensions"] != dimensions:
         raise ValueError(f"corpus vectors have {manifest['dimensions']} components, not {dimensions}")
-    return corpus, lookup
+    for part, table in parts.items() if check_content else ():
+        written, found = manifest[f"{part}_content"], fingerprint(table)
+        if written != found:
+            rows = [text.split(":")[0] for text in (written, found)]
+            raise ValueError(f"{part} in {folder} is not what was built: {rows[1]} of {rows[0]} rows, or other contents")
+    return parts["corpus"], parts["lookup"]
