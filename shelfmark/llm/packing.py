@@ -20,7 +20,6 @@ over salted lengths and look their place up; texts and ids are never shuffled.
 from __future__ import annotations
 
 import json
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -35,8 +34,6 @@ from shelfmark.llm.common import stored
 
 # Fixed value: the pattern by which a byte-level tokenizer cuts texts before merging.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-_LONGER_SPACE = re.compile(r" \s| \Z")
-_KNOWN_WORDS, _KNOWN_LENGTH = 250_000, 48
 
 
 def _byte_of_character() -> dict[str, int]:
@@ -46,14 +43,8 @@ def _byte_of_character() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-class TextEncoder(dict):
-    """Token ids of texts as little-endian 32-bit bytes, by a byte-level ``tokenizer.json``.
-
-    The pattern starts a new piece at a single space between words, so texts
-    are cut there and each word is encoded by itself, with its space; this
-    dictionary remembers words (up to ``_KNOWN_WORDS``). Texts with a space
-    before other white space or at their end are encoded whole.
-    """
+class TextEncoder:
+    """Token ids of texts as little-endian 32-bit bytes, by a byte-level ``tokenizer.json``."""
 
     def __init__(self, path: str):
         import tiktoken
@@ -65,26 +56,10 @@ class TextEncoder(dict):
         ranks = {bytes(value[c] for c in token): rank for token, rank in described["model"]["vocab"].items()
                  if token not in special}
         self.encoding = tiktoken.Encoding("byte-level", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
-        self.special = [*special]
-
-    def whole(self, text: str) -> bytes:
-        ids = (self.encoding.encode(text, allowed_special="all") if any(s in text for s in self.special)
-               else self.encoding.encode_ordinary(text))
-        return np.array(ids, dtype="<u4").tobytes()
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self.whole(" " + word)
-        if len(word) <= _KNOWN_LENGTH:
-            if len(self) >= _KNOWN_WORDS:
-                self.clear()
-            self[word] = ids
-        return ids
 
     def encode(self, text: str) -> bytes:
-        if _LONGER_SPACE.search(text):
-            return self.whole(text)
-        first, *words = text.split(" ")
-        return self.whole(first) + b"".join(map(self.__getitem__, words))
+        """Ids of the whole text; the names of special tokens in it are those tokens."""
+        return self.encoding.encode_to_numpy(text, allowed_special="all").astype("<u4").tobytes()
 
 
 _encoders: dict[str, TextEncoder] = {}
