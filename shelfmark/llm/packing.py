@@ -6,9 +6,8 @@
    of sizes fill a sequence, how often); it is solved by column generation and
    rounded down.
 3. Actual documents take the places of their group, which leaves some room.
-4. Sequences that are nearly full that way stay. What is left over, and all
-   small documents, go best-fit: always into the sequence with the least room
-   that still suffices.
+4. What whole numbers leave over, and all small documents, go best-fit: always
+   into the sequence with the least room that still suffices.
 
 All of that works on counts per length, at most ``max_tokens`` numbers, so the
 plan is made on the driver at any scale and has a few thousand places ("the
@@ -108,6 +107,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, max_tokens:
 
 # --- the plan ---------------------------------------------------------------
 
+GROUPS = 192
 Bin = tuple[int, list[tuple[int, int]]]  # how many sequences, and (length, times) of what each holds
 
 
@@ -132,17 +132,32 @@ def equal_groups(counts: np.ndarray, lengths: list[int], groups: int) -> list[tu
     return result
 
 
-def configurations(sizes: np.ndarray, demand: np.ndarray, capacity: int, rounds: int = 3000) -> tuple[np.ndarray, np.ndarray]:
-    """Mixes of sizes (columns) and how often each is used, for the fewest sequences; fractional."""
+def configurations(sizes: np.ndarray, demand: np.ndarray, capacity: int, rounds: int = 5000,
+                   gap: float = 1e-3) -> tuple[np.ndarray, np.ndarray]:
+    """Mixes of sizes (columns) and how often each is used, for the fewest sequences; fractional.
+
+    Column generation: prices of the present mixes, then the mix that is worth
+    most at these prices, or first at prices drawn towards those of the best
+    lower bound, which settles sooner. It ends when that bound is within
+    ``gap`` of what the mixes need.
+    """
     m = len(sizes)
     basis = np.diag(capacity // sizes).astype(float)
     used = demand / np.diag(basis)
-    for _ in range(rounds):
-        price = np.linalg.solve(basis.T, np.ones(m))
-        mix, worth = _best_mix(sizes, price, capacity)
-        if worth <= 1 + 1e-7:
+    inverse = np.diag(1 / np.diag(basis))
+    best_bound, centre = 0.0, sizes / capacity  # prices that no mix exceeds, and the bound that they give
+    for turn in range(rounds):
+        price = inverse.sum(axis=0)
+        for weight in (0.7, 0.0):
+            tried = weight * centre + (1 - weight) * price
+            mix, worth = _best_mix(sizes, tried, capacity)
+            if (bound := float(tried @ demand) / worth) > best_bound:
+                best_bound, centre = bound, tried / worth
+            if mix @ price > 1 + 1e-9:
+                break
+        if mix @ price <= 1 + 1e-9 or used.sum() <= best_bound * (1 + gap):
             break
-        step = np.linalg.solve(basis, mix)
+        step = inverse @ mix
         ratios = np.where(step > 1e-9, used / np.where(step > 1e-9, step, 1), np.inf)
         out = int(np.argmin(ratios))
         if not np.isfinite(ratios[out]):
@@ -150,28 +165,46 @@ def configurations(sizes: np.ndarray, demand: np.ndarray, capacity: int, rounds:
         used = np.maximum(used - ratios[out] * step, 0)
         used[out] = ratios[out]
         basis[:, out] = mix
+        # The inverse with one column exchanged; from time to time anew, against rounding.
+        row = inverse[out] / step[out]
+        inverse = np.linalg.inv(basis) if turn % 200 == 199 else inverse - np.outer(step, row)
+        if turn % 200 != 199:
+            inverse[out] = row
     return basis, used
 
 
 def _best_mix(sizes: np.ndarray, price: np.ndarray, capacity: int) -> tuple[np.ndarray, float]:
-    """The mix of greatest price that fits: a knapsack over the capacity."""
-    best, choice = np.zeros(capacity + 1), np.full(capacity + 1, -1)
-    for room in range(int(sizes.min()), capacity + 1):
+    """The mix of greatest price that fits: an unbounded knapsack, one size after the other.
+
+    For a size the rooms that leave the same remainder form a row; along it the
+    best is a running maximum of what earlier sizes give, less the price of the
+    places passed.
+    """
+    best = np.zeros(capacity + 1)
+    for size, worth in zip(sizes.tolist(), price.tolist()):
+        if worth <= 0:
+            continue
+        steps = capacity // size + 1
+        padded = np.full(steps * size, -np.inf)
+        padded[:min(capacity + 1, steps * size)] = best[:steps * size]
+        rows = padded.reshape(steps, size)
+        paid = worth * np.arange(steps)[:, None]
+        padded = (np.maximum.accumulate(rows - paid, axis=0) + paid).ravel()
+        best[:min(capacity + 1, steps * size)] = padded[:capacity + 1]
+        if steps * size <= capacity:  # the rooms behind the last whole row
+            tail = np.arange(steps * size, capacity + 1)
+            best[tail] = np.maximum(best[tail], best[tail - size] + worth)
+    best = np.maximum.accumulate(best)
+    mix, room = np.zeros(len(sizes)), capacity
+    while room > 0:
         fits = sizes <= room
         worth = np.where(fits, best[np.where(fits, room - sizes, 0)] + price, -np.inf)
         top = int(np.argmax(worth))
-        if worth[top] > best[room - 1] + 1e-12:
-            best[room], choice[room] = worth[top], top
-        else:
-            best[room] = best[room - 1]
-    mix, room = np.zeros(len(sizes)), capacity
-    while room > 0:
-        if choice[room] < 0:
-            room -= 1
-        else:
-            mix[choice[room]] += 1
-            room -= sizes[choice[room]]
-    return mix, float(best[capacity])
+        if worth[top] <= 0 or worth[top] < best[room] - 1e-9:
+            break
+        mix[top] += 1
+        room -= sizes[top]
+    return mix, float(mix @ price)
 
 
 def _take(segments: list[list[int]], amount: int) -> list[tuple[int, int]]:
@@ -206,30 +239,24 @@ def _aligned(times: int, places: list[list[tuple[int, int]]]) -> list[Bin]:
     return bins
 
 
-def plan_sequences(counts: np.ndarray, capacity: int, groups: int = 32, small: int | None = None,
-                   slacks: tuple[int, ...] = (0, 1, 2, 4, 8, 16)) -> list[Bin]:
+def plan_sequences(counts: np.ndarray, capacity: int, groups: int = GROUPS, small: int | None = None) -> list[Bin]:
     """Sequences for ``counts[length]`` documents of each length from 1 to ``capacity``.
 
-    A sequence of the configuration program stays if its actual documents leave
-    at most ``slack`` of it free; the others go back to the documents that are
-    packed best-fit. Of several slacks the one with the fewest sequences is taken.
+    All sequences of the configuration program stay. The documents that its
+    whole numbers leave over and the small ones are put best-fit into their room
+    and into further sequences.
     """
     small = capacity // 8 if small is None else small
     left = counts.astype(np.int64).copy()
-    alone: list[Bin] = []
+    bins: list[Bin] = []
     if left[capacity]:
-        alone.append((int(left[capacity]), [(capacity, 1)]))
+        bins.append((int(left[capacity]), [(capacity, 1)]))
         left[capacity] = 0
     mixed = configured_sequences(left, [n for n in range(capacity - 1, small, -1) if left[n]], capacity, groups)
-    plans = []
-    for slack in slacks:
-        full = [(n, held) for n, held in mixed if capacity - sum(length * k for length, k in held) <= slack]
-        rest = left.copy()
-        for n, held in full:
-            for length, k in held:
-                rest[length] -= n * k
-        plans.append(best_fit(alone + full, rest, capacity))
-    return min(plans, key=lambda bins: sum(n for n, _ in bins))
+    for n, held in mixed:
+        for length, k in held:
+            left[length] -= n * k
+    return best_fit(bins + mixed, left, capacity)
 
 
 def configured_sequences(counts: np.ndarray, lengths: list[int], capacity: int, groups: int) -> list[Bin]:
@@ -290,7 +317,7 @@ def places(bins: list[Bin]) -> list[tuple[int, int, int, int, int, int]]:
 
 # --- assignment -------------------------------------------------------------
 
-def pack(pieces: DataFrame, max_tokens: int, groups: int = 32, salts: int | None = None) -> DataFrame:
+def pack(pieces: DataFrame, max_tokens: int, groups: int = GROUPS, salts: int | None = None) -> DataFrame:
     """``pieces`` (with a ``length`` from 1 to ``max_tokens``) with their sequence_id and offset."""
     spark = pieces.sparkSession
     salts = salts or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -319,7 +346,7 @@ def pack(pieces: DataFrame, max_tokens: int, groups: int = 32, salts: int | None
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 2, max_tokens: int = 1024,
-                   groups: int = 32, with_ids: bool = False) -> DataFrame:
+                   groups: int = GROUPS, with_ids: bool = False) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset (and ids if wanted).
 
     Every document ends with ``end_id``, so null and empty texts are one token.
