@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import stored
+from shelfmark.llm.common import plain_names, stored, without_rows
 from shelfmark.llm.components import connected_components
 
 QUARTERS = 4
@@ -282,12 +282,13 @@ def simhash_groups(docs: DataFrame, shingle_words: int = 4, max_distance: int =
 def keep_one_of_each(docs: DataFrame, shingle_words: int = 4, max_distance: int = 4) -> DataFrame:
     """``docs`` with one document of each group: the one with the smallest id (of repeated ids one row).
 
-    Rows with a null id cannot be told apart and stay.
+    Rows with a null id cannot be told apart and stay, null and empty texts are
+    near copies of each other. Extra columns stay, whatever their names; an
+    empty table gives no rows. Texts that stay are not shuffled.
     """
-    groups = simhash_groups(docs, shingle_words, max_distance)
-    gone = groups.where(F.col("doc_id") > F.col("component_id")).select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
-    repeated = groups.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1")
-    if not repeated.isEmpty():
-        left = left.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(left.where("doc_id IS NULL"))
-    return left
+    groups = simhash_groups(docs.select("doc_id", "text"), shingle_words, max_distance).where("doc_id IS NOT NULL")
+    verdicts = groups.groupBy(F.col("doc_id").alias("id")).agg(
+        F.min(F.col("doc_id") == F.col("component_id")).alias("kept"), F.count(F.lit(1)).alias("copies"))
+    rows, back, new = plain_names(docs)
+    marked = rows.withColumn("id", F.col(new["doc_id"]).cast("bigint"))
+    return without_rows(marked, ["id"], stored(verdicts, "simhash-verdicts")).select(*back)

@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import lower_ascii, new_folder, stored
+from shelfmark.llm.common import lower_ascii, mark_possible, new_folder, plain_names, stored, without_rows
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _SETTINGS = {
@@ -26,7 +26,6 @@ _SETTINGS = {
     # Many small stores: do not reserve disk for each of them in advance.
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
-_SLOTS = 1 << 20
 INBOX = "doc_id bigint, feed bigint, row bigint, digest string, bytes bigint"
 
 
@@ -113,16 +112,15 @@ class DedupState:
     def _clashes(self, docs: DataFrame, state: DataFrame) -> DataFrame:
         """Digests with hits whose full texts are not all the same.
 
-        Only texts whose digest falls in a slot of a repeated digest are looked
-        at; the list of slots has at most ``_SLOTS`` numbers. The smallest and
-        the largest text of a digest are found within tasks first, so a text
-        that a third of all rows share is one row a task.
+        Only texts whose digest is possibly a repeated one are looked at, by
+        bitmaps sized from the number of such digests. The smallest and the
+        largest text of a digest are found within tasks first, so a text that a
+        third of all rows share is one row a task.
         """
-        slot = F.pmod(F.xxhash64("digest"), F.lit(_SLOTS)).cast("int").alias("slot")
-        slots = state.where(F.col("group_size") > 1).select(slot).distinct()
+        repeated = state.where(F.col("group_size") > 1).select(F.xxhash64("digest").alias("hash"))
         text = lower_ascii(F.col("text"))
-        hits = docs.select(self.digest(text).alias("digest"), text.alias("text")).withColumn("slot", slot).join(
-            F.broadcast(slots), "slot", "left_semi")
+        texts = docs.select(self.digest(text).alias("digest"), text.alias("text"))
+        hits = mark_possible(texts, F.xxhash64("digest"), stored(repeated, "repeated-digests"), "possible").where("possible")
         ends = hits.groupBy("digest").agg(F.min("text").alias("least"), F.max("text").alias("most"))
         return ends.where(F.col("least") != F.col("most")).select("digest")
 
@@ -146,17 +144,17 @@ def exact_dedup(docs: DataFrame, files_per_batch: int = 1000) -> DataFrame:
 
 
 def keep_first_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose text another row keeps."""
+    """``docs`` without the rows whose text another row keeps, of copies the one with the largest ``doc_id``.
+
+    Null texts count as empty and null ids as the smallest; of rows that repeat
+    id and text exactly one stays. Extra columns stay, whatever their names; an
+    empty table gives no rows. Texts that no other row repeats are not shuffled.
+    """
     verdicts = exact_dedup(docs)
-    text = lower_ascii(F.col("text"))
     # A row goes if no row with its id and text stays; ids and texts may repeat.
-    kept = verdicts.groupBy("doc_id", "text_sha256").agg(
+    kept = verdicts.groupBy(F.col("doc_id").alias("id"), F.col("text_sha256").alias("sha")).agg(
         F.max("kept").alias("kept"), F.count(F.lit(1)).alias("copies"))
-    marked = docs.withColumn("_sha", sha256_hex(text))
-    gone = kept.where(~F.col("kept")).select(F.col("doc_id").alias("_gone_id"), F.col("text_sha256").alias("_gone_sha"))
-    same = marked["doc_id"].cast("bigint").eqNullSafe(gone["_gone_id"]) & (marked["_sha"] == gone["_gone_sha"])
-    left = marked.join(gone, same, "left_anti")
-    repeats = kept.where(F.col("kept") & (F.col("copies") > 1)).select("doc_id", "text_sha256")
-    if not repeats.isEmpty():
-        left = left.dropDuplicates(["doc_id", "_sha"])
-    return left.drop("_sha")
+    rows, back, new = plain_names(docs)
+    marked = rows.withColumn("id", F.col(new["doc_id"]).cast("bigint")).withColumn(
+        "sha", sha256_hex(lower_ascii(F.col(new["text"]))))
+    return without_rows(marked, ["id", "sha"], stored(kept, "dedup-verdicts")).select(*back)

@@ -22,10 +22,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import id_remainder, sample_of_class, stored
+from shelfmark.llm.common import id_remainder, plain_names, sample_of_class, stored
 
 WORD = re.compile(r"[^\W\d_]+")
-_KNOWN_WORDS = 200_000
+_KNOWN_WORDS = 100_000
 _SEGMENT = 64
 
 
@@ -186,38 +186,52 @@ def _pair_marginals(emissions: np.ndarray, lengths: np.ndarray, trans: np.ndarra
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = 3000, windows: int = 4000, support: float = 0.01,
-        odds: float = 25.0) -> ChainModel:
+        odds: float = 25.0, surprise: float = 1.5) -> ChainModel:
     """Model from ``labels(doc_id, toxic)`` and the texts of ``docs``.
 
-    Bounds: ``per_class`` documents of each label and ``windows`` training
-    windows (half with toxic tokens). Without any toxic row the model finds
-    every text clean.
+    Bounds: ``per_class`` different texts of each label and ``windows`` training
+    windows (half with toxic tokens). A feature tells if toxic documents have it
+    ``odds`` times as often, at least ``support`` of them do, and the difference
+    is more than chance gives among all features (a likelihood ratio of
+    ``surprise`` times the logarithm of their number).
+    Without any toxic row the model finds every text clean.
     """
+    clean_model = ChainModel(document=(-8.0, 0.0, 0.0))
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").select(
         F.col("doc_id").cast("bigint").alias("doc_id"), (F.col("toxic") > 0).alias("toxic"))
     amounts = {r.toxic: r.n for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    chosen = sample_of_class(known, "doc_id", F.col("toxic"), per_class)
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
-    texts = stored(texts.where("text IS NOT NULL").dropDuplicates(["text"]), "toxic-sample")
     if not amounts.get(True):
-        return ChainModel(document=(-8.0, 0.0, 0.0))
-    cut = _windows(texts)
+        return clean_model
+    chosen = sample_of_class(known, "doc_id", F.col("toxic"), per_class)  # at most 2 * per_class ids
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
+    # Ids may repeat, in the labels and in the documents, so the texts are bounded once more.
+    texts = texts.where("text IS NOT NULL").dropDuplicates(["text"]).withColumn("key", F.xxhash64("text"))
+    texts = stored(sample_of_class(texts, "key", F.col("toxic"), per_class), "toxic-sample")
+    cut = _windows(texts.withColumn("doc_id", F.col("key")))
     sizes = {r.toxic: r.n for r in texts.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    toxic, clean = max(sizes.get(True, 0), 1), max(sizes.get(False, 0), 1)
+    toxic, clean = sizes.get(True, 0), sizes.get(False, 0)
+    if not toxic:
+        return clean_model
     used = cut.groupBy("doc_id", "toxic").agg(F.collect_list("features").alias("features")).select(
         "toxic", F.explode(F.array_distinct(F.flatten("features"))).alias("feature"))
-    counted = used.groupBy("feature").agg(
-        F.count_if("toxic").alias("toxic_docs"), F.count_if(~F.col("toxic")).alias("clean_docs"))
-    telling = counted.where((F.col("toxic_docs") >= max(3.0, support * toxic)) & (
-        F.col("toxic_docs") / toxic >= odds * (F.col("clean_docs") + 0.5) / clean))
-    # A feature needs ``support`` of the toxic sample; words per document bound how many there can be.
-    lexicon = {r.feature for r in telling.orderBy(F.desc("toxic_docs")).limit(20_000).collect()}
-    marked = cut.withColumn("hit", F.col("toxic") & F.arrays_overlap("features", F.array(*map(F.lit, sorted(lexicon))))
-                            if lexicon else F.lit(False))
-    rows = sample_of_class(marked.withColumn("key", F.xxhash64("doc_id", "place")), "key", F.col("hit"),
-                           windows // 2).select("words", "toxic").collect()
-    if not rows:
-        return ChainModel(document=(-8.0, 0.0, 0.0))
+    counted = stored(used.groupBy("feature").agg(
+        F.count_if("toxic").alias("toxic_docs"), F.count_if(~F.col("toxic")).alias("clean_docs")), "toxic-features")
+    telling = stored(counted.where(
+        (F.col("toxic_docs") >= max(3.0, support * toxic))
+        & (F.col("toxic_docs") / toxic >= odds * (F.col("clean_docs") + 0.5) / max(clean, 1))
+        & (_surprise(F.col("toxic_docs"), F.col("clean_docs"), toxic, clean) >= surprise * np.log(max(counted.count(), 2)))
+    ).select("feature"), "toxic-lexicon")
+    hits = cut.where("toxic").select("doc_id", "place", F.explode("features").alias("feature")).join(
+        telling, "feature", "left_semi").select("doc_id", "place").distinct().withColumn("hit", F.lit(True))
+    marked = cut.join(hits, ["doc_id", "place"], "left").withColumn("hit", F.coalesce("hit", F.lit(False)))
+    window = stored(sample_of_class(marked.withColumn("key", F.xxhash64("doc_id", "place")), "key", F.col("hit"),
+                                    windows // 2).select("words", "toxic", "features"), "toxic-training")
+    rows = window.select("words", "toxic").collect()
+    # The part of the lexicon that the training windows hold: their words bound it.
+    lexicon = {r.feature for r in window.where("toxic").select(F.explode("features").alias("feature")).distinct().join(
+        telling, "feature", "left_semi").collect()}
+    if not lexicon:
+        return clean_model
     rows.sort(key=lambda r: r.words)
     tags = [np.array([r.toxic and not lexicon.isdisjoint(features(w)) for w in r.words]) for r in rows]
     model = train_chain([r.words for r in rows], tags)
@@ -226,6 +240,17 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 3000, windows: int
     return model
 
 
+def _surprise(a, b, toxic: int, clean: int):
+    """Likelihood ratio (G squared) of a feature in ``a`` of ``toxic`` and ``b`` of ``clean`` documents."""
+    share = (a + b) / (toxic + clean)
+
+    def term(seen, expected):
+        return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
+
+    return 2 * (term(a, share * toxic) + term(toxic - a, (1 - share) * toxic)
+                + term(b, share * clean) + term(clean - b, (1 - share) * clean))
+
+
 def _windows(texts: DataFrame) -> DataFrame:
     """Windows of at most one segment: doc_id, toxic, place, words, features."""
 
@@ -277,7 +302,7 @@ class _Emissions(dict):
 SPANS = "array<struct<begin:int,stop:int,score:double>>"
 
 
-def score(docs: DataFrame, model: ChainModel, keep: list[str] = [], tokens_at_once: int = 1 << 19) -> DataFrame:  # noqa: B006
+def score(docs: DataFrame, model: ChainModel, keep: list[str] = [], tokens_at_once: int = 1 << 16) -> DataFrame:  # noqa: B006
     """doc_id, the columns of ``keep``, score, largest, total and spans of every row.
 
     ``spans`` are runs of tokens with a marginal of one half or more: offsets
@@ -355,11 +380,13 @@ def toxicity(docs: DataFrame, labels: DataFrame, per_class: int = 3000) -> DataF
 
 
 def reject_toxic(docs: DataFrame, labels: DataFrame, per_class: int = 3000, threshold: float = 0.5) -> DataFrame:
-    """``docs`` without the documents that score ``threshold`` or more; all columns are kept, whatever their names."""
+    """``docs`` without the documents that score ``threshold`` or more.
+
+    Null and empty texts stay, repeated rows are judged each, all columns are
+    kept, whatever their names; an empty table gives no rows, without labels
+    every document stays.
+    """
     model = fit(docs, training_labels(labels), per_class)
-    others = [c for c in docs.columns if c != "text"]
-    passed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text",
-                         *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)], F.col("text").alias("kept"))
-    scored = score(passed, model, [*(f"c{i}" for i in range(len(others))), "kept"])
-    back = {c: F.col(f"c{i}").alias(c) for i, c in enumerate(others)} | {"text": F.col("kept").alias("text")}
-    return scored.where(F.col("score") < threshold).select(*[back[c] for c in docs.columns])
+    rows, back, new = plain_names(docs)
+    passed = rows.withColumn("doc_id", F.col(new["doc_id"]).cast("bigint")).withColumn("text", F.col(new["text"]))
+    return score(passed, model, rows.columns).where(F.col("score") < threshold).select(*back)

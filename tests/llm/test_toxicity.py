@@ -3,6 +3,7 @@ import itertools
 import numpy as np
 import pytest
 
+from shelfmark.llm.queries import QUERIES
 from shelfmark.llm import toxicity_crf as crf
 
 
@@ -90,3 +91,20 @@ def test_nothing_to_learn(spark):
         labels = spark.createDataFrame(rows, "doc_id bigint, toxic int")
         assert [r.predicted for r in crf.toxicity(docs, labels).collect()] == [0]
     assert crf.toxicity(docs.limit(0), spark.createDataFrame([(1, 0)], "doc_id bigint, toxic int")).collect() == []
+
+
+def test_few_labels_do_no_harm(spark):
+    """With some 30 toxic labels the held-out rows are judged no worse than by calling everything clean."""
+    folder = "/root/testdata/sf0.01"
+    truth = {r.doc_id: r.toxic for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    rows = [r for r in QUERIES["op5_toxicity"](spark, folder).collect() if r.held_out and r.doc_id in truth]
+    right = sum(r.predicted == truth[r.doc_id] for r in rows)
+    assert right >= len(rows) - sum(truth[r.doc_id] for r in rows)
+
+
+def test_repeated_ids_do_not_unbound_the_sample(spark):
+    docs = spark.range(600).selectExpr("1 AS doc_id", "concat('word ', id, ' stupid') AS text").unionByName(
+        spark.range(20).selectExpr("id + 2 AS doc_id", "concat('fine text ', id) AS text"))
+    labels = spark.createDataFrame([(1, 1), (1, 1), *((i, 0) for i in range(2, 22))], "doc_id bigint, toxic int")
+    model = crf.fit(docs, labels, per_class=10)
+    assert isinstance(model, crf.ChainModel)
