@@ -38,26 +38,30 @@ def _letters() -> np.ndarray:
 def ngram_counts(text: str) -> np.ndarray | None:
     """Counts of the hashed 1- to 3-grams of lower-case letters, with one blank for anything else.
 
-    None if the text has no letter. Texts are taken in blocks that overlap by
-    two characters, so memory does not grow with their length.
+    None if the text has no letter. The text is gone through in blocks, so the
+    arrays stay small; each block goes on from the last two characters kept
+    before it, so the counts are those of the whole text.
     """
-    counts, some = np.zeros(BUCKETS), False
+    counts, some, text = np.zeros(BUCKETS), False, text.lower()
+    tail, open_word = np.zeros(0, dtype=np.uint32), True
     for first in range(0, len(text), _BLOCK):
-        part = text[max(0, first - 2):first + _BLOCK].lower()
-        points = np.frombuffer(part.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        points = np.frombuffer(text[first:first + _BLOCK].encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
         letter = _letters()[points]
         some |= bool(letter.any())
         points = np.where(letter, points, np.uint32(32))
-        kept = np.ones(len(points), dtype=bool)
-        kept[1:] = letter[1:] | letter[:-1]  # of a run of blanks only the first
-        points = points[kept]
+        before = np.concatenate([[open_word], letter[:-1]])
+        points = points[letter | before]  # of a run of blanks only the first
+        open_word = letter[-1]
+        points = np.concatenate([tail, points])
         mixed = np.zeros(len(points), dtype=np.uint32)
         for n in range(1, 4):
             if len(points) < n:
                 break
             mixed = (mixed[:len(points) - n + 1] ^ points[n - 1:]) * _FACTORS[n - 1]
             mixed ^= mixed >> np.uint32(15)
-            counts += np.bincount(mixed >> np.uint32(32 - BUCKET_BITS), minlength=BUCKETS)
+            own = mixed[max(0, len(tail) - n + 1):]  # those that end in this block
+            counts += np.bincount(own >> np.uint32(32 - BUCKET_BITS), minlength=BUCKETS)
+        tail = points[-2:]
     return counts if some else None
 
 
@@ -100,11 +104,16 @@ def _clusters(vectors: np.ndarray, k: int, rounds: int = 20) -> tuple[np.ndarray
 
 
 def fit(docs: DataFrame, per_language: int = 1200, per_centroid: int = 4, reject: float = 0.001) -> Centroids:
-    """Centroids from ``docs(doc_id, text, lang)``: at most ``per_language`` texts of each language."""
+    """Centroids from ``docs(doc_id, text, lang)``: at most ``per_language`` different texts of each language.
+
+    The chosen ids are broadcast, so texts that are not chosen stay where they
+    are; ids may repeat, so the texts that have them are bounded once more.
+    """
     known = docs.where("lang IS NOT NULL AND doc_id IS NOT NULL AND text IS NOT NULL").select(
         F.col("doc_id").cast("bigint").alias("doc_id"), "lang", "text")
     chosen = sample_of_class(known.select("doc_id", "lang"), "doc_id", F.col("lang"), per_language)
-    texts = known.join(chosen.distinct(), ["doc_id", "lang"], "left_semi").select("lang", "text").distinct()
+    texts = known.join(F.broadcast(chosen.distinct()), ["doc_id", "lang"], "left_semi").select("lang", "text").distinct()
+    texts = sample_of_class(texts.withColumn("key", F.xxhash64("text")), "key", F.col("lang"), per_language).drop("key")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -5,12 +5,46 @@ from shelfmark.llm.common import id_remainder
 
 
 def test_counts_do_not_depend_on_blocks(monkeypatch):
-    text = "Ab cé, dd  e\n" * 500
-    whole = lc.ngram_counts(text)
+    texts = ["Ab cé, dd  e\n" * 500, "  x", "a", " - a - ", "ΣΑΣ ΣΑΣ. x", "日本 語😀x" * 9, "a1" * 50]
+    whole = [lc.ngram_counts(t) for t in texts]
     assert lc.ngram_counts("12 -") is None and lc.ngram_counts("") is None
     assert (lc.ngram_counts("AB") == lc.ngram_counts("ab")).all()
-    monkeypatch.setattr(lc, "_BLOCK", 101)
-    assert np.abs(lc.ngram_counts(text) - whole).sum() / whole.sum() < 0.1
+    assert whole[2].sum() == 1 and whole[3].sum() == 3 + 2 + 1  # a blank, a letter, a blank
+    for block in (1, 2, 3, 101):
+        monkeypatch.setattr(lc, "_BLOCK", block)
+        assert all((lc.ngram_counts(t) == w).all() for t, w in zip(texts, whole))
+
+
+def test_sample_is_bounded_by_rows(spark):
+    """One id holds most rows, so a sample of ids alone would hold most texts."""
+    rows = [(1, f"word number {i} of many", "en") for i in range(300)] + [(2, "ein text", "de")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(3)
+    taken = []
+
+    def stored(df, label):
+        taken.append(df.groupBy("lang").count().collect())
+        return df
+
+    original, lc.stored = lc.stored, stored
+    try:
+        model = lc.fit(docs, per_language=20)
+    finally:
+        lc.stored = original
+    assert {r.lang: r["count"] for r in taken[0]} == {"en": 20, "de": 1}
+    assert set(model.languages) == {"de", "en"}
+
+
+def test_texts_stay_where_they_are(spark, folder):
+    """The sample is fetched by a broadcast of its ids, not by a shuffle of all texts."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    plans = []
+    original, lc.stored = lc.stored, lambda df, label: plans.append(df) or original(df, label)
+    try:
+        lc.fit(docs)
+    finally:
+        lc.stored = original
+    plan = plans[0]._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi, BuildRight" in plan and "SortMergeJoin" not in plan
 
 
 def test_held_out_accuracy(spark, folder):
