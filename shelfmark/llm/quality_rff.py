@@ -34,13 +34,13 @@ _SUMS = 16
 
 @cache
 def _classes() -> np.ndarray:
-    """0 other, 1 lower case, 2 upper case, 3 digit, 4 space, 5 mark, for the first plane of Unicode."""
+    """0 other, 1 lower case, 2 upper case, 3 digit, 4 space, 5 mark, for every code point."""
     def of(c: str) -> int:
         if c.isalpha():
             return 2 if c.isupper() else 1
         return 3 if c.isdigit() else 4 if c.isspace() else 5 if c.isprintable() else 0
 
-    return np.array([of(chr(c)) for c in range(0x10000)], dtype=np.uint8)
+    return np.array([of(chr(c)) for c in range(0x110000)], dtype=np.uint8)
 
 
 def statistics(text: str | None) -> list[float]:
@@ -48,7 +48,7 @@ def statistics(text: str | None) -> list[float]:
     if not text:
         return [0.0] * len(STATISTICS)
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    kind = _classes()[np.minimum(points, 0xFFFF)]
+    kind = _classes()[points]
     share = np.bincount(kind, minlength=6) / len(points)
     marks = np.bincount(points[(kind == 5) & (points < 128)], minlength=128)
     words = text.split()

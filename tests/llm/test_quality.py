@@ -15,6 +15,15 @@ def test_features_approximate_a_gaussian_kernel():
     assert np.allclose(z @ z.T, kernel, atol=0.05)
 
 
+def test_characters_of_all_planes():
+    """Letters and marks beyond U+FFFF count like those below."""
+    at = {name: i for i, name in enumerate(q.STATISTICS)}
+    assert q.statistics("\U0001f600" * 4)[at["marks"]] == 1.0
+    assert q.statistics("\U00010400\U00010428")[at["upper"]] == 0.5  # a capital and a small letter of Deseret
+    assert q.statistics("\U0001d7d8")[at["digits"]] == 1.0
+    assert q.statistics("\U000e0000")[at["marks"]] == 0.0
+
+
 def test_isotonic_regression_against_a_plain_version():
     random = np.random.default_rng(1)
     bins = np.arange(0, 200, 5)
