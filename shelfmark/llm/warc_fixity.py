@@ -5,6 +5,7 @@ id order and have an offset range. A leaf is the digest of a record with its
 range, a node the digest of up to ``fanout`` children with the range they span.
 Two replicas are compared by the roots of their archives; below equal roots
 nothing is read, and each level joins only the children of nodes that differ.
+Records are matched only where leaves differ.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 
 from shelfmark.llm.common import stored
 
+_NAMELESS = 1 << 16
+
 
 def warc_record(url: Column, html: Column, page_id: Column) -> Column:
     """A WARC/1.1 record as text; null url and content count as empty."""
@@ -26,9 +29,15 @@ def warc_record(url: Column, html: Column, page_id: Column) -> Column:
 
 
 def archive_records(pages: DataFrame, archive_pages: int = 512) -> DataFrame:
-    """archive, page_id, record of every page: an archive holds a range of ``archive_pages`` ids."""
+    """archive, page_id, record of every page: an archive holds a range of ``archive_pages`` ids.
+
+    Pages without an id are known by their content only and are dealt by it to
+    archives below zero, so that many of them do not make one archive. Ids are
+    not negative.
+    """
+    nameless = -1 - F.pmod(F.xxhash64("url", "html"), F.lit(_NAMELESS))
     return pages.select(
-        F.coalesce(F.floor(F.col("page_id") / archive_pages), F.lit(-1)).cast("bigint").alias("archive"),
+        F.coalesce(F.floor(F.col("page_id") / archive_pages), nameless).cast("bigint").alias("archive"),
         F.col("page_id").cast("bigint").alias("page_id"),
         warc_record(F.col("url"), F.col("html"), F.col("page_id")).alias("record"))
 
@@ -53,20 +62,6 @@ def fixity_leaves(records: DataFrame) -> DataFrame:
         (running - F.col("bytes")).alias("begin"), running.alias("stop"), "sha256")
 
 
-def replica_leaves(manifest: DataFrame, records: DataFrame) -> DataFrame:
-    """A replica's records at their places in the manifest, with their own digests and lengths.
-
-    Records that the manifest lacks have a null place. So a lost or shortened
-    record does not make those behind it differ.
-    """
-    known = manifest.select(F.col("archive").alias("a"), F.col("page_id").alias("p"), F.col("nth").alias("n"),
-                            "place", "begin")
-    found = _digests(records)
-    same = (found["archive"] == known["a"]) & found["page_id"].eqNullSafe(known["p"]) & (found["nth"] == known["n"])
-    return found.join(known, same, "left").select(
-        "archive", "place", "page_id", "begin", (F.col("begin") + F.col("bytes")).alias("stop"), "sha256")
-
-
 def merkle_levels(leaves: DataFrame, fanout: int = 16) -> list[DataFrame]:
     """Node tables from the leaves up to the roots: archive, place, begin, stop, digest.
 
@@ -116,21 +111,32 @@ def fixity_audit(primary: DataFrame, replica: DataFrame, fanout: int = 16) -> Da
 
     archive, place, page_id, begin, stop and sha256 as in the primary, ``root``
     of the archive's tree, and ``status``: ``intact``, ``altered`` (another
-    digest or length), ``missing`` (in the primary only) or ``extra`` (in the
-    replica only: place, begin, stop and root are null, sha256 is the
-    replica's). Null ids are in archive -1, repeated rows are records of their
-    own, empty tables give no rows.
+    digest), ``missing`` (in the primary only) or ``extra`` (in the replica
+    only: place, begin, stop and root are null, sha256 is the replica's). A
+    lost or longer record moves those behind it in its archive; their leaves
+    differ, and matching them by id and digest finds them intact. An
+    altered record without id is ``missing`` and ``extra``. Repeated rows are
+    records of their own, empty tables give no rows.
     """
-    own = stored(fixity_leaves(primary), "manifest")
-    other = stored(replica_leaves(own, replica), "replica-leaves")
+    own, other = (stored(fixity_leaves(r), "manifest") for r in (primary, replica))
     tree = merkle_levels(own, fanout)
-    there = other.where("place IS NOT NULL")
-    suspects = audit(tree, merkle_levels(there, fanout), fanout).withColumn("suspect", F.lit(True))
+    suspects = audit(tree, merkle_levels(other, fanout), fanout)
     roots = tree[-1].select("archive", F.col("digest").alias("root"))
-    judged = own.join(suspects, ["archive", "place"], "left").join(
-        there.select("archive", "place", F.lit(True).alias("there")), ["archive", "place"], "left")
-    status = F.when(F.col("suspect").isNull(), "intact").when(F.col("there"), "altered").otherwise("missing")
-    rows = judged.join(roots, "archive").select(
-        "archive", "place", "page_id", "begin", "stop", "sha256", status.alias("status"), "root")
-    extra = other.where("place IS NULL").select("archive", "page_id", "sha256", F.lit("extra").alias("status"))
+
+    def suspected(leaves: DataFrame) -> DataFrame:
+        return leaves.join(suspects, ["archive", "place"], "left_semi")
+
+    here, there = suspected(own), suspected(other).select(
+        F.col("archive").alias("a"), F.col("page_id").alias("p"), F.col("nth").alias("n"), F.col("sha256").alias("s"))
+    same = (here["archive"] == there["a"]) & here["page_id"].eqNullSafe(there["p"]) & (here["nth"] == there["n"])
+    status = F.when(F.col("a").isNull(), "missing").when(F.col("place").isNull(), "extra").when(
+        F.col("sha256") != F.col("s"), "altered")
+    judged = here.join(there, same, "full").withColumn("status", status).where("status IS NOT NULL")
+    judged = stored(judged, "damage")
+    damaged = judged.where("status <> 'extra'").select("archive", "place", "status")
+    rows = own.join(damaged, ["archive", "place"], "left").join(roots, "archive").select(
+        "archive", "place", "page_id", "begin", "stop", "sha256",
+        F.coalesce("status", F.lit("intact")).alias("status"), "root")
+    extra = judged.where("status = 'extra'").select(
+        F.col("a").alias("archive"), F.col("p").alias("page_id"), F.col("s").alias("sha256"), "status")
     return rows.unionByName(extra, allowMissingColumns=True)

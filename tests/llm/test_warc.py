@@ -57,6 +57,30 @@ def test_equal_archives_read_nothing_below_the_roots(spark):
     assert wf.audit(tree, [tree[0].limit(0), tree[1].limit(0), tree[2]], 4).collect() == []
 
 
+def test_only_records_of_differing_leaves_are_matched(spark, monkeypatch):
+    kept = {}
+    original = wf.stored
+    monkeypatch.setattr(wf, "stored", lambda df, label: kept.setdefault(label, []).append(original(df, label)) or kept[label][-1])
+    records = wf.archive_records(_pages(spark, ROWS), 16)
+    changed = wf.archive_records(_pages(spark, [(i, u, h + "!" if i == 33 else h) for i, u, h in ROWS if i != 70]), 16)
+    found = wf.fixity_audit(records, changed, 4)
+    assert sorted((r.page_id, r.status) for r in found.collect() if r.status != "intact") == [(33, "altered"), (70, "missing")]
+    # 33 is longer and 70 is lost, so what follows them in their archives is looked at and no other archive.
+    assert {r.archive for level in kept["suspects"] for r in level.collect()} == {33 // 16, 70 // 16}
+    kept.clear()
+    assert {r.status for r in wf.fixity_audit(records, records, 4).collect()} == {"intact"}
+    assert sum(level.count() for level in kept["suspects"]) == 0 and kept["damage"][0].count() == 0
+
+
+def test_pages_without_id_are_spread(spark):
+    rows = [(None, f"http://a/{i}", "x") for i in range(200)] + [(None, None, None)] * 3 + ROWS[:5]
+    records = wf.archive_records(_pages(spark, rows))
+    assert records.where("page_id IS NULL").select("archive").distinct().count() > 150
+    copy = [r for r in rows if r[1] != "http://a/7" or r[0] is not None] + [(None, "new", "x")]
+    found = [r.status for r in wf.fixity_audit(records, wf.archive_records(_pages(spark, copy))).collect()]
+    assert len(found) == len(rows) + 1 and (found.count("missing"), found.count("extra")) == (1, 1)
+
+
 def test_record_text(spark):
     record = wf.archive_records(_pages(spark, ROWS[2:3])).first()
     head, body = record.record.split("\r\n\r\n", 1)
