@@ -1,3 +1,4 @@
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -59,6 +60,66 @@ def test_jdbc_options():
     assert options == {"url": "jdbc:x", "dbtable": "s.t", "fetchsize": "5", "user": "u"}
 
 
+def _starts(table, key, partitions):
+    rows = duckdb.sql(tb.range_starts_query(table, key, partitions)).fetchall()
+    return [low for _, low in sorted(rows, key=lambda r: r[0])]
+
+
+@pytest.mark.parametrize("key", ["o_orderkey", "o_custkey", "o_orderdate", "o_clerk", "o_totalprice"])
+def test_ranges_hold_every_row_once_and_are_even(folder, key):
+    duckdb.sql(f"CREATE OR REPLACE TEMP VIEW orders_read AS SELECT * FROM '{folder}/orders.parquet'")
+    if key not in duckdb.sql("SELECT * FROM orders_read").columns:
+        pytest.skip(f"the orders have no {key}")
+    conditions = tb.range_conditions(key, _starts("orders_read", key, 8))
+    sizes = [duckdb.sql(f"SELECT count(*) FROM orders_read WHERE {c}").fetchall()[0][0] for c in conditions]
+    rows, most = duckdb.sql(f"SELECT sum(n), max(n) FROM (SELECT {key}, count(*) AS n FROM orders_read GROUP BY 1)").fetchall()[0]
+    assert sum(sizes) == rows and max(sizes) <= rows / 8 + 1 + most
+
+
+def test_ranges_of_odd_keys():
+    duckdb.sql("CREATE OR REPLACE TEMP VIEW odd AS SELECT CASE WHEN i < 500 THEN 7 WHEN i < 520 THEN NULL ELSE i * i END AS k "
+               "FROM range(1000) t(i)")
+    conditions = tb.range_conditions("k", _starts("odd", "k", 8))
+    sizes = [duckdb.sql(f"SELECT count(*) FROM odd WHERE {c}").fetchall()[0][0] for c in conditions]
+    assert sum(sizes) == 1000 and len(sizes) == 5 and max(sizes[1:]) <= 123  # half of the rows have one key
+    assert tb.range_conditions("k", []) == tb.range_conditions("k", [4, 4]) == ["1 = 1"]
+    assert tb.range_conditions("k", ["a", "o'b"]) == ["k < 'o''b' OR k IS NULL", "k >= 'o''b'"]
+
+
+def test_even_scan_asks_for_starts_first():
+    """Without a database: what Spark is asked to read."""
+    class Reader:
+        asked = {}
+
+        def format(self, name):
+            return self
+
+        def options(self, **options):
+            self.asked["options"] = options
+            return self
+
+        def load(self):
+            return self
+
+        def collect(self):
+            return [(2, 10), (1, 3), (3, 10)]
+
+        def jdbc(self, url, table, predicates, properties):
+            self.asked |= {"table": table, "predicates": predicates, "properties": properties}
+            return self
+
+        def select(self, *columns):
+            return columns
+
+    class Session:
+        read = Reader()
+
+    assert tb.read_jdbc_evenly(Session(), "jdbc:x", "s.t", ["id", "name"], "id", 3, user="u") == ("id", "name")
+    assert Reader.asked["options"]["query"] == tb.range_starts_query("s.t", "id", 3) and "dbtable" not in Reader.asked["options"]
+    assert Reader.asked["table"] == "s.t" and Reader.asked["predicates"] == ["id < 10 OR id IS NULL", "id >= 10"]
+    assert Reader.asked["properties"] == {"fetchsize": "10000", "user": "u"}
+
+
 def test_merge_statement():
     assert tb.merge_statement("p.t", "p.s", "id", ["gs1_segment", "embedding_context"], 1024) == (
         "MERGE INTO p.t AS t USING p.s AS s ON t.id = s.id WHEN MATCHED THEN UPDATE SET gs1_segment = s.gs1_segment, "
