@@ -65,11 +65,9 @@ def _starts(table, key, partitions):
     return [low for _, low in sorted(rows, key=lambda r: r[0])]
 
 
-@pytest.mark.parametrize("key", ["o_orderkey", "o_custkey", "o_orderdate", "o_clerk", "o_totalprice"])
+@pytest.mark.parametrize("key", ["o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"])
 def test_ranges_hold_every_row_once_and_are_even(folder, key):
     duckdb.sql(f"CREATE OR REPLACE TEMP VIEW orders_read AS SELECT * FROM '{folder}/orders.parquet'")
-    if key not in duckdb.sql("SELECT * FROM orders_read").columns:
-        pytest.skip(f"the orders have no {key}")
     conditions = tb.range_conditions(key, _starts("orders_read", key, 8))
     sizes = [duckdb.sql(f"SELECT count(*) FROM orders_read WHERE {c}").fetchall()[0][0] for c in conditions]
     rows, most = duckdb.sql(f"SELECT sum(n), max(n) FROM (SELECT {key}, count(*) AS n FROM orders_read GROUP BY 1)").fetchall()[0]
@@ -81,7 +79,8 @@ def test_ranges_of_odd_keys():
                "FROM range(1000) t(i)")
     conditions = tb.range_conditions("k", _starts("odd", "k", 8))
     sizes = [duckdb.sql(f"SELECT count(*) FROM odd WHERE {c}").fetchall()[0][0] for c in conditions]
-    assert sum(sizes) == 1000 and len(sizes) == 5 and max(sizes[1:]) <= 123  # half of the rows have one key
+    # The key of 500 rows fills four parts of 122 or 123 and begins the fifth; they are one range, with the 20 NULLs.
+    assert sum(sizes) == 1000 and len(sizes) == 4 and sizes[0] <= 5 * 123 + 20 and max(sizes[1:]) <= 123
     assert tb.range_conditions("k", []) == tb.range_conditions("k", [4, 4]) == ["1 = 1"]
     assert tb.range_conditions("k", ["a", "o'b"]) == ["k < 'o''b' OR k IS NULL", "k >= 'o''b'"]
 
