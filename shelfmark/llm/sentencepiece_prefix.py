@@ -16,6 +16,7 @@ are encoded one by one.
 from __future__ import annotations
 
 import codecs
+import re
 from collections.abc import Callable, Iterator
 from itertools import chain
 
@@ -25,8 +26,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _BLANK = "▁"
-_KNOWN_PARTS, _KNOWN_LENGTH, _KNOWN_PAIRS = 400_000, 40, 1_000_000
-_SIDE_BY_SIDE, _PAIR_SLOTS = 1 << 14, 1 << 20
+_PART = re.compile(f"{_BLANK}*[^{_BLANK}]+|{_BLANK}+")
+_KNOWN_PARTS, _KNOWN_LENGTH, _KNOWN_PAIRS = 150_000, 40, 500_000
+_SIDE_BY_SIDE, _PAIR_SLOTS, _DENSE_KINDS = 1 << 14, 1 << 20, 96
 
 
 class WordTables:
@@ -62,9 +64,10 @@ class WordTables:
             own[state] = number
         fail, longest = [0] * len(children), own[:]
         shorter = [-1] * len(pieces)
-        level = [0]
+        level, by_depth = [0], []
         while level:  # breadth first: the states a state falls back to are finished before it
             below = []
+            by_depth += level
             for state in level:
                 for kind, following in children[state].items():
                     back = fail[state]
@@ -82,13 +85,28 @@ class WordTables:
         self.edge, self.target = np.array(edges, dtype=np.int64).reshape(-1, 2).T.copy()
         longest[0] = len(pieces)
         self.fail, self.longest, self.shorter = np.array(fail), np.array(longest), np.array([*shorter, -1])
+        # Every transition of the kinds with the most edges, so that their steps need no search.
+        at_kind = self.edge % self.kinds
+        dense = np.argsort(-np.bincount(at_kind, minlength=self.kinds), kind="stable")[:_DENSE_KINDS]
+        self.dense = np.full(self.kinds, -1, dtype=np.int32)
+        self.dense[dense] = np.arange(len(dense))
+        self.following = np.zeros((len(children), len(dense)), dtype=np.int32)
+        column, begin = self.dense[at_kind], np.searchsorted(self.edge, np.arange(len(children) + 1) * self.kinds)
+        for state in by_depth:  # the state to fall back to is less deep, so its row is there
+            if state:
+                self.following[state] = self.following[fail[state]]
+            own_edges = slice(begin[state], begin[state + 1])
+            self.following[state, column[own_edges][column[own_edges] >= 0]] = self.target[own_edges][column[own_edges] >= 0]
         # The last tests of pairs, by a hash of the pair; what is not found there is asked for.
         self.slot_pair = np.full(_PAIR_SLOTS, -1, dtype=np.int64)
         self.slot_good = np.zeros(_PAIR_SLOTS, dtype=bool)
 
     def _step(self, state: np.ndarray, kind: np.ndarray) -> np.ndarray:
         """The automaton's states after one more character of every word."""
-        result, todo = np.zeros_like(state), np.flatnonzero(kind >= 0)
+        column = self.dense[kind]
+        result = self.following[state, column].astype(np.int64)
+        result[kind < 0] = 0
+        todo = np.flatnonzero((kind >= 0) & (column < 0))
         state, kind = state[todo], kind[todo]
         while len(todo):
             key = state * self.kinds + kind
@@ -168,11 +186,15 @@ class WordTables:
 
 
 class _Parts(dict):
-    """Ids of parts; short ones are remembered."""
+    """Ids of parts; short ones are remembered.
 
-    def __init__(self, encoded: Callable[[str], bytes]):
+    When ``most`` are known they become the old ones, and those that were old go;
+    what is used again moves back, so frequent parts stay.
+    """
+
+    def __init__(self, encoded: Callable[[str], bytes], most: int = _KNOWN_PARTS):
         super().__init__()
-        self.encoded = encoded
+        self.encoded, self.most, self.old = encoded, most, {}
 
     def __missing__(self, part: str) -> bytes:
         ids = self.encoded(part)
@@ -180,35 +202,65 @@ class _Parts(dict):
             self[part] = ids
         return ids
 
+    def unknown(self, parts: set[str]) -> list[str]:
+        """Those of ``parts`` that are short and not remembered."""
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        new = parts.difference(self)
+        again = new & self.old.keys()
+        self.update((part, self.old.pop(part)) for part in again)
+        return [part for part in new.difference(again) if len(part) <= _KNOWN_LENGTH]
 
-class PrefixEncoder:
-    """Encoder and decoder of a merge model with byte fallback, given as a ``.model`` file."""
+
+class PieceDecoder:
+    """Decoder of a merge model, given as a ``.model`` file; it needs no tables."""
 
     def __init__(self, path: str):
-        import ahocorasick
-        from sentencepiece import SentencePieceProcessor, sentencepiece_model_pb2
+        from sentencepiece import sentencepiece_model_pb2
 
-        described = sentencepiece_model_pb2.ModelProto()
+        self.described = sentencepiece_model_pb2.ModelProto()
         with open(path, "rb") as file:
-            described.ParseFromString(file.read())
-        kinds = sentencepiece_model_pb2.ModelProto.SentencePiece
-        trainer = described.trainer_spec
-        if trainer.model_type != trainer.BPE or any(p.type == kinds.USER_DEFINED for p in described.pieces):
+            self.described.ParseFromString(file.read())
+        self.kinds = sentencepiece_model_pb2.ModelProto.SentencePiece
+        trainer = self.described.trainer_spec
+        if trainer.model_type != trainer.BPE or any(p.type == self.kinds.USER_DEFINED for p in self.described.pieces):
             raise ValueError("a merge model without user-defined pieces is needed")
+        self.prefix_blank = self.described.normalizer_spec.add_dummy_prefix
+        self.bytes = [
+            b"" if p.type == self.kinds.CONTROL else bytes([int(p.piece[1:-1], 16)]) if p.type == self.kinds.BYTE
+            else trainer.unk_surface.encode() if p.type == self.kinds.UNKNOWN
+            else p.piece.replace(_BLANK, " ").encode() for p in self.described.pieces]
+        self.normal = [p.type == self.kinds.NORMAL for p in self.described.pieces]
+
+    def decode(self, ids: list[int]) -> str:
+        """Text of ids; control ids have none and the blank that encoding put in front goes again."""
+        data = b"".join(map(self.bytes.__getitem__, ids))
+        first = next((i for i in ids if self.bytes[i]), None)
+        if self.prefix_blank and first is not None and self.normal[first] and data[:1] == b" ":
+            data = data[1:]
+        return data.decode("utf-8", "each_byte")
+
+
+class PrefixEncoder(PieceDecoder):
+    """Encoder and decoder of a merge model with byte fallback, given as a ``.model`` file."""
+
+    def __init__(self, path: str):
+        import ahocorasick
+        from sentencepiece import SentencePieceProcessor
+
+        super().__init__(path)
+        pieces, kinds = self.described.pieces, self.kinds
         self.normalizer = SentencePieceProcessor(model_file=path)
         self.end_id = self.normalizer.eos_id()
         self.unknown = self.normalizer.unk_id()
-        self.prefix_blank = described.normalizer_spec.add_dummy_prefix
-        self.score = {p.piece: p.score for p in described.pieces if p.type == kinds.NORMAL}
-        self.ids = {p.piece: i for i, p in enumerate(described.pieces) if p.type == kinds.NORMAL}
-        self.byte_id = {int(p.piece[1:-1], 16): i for i, p in enumerate(described.pieces) if p.type == kinds.BYTE}
-        self.bytes = [
-            b"" if p.type == kinds.CONTROL else bytes([int(p.piece[1:-1], 16)]) if p.type == kinds.BYTE
-            else trainer.unk_surface.encode() if p.type == kinds.UNKNOWN
-            else p.piece.replace(_BLANK, " ").encode() for p in described.pieces]
-        self.normal = [p.type == kinds.NORMAL for p in described.pieces]
+        self.score = {p.piece: p.score for p in pieces if p.type == kinds.NORMAL}
+        self.ids = {p.piece: i for i, p in enumerate(pieces) if p.type == kinds.NORMAL}
+        self.byte_id = {int(p.piece[1:-1], 16): i for i, p in enumerate(pieces) if p.type == kinds.BYTE}
         # Pieces that merging their own characters does not give never occur.
-        reached = [piece for piece in self.ids if len(piece) == 1 or self.merged(piece) == [piece]]
+        self.halves = {p: tuple(own) for p in self.ids if len(p) > 1 and len(own := self.merged(p, 2)) == 2}
+        reached = [p for p in self.ids if len(p) == 1 or p in self.halves]
+        self.in_order = self._in_order()
         self.automaton = ahocorasick.Automaton()
         for piece in reached:
             self.automaton.add_word(piece, (len(piece), piece))
@@ -221,11 +273,23 @@ class PrefixEncoder:
         self.tables = (WordTables(reached, self.ids, self.stand_together, self._outside)
                        if self.by_word and {c for p in reached for c in p} <= self.ids.keys() else None)
 
-    def merged(self, text: str) -> list[str]:
-        """Pieces of a short text by merging step by step: the best pair first, of equals the leftmost."""
+    def _in_order(self) -> set[str]:
+        """Pieces whose merges, done best first, never make a better one possible than those before."""
+        found: set[str] = set()
+        for piece in sorted(self.halves, key=len):
+            if all(len(half) == 1 or (half in found and self.score[half] >= self.score[piece])
+                   for half in self.halves[piece]):
+                found.add(piece)
+        return found
+
+    def merged(self, text: str, least: int = 1) -> list[str]:
+        """Pieces of a short text by merging step by step: the best pair first, of equals the leftmost.
+
+        Merging ends early when ``least`` pieces are left.
+        """
         pieces, score, none = list(text), self.score.get, float("-inf")
         scores = [score(a + b, none) for a, b in zip(pieces, pieces[1:])]
-        while scores and (best := max(scores)) > none:
+        while len(pieces) > least and scores and (best := max(scores)) > none:
             i = scores.index(best)
             pieces[i:i + 2] = [pieces[i] + pieces[i + 1]]
             del scores[i]
@@ -236,14 +300,40 @@ class PrefixEncoder:
         return pieces
 
     def stand_together(self, left: str, right: str) -> bool:
+        """Whether merging the characters of both pieces gives just these two."""
         pair = left, right
         known = self.pairs.get(pair)
         if known is None:
             if len(self.pairs) >= _KNOWN_PAIRS:
                 self.pairs.clear()
-            known = self.pairs[pair] = self.merged(left + right) == [left, right]
+            if all(len(piece) == 1 or piece in self.in_order for piece in pair):
+                known = not self._merge_across(left, right)
+            else:
+                known = self.merged(left + right) == [left, right]
+            self.pairs[pair] = known
         return known
 
+    def _merge_across(self, left: str, right: str) -> bool:
+        """Whether some merge joins the two pieces (both in order), going back through their own merges.
+
+        The merge done last is undone first. Its place is taken by one across the
+        border if that is better, or as good and further left.
+        """
+        score, halves, none = self.score, self.halves, float("-inf")
+        limit, ties = none, False
+        while True:
+            across = score.get(left + right, none)
+            if across > limit or (ties and across == limit):
+                return True
+            last_left = score[left] if len(left) > 1 else float("inf")
+            last_right = score[right] if len(right) > 1 else float("inf")
+            if len(right) > 1 and last_right <= last_left:
+                limit, ties, right = last_right, True, halves[right][0]
+            elif len(left) > 1:
+                limit, ties, left = last_left, False, halves[left][1]
+            else:
+                return False
+
     def pieces(self, text: str) -> list[str]:
         """Pieces of a normalised text; characters outside the vocabulary are pieces of their own."""
         last: list[str] = [""] * (len(text) + 1)
@@ -282,25 +372,13 @@ class PrefixEncoder:
         normal = self.normalizer.normalize(text) if text else ""
         if not self.by_word:
             return [normal] if normal else []
-        first, *words = normal.split(_BLANK)
-        parts, blanks = [first] if first else [], _BLANK
-        for word in words:
-            if word:
-                parts.append(blanks + word)
-                blanks = _BLANK
-            else:
-                blanks += _BLANK
-        if len(blanks) > 1:
-            parts.append(blanks[1:])
-        return parts
+        return _PART.findall(normal)
 
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of every text, without end ids; words that are not remembered are encoded side by side."""
         cut = [self._parts(text) for text in texts]
-        if len(self.parts) >= _KNOWN_PARTS:
-            self.parts.clear()
         if self.tables is not None:
-            new = [p for p in set(chain.from_iterable(cut)).difference(self.parts) if len(p) <= _KNOWN_LENGTH]
+            new = self.parts.unknown(set(chain.from_iterable(cut)))
             for i in range(0, len(new), _SIDE_BY_SIDE):
                 some = new[i:i + _SIDE_BY_SIDE]
                 self.parts.update(zip(some, self.tables.encode(some)))
@@ -310,14 +388,6 @@ class PrefixEncoder:
         """Ids of a text, without an end id."""
         return self.encode_all([text])[0]
 
-    def decode(self, ids: list[int]) -> str:
-        """Text of ids; control ids have none and the blank that encoding put in front goes again."""
-        data = b"".join(map(self.bytes.__getitem__, ids))
-        first = next((i for i in ids if self.bytes[i]), None)
-        if self.prefix_blank and first is not None and self.normal[first] and data[:1] == b" ":
-            data = data[1:]
-        return data.decode("utf-8", "each_byte")
-
 
 # Every byte that is no part of a character is one replacement character.
 codecs.register_error("each_byte", lambda error: ("\ufffd" * (error.end - error.start), error.end))
@@ -332,6 +402,16 @@ def encoder(path: str) -> PrefixEncoder:
     return _encoders[path]
 
 
+_decoders: dict[str, PieceDecoder] = {}
+
+
+def decoder(path: str) -> PieceDecoder:
+    """One decoder for each file and worker process."""
+    if path not in _decoders:
+        _decoders[path] = PieceDecoder(path)
+    return _decoders[path]
+
+
 def encode_documents(docs: DataFrame, path: str, at_once: int = 1 << 21) -> DataFrame:
     """doc_id and ids (with the end id) of every row; texts are encoded some ``at_once`` characters at a time.
 
@@ -363,7 +443,7 @@ def decode_ids(encoded: DataFrame, path: str) -> DataFrame:
     """``encoded(doc_id, ids)`` with their decoded text; null ids give null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(path)
+        own = decoder(path)
         for batch in batches:
             texts = [None if ids.as_py() is None else own.decode(ids.values.to_numpy().tolist()) for ids in batch.column(1)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())],

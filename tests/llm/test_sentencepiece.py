@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 import public_tokenizers
 import pytest
@@ -57,3 +58,34 @@ def test_documents(spark, folder, pair):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string, ids string")
     assert sp.digests(sp.decode_ids(sp.encode_documents(docs, PATH), PATH)).collect() == []
+
+
+def test_pairs_against_merging(pair):
+    own = pair[0]
+    names = sorted(own.halves) + sorted(c for c in own.ids if len(c) == 1)[:100]
+    chosen = random.Random(3)
+    for _ in range(20_000):
+        left, right = chosen.choice(names), chosen.choice(names)
+        assert own.stand_together(left, right) == (own.merged(left + right) == [left, right])
+
+
+def test_merges_out_of_order_are_merged_step_by_step(pair):
+    own = sp.PrefixEncoder(PATH)
+    # "bc" comes late but makes "abc" better than itself.
+    own.score = {"a": 0.0, "b": 0.0, "c": 0.0, "bc": -9.0, "abc": -1.0, "ab": -10.0, "ca": -8.0}
+    own.ids = {p: i for i, p in enumerate(own.score)}
+    own.halves = {p: tuple(h) for p in own.ids if len(p) > 1 and len(h := own.merged(p, 2)) == 2}
+    own.in_order, own.pairs = own._in_order(), {}
+    assert "abc" not in own.in_order and "ca" in own.in_order
+    for left in ["abc", "ca", "bc", "a"]:
+        for right in ["abc", "ca", "bc", "c"]:
+            assert own.stand_together(left, right) == (own.merged(left + right) == [left, right])
+
+
+def test_frequent_parts_stay_remembered():
+    parts = sp._Parts(lambda part: part.encode(), most=3)
+    for word in ["b", "c", "d", "e", "f", "g"]:
+        new = parts.unknown({"a", word, "long" * 20})
+        assert ("a" in new) == (word == "b") and "long" * 20 not in new
+        parts.update((p, p.encode()) for p in new)
+    assert parts["a"] == b"a" and len(parts) + len(parts.old) <= 8
