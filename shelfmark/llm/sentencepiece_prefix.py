@@ -8,26 +8,25 @@ is if merging the two pieces' characters gives just these two. The ids are read
 backwards through the table. Work per character is bounded by the matches that
 end there, also for texts without any space.
 
-Words are parts of their own where no piece crosses a blank. The tables of many
-new words are filled side by side, one character of each at a step; long parts
-are encoded one by one.
+Words are parts of their own where no piece crosses a blank. Of many texts each
+different word is encoded once: the tables of short ones are filled side by
+side, one character of each at a step; long parts are encoded one by one.
 """
 
 from __future__ import annotations
 
 import codecs
-import re
 from collections.abc import Callable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _BLANK = "▁"
-_PART = re.compile(f"{_BLANK}*[^{_BLANK}]+|{_BLANK}+")
-_KNOWN_PARTS, _KNOWN_LENGTH, _KNOWN_PAIRS = 150_000, 40, 500_000
+_BLANK_BYTES = _BLANK.encode()
+_SHORT, _KNOWN_PAIRS = 40, 500_000
 _SIDE_BY_SIDE, _PAIR_SLOTS, _DENSE_KINDS = 1 << 14, 1 << 20, 96
 
 
@@ -45,7 +44,7 @@ class WordTables:
                  outside: Callable[[str], list[int]]):
         self.pieces, self.stand_together, self.outside = pieces, stand_together, outside
         self.length = np.array([*map(len, pieces), 1], dtype=np.int64)
-        self.ids = np.array([*(ids[p] for p in pieces), -1], dtype="<i4")
+        self.ids = np.array([ids[p] for p in pieces], dtype="<i4")
         singles = [p for p in pieces if len(p) == 1]
         self.kind = np.full(0x110000, -1, dtype=np.int32)
         self.kind[[ord(c) for c in singles]] = np.arange(len(singles))
@@ -133,22 +132,47 @@ class WordTables:
             self.slot_pair[slots], self.slot_good[slots] = asked[first], answers[first]
         return good
 
-    def encode(self, words: list[str]) -> list[bytes]:
-        """Ids of words of one character or more."""
-        order = sorted(range(len(words)), key=lambda i: -len(words[i]))
-        size = np.array([len(words[i]) for i in order], dtype=np.int64)
-        flat = self.kind[np.frombuffer("".join([words[i] for i in order]).encode("utf-32-le", "surrogatepass"), "<u4")]
-        first = np.cumsum(size) - size
-        strange = (np.minimum.reduceat(flat, first) < 0).tolist()
-        last = np.full((len(order), int(size[0]) + 1), -1, dtype=np.int64)
-        state = np.zeros(len(order), dtype=np.int64)
+    def encode(self, characters: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of one character or more, one after another, and how many each word has.
+
+        ``characters`` are those of all words, ``size`` the length of each.
+        """
+        first, by_size = np.cumsum(size) - size, np.argsort(-size, kind="stable")
+        groups = [self._side_by_side(characters, first[g], size[g])
+                  for g in (by_size[i:i + _SIDE_BY_SIDE] for i in range(0, len(size), _SIDE_BY_SIDE))]
+        if not groups:
+            return np.zeros(0, "<i4"), np.zeros(0, np.int64)
+        tokens = np.concatenate([t for t, _ in groups])
+        amount = np.empty(len(size), dtype=np.int64)
+        amount[by_size] = np.concatenate([n for _, n in groups])
+        behind = np.empty(len(size), dtype=np.int64)  # where a word's tokens begin among those by size
+        behind[by_size] = np.cumsum(amount[by_size]) - amount[by_size]
+        tokens = segments(tokens, behind, amount)
+        strange = np.flatnonzero(tokens >= len(self.pieces))
+        if not len(strange):
+            return self.ids[tokens], amount
+        # Characters outside the vocabulary have one id or several.
+        known, which = np.unique(tokens[strange], return_inverse=True)
+        ids = [np.array(self.outside(chr(t - len(self.pieces))), dtype="<i4") for t in known.tolist()]
+        length = np.array([len(i) for i in ids], dtype=np.int64)
+        begin, width = tokens.copy(), np.ones(len(tokens), dtype=np.int64)
+        begin[strange] = (len(self.pieces) + np.cumsum(length) - length)[which]
+        width[strange] = length[which]
+        stop = np.concatenate([[0], np.cumsum(width)])
+        at = np.concatenate([[0], np.cumsum(amount)])
+        return segments(np.concatenate([self.ids, *ids]), begin, width), np.diff(stop[at])
+
+    def _side_by_side(self, characters: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens of words in falling order of ``size``: pieces, or their number and a character outside of them."""
+        last = np.full((len(size), int(size[0]) + 1), -1, dtype=np.int32)
+        state = np.zeros(len(size), dtype=np.int64)
         for end in range(1, int(size[0]) + 1):
             active = int(np.searchsorted(-size, -end, side="right"))
-            state = self._step(state[:active], flat[first[:active] + end - 1])
+            state = self._step(state[:active], self.kind[characters[first[:active] + end - 1]])
             piece, word = self.longest[state], np.arange(active)
             while len(word):
                 before = end - self.length[piece]
-                left = last[word, before]
+                left = last[word, before].astype(np.int64)
                 good = (before == 0) | (left == len(self.pieces)) | (piece == len(self.pieces))
                 later = np.flatnonzero(~good)
                 good[later] = self._together(left[later], piece[later])
@@ -157,60 +181,27 @@ class WordTables:
                 if len(piece) and piece.min() < 0:
                     raise AssertionError("a prefix without a last piece")
         # Backwards: one piece of every word at a step, the k-th from the end into column k.
-        at, word, found = size.copy(), np.arange(len(order)), []
+        at, word, found = size.copy(), np.arange(len(size)), []
         while len(word):
-            piece = last[word, at[word]]
-            found.append((word, piece))
+            piece = last[word, at[word]].astype(np.int64)
+            strange = piece == len(self.pieces)
+            found.append((word, piece + np.where(strange, characters[first[word] + at[word] - 1].astype(np.int64), 0)))
             at[word] -= self.length[piece]
             word = word[at[word] > 0]
-        amount = np.zeros(len(order), dtype=np.int64)
+        amount = np.zeros(len(size), dtype=np.int64)
         for word, _ in found:
             amount[word] += 1
         stop = np.cumsum(amount)
-        ids = np.empty(int(stop[-1]), dtype="<i4")
-        for k, (word, piece) in enumerate(found):
-            ids[stop[word] - 1 - k] = self.ids[piece]
-        data, begin, result = ids.tobytes(), 0, [b""] * len(words)
-        for i, end, odd in zip(order, (4 * stop).tolist(), strange):
-            result[i] = self._with_outside(words[i], data[begin:end]) if odd else data[begin:end]
-            begin = end
-        return result
-
-    def _with_outside(self, word: str, data: bytes) -> bytes:
-        """``data`` with the ids of characters outside the vocabulary in their places."""
-        characters = (c for c in word if self.kind[ord(c)] < 0)
-        ids: list[int] = []
-        for own in np.frombuffer(data, dtype="<i4").tolist():
-            ids += [own] if own >= 0 else self.outside(next(characters))
-        return np.array(ids, dtype="<i4").tobytes()
-
+        tokens = np.empty(int(stop[-1]), dtype=np.int64)
+        for k, (word, token) in enumerate(found):
+            tokens[stop[word] - 1 - k] = token
+        return tokens, amount
 
-class _Parts(dict):
-    """Ids of parts; short ones are remembered.
 
-    When ``most`` are known they become the old ones, and those that were old go;
-    what is used again moves back, so frequent parts stay.
-    """
-
-    def __init__(self, encoded: Callable[[str], bytes], most: int = _KNOWN_PARTS):
-        super().__init__()
-        self.encoded, self.most, self.old = encoded, most, {}
-
-    def __missing__(self, part: str) -> bytes:
-        ids = self.encoded(part)
-        if len(part) <= _KNOWN_LENGTH:
-            self[part] = ids
-        return ids
-
-    def unknown(self, parts: set[str]) -> list[str]:
-        """Those of ``parts`` that are short and not remembered."""
-        if len(self) >= self.most:
-            self.old = dict(self)
-            self.clear()
-        new = parts.difference(self)
-        again = new & self.old.keys()
-        self.update((part, self.old.pop(part)) for part in again)
-        return [part for part in new.difference(again) if len(part) <= _KNOWN_LENGTH]
+def segments(values: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """``values[begin:begin + size]`` for all, one after another."""
+    stop = np.cumsum(size)
+    return values[np.repeat(begin - (stop - size), size) + np.arange(stop[-1] if len(stop) else 0)]
 
 
 class PieceDecoder:
@@ -268,7 +259,6 @@ class PrefixEncoder(PieceDecoder):
         # No piece has a blank behind another character, so no merge crosses that border.
         self.by_word = not any(_BLANK in piece.lstrip(_BLANK) for piece in self.ids)
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.parts = _Parts(self._encoded)
         # Side by side only if every character of a piece is a piece, so that each prefix ends in one.
         self.tables = (WordTables(reached, self.ids, self.stand_together, self._outside)
                        if self.by_word and {c for p in reached for c in p} <= self.ids.keys() else None)
@@ -360,29 +350,63 @@ class PrefixEncoder(PieceDecoder):
     def _outside(self, character: str) -> list[int]:
         return [self.byte_id[b] for b in character.encode()] if self.byte_id else [self.unknown]
 
-    def _encoded(self, part: str) -> bytes:
+    def _encoded(self, part: str) -> np.ndarray:
         ids: list[int] = []
         for piece in self.pieces(part):
             known = self.ids.get(piece)
             ids += [known] if known is not None else self._outside(piece)
-        return np.array(ids, dtype="<i4").tobytes()
+        return np.array(ids, dtype="<i4")
 
-    def _parts(self, text: str) -> list[str]:
-        """"a__b" is cut to "a" and "__b": blanks belong to what follows them."""
-        normal = self.normalizer.normalize(text) if text else ""
-        if not self.by_word:
-            return [normal] if normal else []
-        return _PART.findall(normal)
+    def _cut(self, texts: list[str]) -> tuple[pa.DictionaryArray, np.ndarray]:
+        """All parts of the normalised texts, and how many each text has.
+
+        "a__b" is cut to "a" and "__b": blanks belong to what follows them. So a
+        part begins with a text and at every blank that is not behind another.
+        """
+        normal = [self.normalizer.normalize(t).encode() if t else b"" for t in texts]
+        data = b"".join(normal)
+        size = np.array([len(n) for n in normal], dtype=np.int64)
+        first = np.cumsum(size) - size
+        begins = np.zeros(len(data) + 1, dtype=bool)
+        if self.by_word:
+            flat = np.frombuffer(data, dtype=np.uint8)
+            blank = np.zeros(len(data) + 3, dtype=bool)  # blank[i + 3]: a blank of three bytes begins at i
+            if len(data) >= 3:
+                blank[3:-2] = (flat[:-2] == _BLANK_BYTES[0]) & (flat[1:-1] == _BLANK_BYTES[1]) & (flat[2:] == _BLANK_BYTES[2])
+            begins[:-1] = blank[3:] & ~blank[:-3]
+        begins[first[size > 0]] = True
+        begins[-1] = True
+        at = np.flatnonzero(begins)
+        offsets = pa.py_buffer(at.astype(np.int32) if len(data) else np.zeros(1, np.int32))
+        parts = pa.StringArray.from_buffers(len(at) - 1 if len(data) else 0, offsets, pa.py_buffer(data))
+        until = np.searchsorted(at, [*first, len(data)])
+        return parts.dictionary_encode(), np.diff(until)
+
+    def _words(self, words: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, one after another, and how many each has: short ones side by side, others one by one."""
+        size = pc.utf8_length(words).to_numpy().astype(np.int64)
+        short = size <= _SHORT if self.tables is not None else np.zeros(len(size), dtype=bool)
+        some = words.filter(pa.array(short))
+        characters = np.frombuffer("".join(some.to_pylist()).encode("utf-32-le"), "<u4")
+        ids, own = self.tables.encode(characters, size[short]) if len(some) else (np.zeros(0, "<i4"), np.zeros(0, np.int64))
+        if len(some) == len(words):
+            return ids, own
+        others = [self._encoded(word) for word in words.filter(pa.array(~short)).to_pylist()]
+        amount, begin = np.empty(len(size), dtype=np.int64), np.empty(len(size), dtype=np.int64)
+        amount[short], amount[~short] = own, [len(i) for i in others]
+        begin[short], begin[~short] = np.cumsum(own) - own, len(ids) + np.cumsum(amount[~short]) - amount[~short]
+        return segments(np.concatenate([ids, *others]), begin, amount), amount
 
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of every text, without end ids; words that are not remembered are encoded side by side."""
-        cut = [self._parts(text) for text in texts]
-        if self.tables is not None:
-            new = self.parts.unknown(set(chain.from_iterable(cut)))
-            for i in range(0, len(new), _SIDE_BY_SIDE):
-                some = new[i:i + _SIDE_BY_SIDE]
-                self.parts.update(zip(some, self.tables.encode(some)))
-        return [np.frombuffer(b"".join(map(self.parts.__getitem__, parts)), dtype="<i4") for parts in cut]
+        """Ids of every text, without end ids; each different word is encoded once."""
+        cut, parts = self._cut(texts)
+        if not len(cut):
+            return [np.zeros(0, dtype="<i4")] * len(texts)
+        ids, amount = self._words(cut.dictionary)
+        which = cut.indices.to_numpy()
+        found = segments(ids, (np.cumsum(amount) - amount)[which], amount[which])
+        stop = np.concatenate([[0], np.cumsum(amount[which])])
+        return np.split(found, stop[np.cumsum(parts)[:-1]])
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of a text, without an end id."""
@@ -412,7 +436,7 @@ def decoder(path: str) -> PieceDecoder:
     return _decoders[path]
 
 
-def encode_documents(docs: DataFrame, path: str, at_once: int = 1 << 21) -> DataFrame:
+def encode_documents(docs: DataFrame, path: str, at_once: int = 1 << 22) -> DataFrame:
     """doc_id and ids (with the end id) of every row; texts are encoded some ``at_once`` characters at a time.
 
     Null and empty texts have only the end id. Repeated rows are each encoded,

@@ -82,10 +82,10 @@ def test_merges_out_of_order_are_merged_step_by_step(pair):
             assert own.stand_together(left, right) == (own.merged(left + right) == [left, right])
 
 
-def test_frequent_parts_stay_remembered():
-    parts = sp._Parts(lambda part: part.encode(), most=3)
-    for word in ["b", "c", "d", "e", "f", "g"]:
-        new = parts.unknown({"a", word, "long" * 20})
-        assert ("a" in new) == (word == "b") and "long" * 20 not in new
-        parts.update((p, p.encode()) for p in new)
-    assert parts["a"] == b"a" and len(parts) + len(parts.old) <= 8
+def test_many_texts_at_once(pair):
+    own, library = pair
+    chosen = random.Random(4)
+    texts = ["".join(chosen.choice(["ab", "the ", "é", " ", "🎉", "日", "x" * 50, "▁", "q\u0301", "\n"]) for _ in range(chosen.randrange(30)))
+             for _ in range(3000)]
+    assert [i.tolist() for i in own.encode_all(texts)] == [library.encode(t) for t in texts]
+    assert own.encode_all([]) == []
