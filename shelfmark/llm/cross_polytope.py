@@ -2,15 +2,23 @@
 
 A table of the index is a fast pseudo-rotation (three rounds of random signs
 and a Hadamard transform) and its bucket of a vector is the signed axis next to
-the rotated vector. A query looks into several buckets of every table, those
-whose axes are nearest to it (multiprobe). Rows and queries of a bucket meet in
-one task, in cells of bounded size, where exact cosines are computed; each cell
-gives a query's best few, so no pair of vectors is ever shuffled.
+the rotated vector. A second rotation, of which only the first ``extra`` axes
+count, can cut each bucket further. A query looks into several buckets of every
+table, those whose axes are nearest to it (multiprobe). Rows and queries of a
+bucket meet in one task, in cells of bounded size, where exact cosines are
+computed; each cell gives a query's best few, so no pair of vectors is ever
+shuffled.
+
+How many tables, extra axes and probes are needed depends on the vectors and
+their number. They are chosen by the exact neighbours of a bounded sample of
+queries among all rows: of the settings that find enough of them, the one with
+the least work.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -33,27 +41,56 @@ def hadamard(x: np.ndarray) -> np.ndarray:
 
 
 class CrossPolytope:
-    """``tables`` pseudo-rotations of vectors of ``dimensions``; buckets are 0 to 2 * width - 1 in each."""
+    """``tables`` hashes of vectors of ``dimensions``; buckets are 0 to ``buckets - 1`` in each.
 
-    def __init__(self, dimensions: int, tables: int, seed: int):
+    There are ``2 * width`` signed axes, times ``2 * extra`` of a second rotation if ``extra`` is not 0.
+    """
+
+    def __init__(self, dimensions: int, tables: int, seed: int, extra: int = 0):
         self.width = 1 << max(0, (dimensions - 1).bit_length())
-        self.signs = np.random.default_rng(seed).choice([-1.0, 1.0], (tables, 3, self.width))
+        self.extra = extra
+        self.buckets = 2 * self.width * max(1, 2 * extra)
+        self.signs = np.random.default_rng(seed).choice([-1.0, 1.0], (tables, 2, 3, self.width))
 
-    def rotated(self, vectors: np.ndarray, table: int) -> np.ndarray:
+    def rotated(self, vectors: np.ndarray, table: int, turn: int = 0) -> np.ndarray:
         x = np.zeros((len(vectors), self.width))
         x[:, :vectors.shape[1]] = vectors
-        for signs in self.signs[table]:
+        for signs in self.signs[table, turn]:
             x = hadamard(x * signs)
         return x
 
-    def buckets(self, vectors: np.ndarray, table: int, probes: int) -> np.ndarray:
-        """The ``probes`` nearest signed axes of every vector, nearest first."""
-        x = self.rotated(vectors, table)
-        signed = np.concatenate([x, -x], axis=1)
-        near = np.argpartition(-signed, probes - 1, axis=1)[:, :probes] if probes < signed.shape[1] else \
-            np.broadcast_to(np.arange(signed.shape[1]), signed.shape)
-        order = np.argsort(-np.take_along_axis(signed, near, 1), axis=1, kind="stable")
-        return np.take_along_axis(near, order, 1)
+    def _signed(self, vectors: np.ndarray, table: int) -> list[np.ndarray]:
+        """Components along all signed axes, of each rotation."""
+        turns = [self.rotated(vectors, table)]
+        if self.extra:
+            turns.append(self.rotated(vectors, table, 1)[:, :self.extra])
+        return [np.concatenate([x, -x], axis=1) for x in turns]
+
+    def home(self, vectors: np.ndarray, table: int) -> np.ndarray:
+        """The bucket of every vector."""
+        bucket = np.zeros(len(vectors), dtype=np.int64)
+        for signed in self._signed(vectors, table):
+            bucket = bucket * signed.shape[1] + signed.argmax(1)
+        return bucket
+
+    def distances(self, vectors: np.ndarray, table: int) -> np.ndarray:
+        """How far every vector is from every bucket: squares of what its component lacks to the largest."""
+        lacking = [(x.max(1, keepdims=True) - x) ** 2 for x in self._signed(vectors, table)]
+        total = lacking[0]
+        for more in lacking[1:]:
+            total = (total[:, :, None] + more[:, None, :]).reshape(len(vectors), -1)
+        return total
+
+    def nearest(self, vectors: np.ndarray, table: int, probes: int, block: int = 256) -> np.ndarray:
+        """The ``probes`` nearest buckets of every vector, nearest first."""
+        found = []
+        for first in range(0, len(vectors), block):
+            far = self.distances(vectors[first:first + block], table)
+            near = np.argpartition(far, probes - 1, axis=1)[:, :probes] if probes < far.shape[1] else \
+                np.broadcast_to(np.arange(far.shape[1]), far.shape)
+            order = np.argsort(np.take_along_axis(far, near, 1), axis=1, kind="stable")
+            found.append(np.take_along_axis(near, order, 1))
+        return np.concatenate(found) if found else np.zeros((0, probes), np.int64)
 
 
 def usable(vector: Column) -> Column:
@@ -67,7 +104,7 @@ def usable(vector: Column) -> Column:
 def _matrix(column: pa.Array, size: int) -> np.ndarray:
     if pc.any(pc.not_equal(pc.list_value_length(column), size)).as_py():
         raise ValueError(f"a vector does not have {size} components")
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), size)
+    return column.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(column), size)
 
 
 def distinct_vectors(vectors: DataFrame, keep: int) -> DataFrame:
@@ -80,8 +117,88 @@ def distinct_vectors(vectors: DataFrame, keep: int) -> DataFrame:
     return vectors.withColumn("place", F.row_number().over(same)).where(F.col("place") <= keep).drop("place")
 
 
-def search(rows: DataFrame, queries: DataFrame, k: int = 5, tables: int = 10, probes: int = 12, seed: int = 7,
-           cell_rows: int = 8192) -> DataFrame:
+#: Bounds of the sample that settings are chosen by: queries, rows and their components.
+_TUNING_QUERIES, _TUNING_ROWS, _TUNING_VALUES = 100, 20_000, 1 << 21
+#: Buckets of a table at most, so that their counts can be broadcast; what a probe costs, in compared rows.
+_MOST_BUCKETS, _PROBE_COST = 1 << 14, 50
+
+
+class Settings(NamedTuple):
+    """Tables, extra axes and probes, with the recall and the share of rows compared that the sample had."""
+
+    tables: int
+    extra: int
+    probes: int
+    recall: float
+    compared: float
+
+
+def _exact_neighbours(rows: DataFrame, ids: np.ndarray, vectors: np.ndarray, k: int) -> list[tuple[int, np.ndarray]]:
+    """Place in ``ids`` and vector of the ``k`` nearest of all ``rows`` to each of a bounded number of queries."""
+    size, unit = vectors.shape[1], vectors / np.linalg.norm(vectors, axis=1)[:, None]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = pd.DataFrame({"place": [], "id": [], "score": [], "vector": []})
+        for batch in batches:
+            own, x = batch.column(0).to_numpy(), _matrix(batch.column(1), size)
+            scores = unit @ (x / np.linalg.norm(x, axis=1)[:, None]).T
+            scores[ids[:, None] == own[None, :]] = -2
+            near = np.argpartition(-scores, min(k, len(own)) - 1, axis=1)[:, :k] if len(own) else np.zeros((0, 0), int)
+            place, column = np.repeat(np.arange(len(near)), near.shape[1]), near.ravel()
+            some = pd.DataFrame({"place": place, "id": own[column], "score": scores[place, column], "vector": list(x[column])})
+            some = some[some["score"] > -2]
+            both = pd.concat([best, some]) if len(best) else some
+            best = both.sort_values(["place", "score"], ascending=[True, False]).groupby("place").head(k)
+        yield pa.RecordBatch.from_pydict(
+            {c: best[c].tolist() for c in best.columns}, pa.schema([
+                ("place", pa.int32()), ("id", pa.int64()), ("score", pa.float64()), ("vector", pa.list_(pa.float64()))]))
+
+    order = Window.partitionBy("place").orderBy(F.desc("score"), "id")
+    met = rows.mapInArrow(run, "place int, id bigint, score double, vector array<double>")
+    found = met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).collect()
+    return [(r.place, np.array(r.vector)) for r in found]
+
+
+def tune(rows: DataFrame, queries: DataFrame, k: int, tables: int, seed: int, recall: float) -> Settings:
+    """Settings with the least work of those that find ``recall`` of the sample's exact neighbours.
+
+    The sample has at most ``_TUNING_QUERIES`` queries, chosen by hash, whose
+    neighbours are looked for among all rows; the rows in a bucket are estimated
+    from at most ``_TUNING_ROWS`` rows. All buckets of one table find everything,
+    so there is always a setting.
+    """
+    digest = F.xxhash64("id", "vector")
+    asked = queries.orderBy(digest, "id").limit(_TUNING_QUERIES).collect()
+    ids, vectors = np.array([r.id for r in asked]), np.array([r.vector for r in asked], dtype=float)
+    size = vectors.shape[1]
+    neighbours = _exact_neighbours(rows, ids, vectors, k)
+    some = rows.orderBy(digest, "id").limit(max(100, min(_TUNING_ROWS, _TUNING_VALUES // size))).toArrow()
+    sample, count = _matrix(some.column("vector").combine_chunks(), size), rows.count()
+    width = CrossPolytope(size, 1, seed).width
+    places = np.array([p for p, _ in neighbours], dtype=np.int64)
+    found = np.array([v for _, v in neighbours]).reshape(len(neighbours), size)
+    best = Settings(1, 0, 2 * width, 1.0, 1.0)
+    least = count + _PROBE_COST * best.probes
+    for extra in [0, *(1 << i for i in range(width.bit_length()) if 4 * width << i <= _MOST_BUCKETS)]:
+        index = CrossPolytope(size, tables, seed, extra)
+        rank, share = np.full(len(places), index.buckets), np.zeros((len(vectors), index.buckets))
+        for table in range(tables):
+            order = np.argsort(index.distances(vectors, table), axis=1, kind="stable")
+            at = np.argsort(order, axis=1)[places, index.home(found, table)]
+            rank = np.minimum(rank, at)
+            held = np.bincount(index.home(sample, table), minlength=index.buckets) / len(sample)
+            share += np.cumsum(held[order], axis=1)
+            needed = int(np.sort(rank)[max(0, int(np.ceil(recall * len(rank))) - 1)]) + 1 if len(rank) else 1
+            compared = float(share[:, needed - 1].mean())
+            work = compared * count + _PROBE_COST * needed * (table + 1)
+            if work < least:
+                least = work
+                best = Settings(table + 1, extra, needed, float((rank < needed).mean()) if len(rank) else 1.0, compared)
+    return best
+
+
+def search(rows: DataFrame, queries: DataFrame, k: int = 5, tables: int = 10, probes: int | None = None, seed: int = 7,
+           cell_rows: int = 8192, extra: int = 0, recall: float = 0.96) -> DataFrame:
     """The ``k`` nearest of ``rows(id, vector)`` found for every one of ``queries(id, vector)``, by cosine.
 
     query_id, rank (from 1), id, score; a query's own id is no candidate. Ties
@@ -90,8 +207,14 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 5, tables: int = 10, pr
     size than the others is an error. Repeated ids are separate rows that tie
     and count once. A query that finds fewer than ``k`` in its buckets is
     compared with all rows, in cells as well. Empty tables give no rows.
+
+    Without ``probes``, up to ``tables`` tables, extra axes and probes are chosen
+    for the ``recall`` of a sample of queries (``tune``).
     """
-    vector = F.col("vector").cast("array<double>")
+    # Vectors of floats are moved as floats, which doubles hold exactly.
+    single = all(t.schema["vector"].dataType.simpleString() == "array<float>" for t in (rows, queries))
+    moved = "array<float>" if single else "array<double>"
+    vector = F.col("vector").cast(moved)
 
     def prepared(table: DataFrame) -> DataFrame:
         return table.where(F.col("id").isNotNull() & usable(F.col("vector"))).select(
@@ -101,29 +224,45 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 5, tables: int = 10, pr
     queries = stored(prepared(queries).distinct(), "query-vectors")
     one = rows.select(F.size("vector").alias("n")).first()
     size = one.n if one else 1
-    index = CrossPolytope(size, tables, seed)
-    probes = min(probes, 2 * index.width)
-    schema = "table int, bucket int, target boolean, id bigint, vector array<double>"
+    if probes is None and one and not queries.isEmpty():
+        if queries.where(F.size("vector") != size).limit(1).count():
+            raise ValueError(f"a vector does not have {size} components")
+        tables, extra, probes, _, _ = tune(rows, queries, k, tables, seed, recall)
+    index = CrossPolytope(size, tables, seed, extra)
+    probes = min(probes or 1, index.buckets)
 
-    def hashed(count: int, target: bool):
+    def buckets(vectors: np.ndarray, table: int, target: bool) -> np.ndarray:
+        return index.home(vectors, table)[:, None] if target else index.nearest(vectors, table, probes)
+
+    def hashed(target: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                if not batch.num_rows:
-                    continue
                 vectors = _matrix(batch.column(1), size)
-                for table in range(tables):
-                    buckets = index.buckets(vectors, table, count)
-                    for probe in range(count):
+                for table in range(tables) if batch.num_rows else ():
+                    for own in buckets(vectors, table, target).T:
                         yield pa.RecordBatch.from_arrays([
-                            pa.array(np.full(len(vectors), table, np.int32)),
-                            pa.array(buckets[:, probe].astype(np.int32)),
+                            pa.array(np.full(len(vectors), table, np.int32)), pa.array(own.astype(np.int32)),
                             pa.array(np.full(len(vectors), target)), *batch.columns],
                             names=["table", "bucket", "target", "id", "vector"])
 
         return run
 
-    met = _meet(rows.mapInArrow(hashed(1, True), schema), queries.mapInArrow(hashed(probes, False), schema),
-                k, cell_rows, size)
+    def counted(target: bool):
+        """Rows of each bucket, summed over a batch."""
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                vectors = _matrix(batch.column(1), size)
+                for table in range(tables) if batch.num_rows else ():
+                    own, n = np.unique(buckets(vectors, table, target), return_counts=True)
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(np.full(len(own), table, np.int32)), pa.array(own.astype(np.int32)), pa.array(n)],
+                        names=["table", "bucket", "n"])
+
+        return run
+
+    schema, counts = f"table int, bucket int, target boolean, id bigint, vector {moved}", "table int, bucket int, n bigint"
+    met = _meet(rows.mapInArrow(hashed(True), schema), queries.mapInArrow(hashed(False), schema),
+                rows.mapInArrow(counted(True), counts), queries.mapInArrow(counted(False), counts), k, cell_rows, size)
     found = stored(_nearest(met, k), "nearest")
     enough = found.where(F.col("rank") == k).select(F.col("query_id").alias("id"))
     short = queries.join(enough, "id", "left_anti")
@@ -134,7 +273,11 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 5, tables: int = 10, pr
         return table.select(F.lit(-1).alias("table"), F.lit(0).alias("bucket"), F.lit(target).alias("target"),
                             "id", "vector")
 
-    whole = _nearest(_meet(everywhere(rows, True), everywhere(short, False), k, cell_rows, size), k)
+    def all_counted(table: DataFrame) -> DataFrame:
+        return table.select(F.lit(-1).alias("table"), F.lit(0).alias("bucket"), F.lit(1).alias("n"))
+
+    whole = _nearest(_meet(everywhere(rows, True), everywhere(short, False), all_counted(rows), all_counted(short),
+                           k, cell_rows, size), k)
     return found.join(short.select(F.col("id").alias("query_id")), "query_id", "left_anti").unionByName(whole)
 
 
@@ -145,15 +288,17 @@ def _nearest(met: DataFrame, k: int) -> DataFrame:
     return ranked.select("query_id", "rank", "id", "score")
 
 
-def _meet(targets: DataFrame, queries: DataFrame, k: int, cell_rows: int, size: int) -> DataFrame:
+def _meet(targets: DataFrame, queries: DataFrame, target_counts: DataFrame, query_counts: DataFrame, k: int,
+          cell_rows: int, size: int) -> DataFrame:
     """Best ``k`` of each cell: targets and queries of a bucket, each dealt to chunks of about ``cell_rows``."""
 
-    def chunks(table: DataFrame, name: str) -> DataFrame:
-        # One count for each bucket, whatever the number of rows.
-        counts = table.groupBy("table", "bucket").agg(F.count(F.lit(1)).alias("n"))
-        return stored(counts.select("table", "bucket", F.ceil(F.col("n") / cell_rows).cast("int").alias(name)), name)
+    def chunks(counts: DataFrame, name: str) -> DataFrame:
+        # One row for each bucket, whatever the number of rows.
+        sums = counts.groupBy("table", "bucket").agg(F.sum("n").alias("n"))
+        return stored(sums.select("table", "bucket", F.ceil(F.col("n") / cell_rows).cast("int").alias(name)), name)
 
-    sizes = F.broadcast(chunks(targets, "chunks").join(chunks(queries, "slices"), ["table", "bucket"]))
+    # At most ``tables`` times ``_MOST_BUCKETS`` rows of four numbers.
+    sizes = F.broadcast(chunks(target_counts, "chunks").join(chunks(query_counts, "slices"), ["table", "bucket"]))
     own = F.xxhash64("id", "vector")
     chunk, slices = F.pmod(own, F.col("chunks")).cast("int"), F.sequence(F.lit(0), F.col("slices") - 1)
     slice_, chunk_list = F.pmod(own, F.col("slices")).cast("int"), F.sequence(F.lit(0), F.col("chunks") - 1)

@@ -26,7 +26,16 @@ def test_rotation_keeps_lengths():
         assert np.allclose(np.linalg.norm(index.rotated(x, table), axis=1), np.linalg.norm(x, axis=1))
     y = index.rotated(x, 0)
     nearest = np.where(np.abs(y).max(1) == y.max(1), y.argmax(1), index.width + (-y).argmax(1))
-    assert (index.buckets(x, 0, 1)[:, 0] == nearest).all()
+    assert (index.nearest(x, 0, 1)[:, 0] == nearest).all() and (index.home(x, 0) == nearest).all()
+
+
+@pytest.mark.parametrize("extra", [0, 1, 4, 64])
+def test_probes_begin_at_home_and_reach_every_bucket(extra):
+    index = cp.CrossPolytope(50, 2, 1, extra)
+    x = np.random.default_rng(1).normal(size=(9, 50))
+    near = index.nearest(x, 1, index.buckets, block=4)
+    assert (near[:, 0] == index.home(x, 1)).all() and (np.sort(near, axis=1) == np.arange(index.buckets)).all()
+    assert (index.nearest(x, 1, 7) == near[:, :7]).all()
 
 
 def test_all_buckets_give_the_exact_result(spark):
@@ -34,7 +43,8 @@ def test_all_buckets_give_the_exact_result(spark):
     rows = [(i, tuple(random.normal(size=16))) for i in range(300)]
     rows += [(1000 + i, rows[7][1]) for i in range(40)] + [(2000 + i, tuple(2 * np.array(rows[9][1]))) for i in range(3)]
     queries = rows[:12]
-    for settings in ({"tables": 1, "probes": 32}, {"tables": 2, "probes": 99, "cell_rows": 25}):
+    for settings in ({"tables": 1, "probes": 32}, {"tables": 2, "probes": 99, "cell_rows": 25},
+                     {"tables": 1, "probes": 999, "extra": 2}, {"recall": 1.0}):
         found = cp.search(_frame(spark, rows), _frame(spark, queries), **settings).orderBy("query_id", "rank").collect()
         own = {q: [(r.id, r.score) for r in found if r.query_id == q] for q, _ in queries}
         for q, expected in _exact(rows, queries, 5).items():
@@ -67,3 +77,20 @@ def test_empty_and_uneven(spark):
     with pytest.raises(Exception, match="components"):
         bad = _frame(spark, [(0, (1, 2)), (1, (1, 2, 3))])
         cp.search(bad, bad).collect()
+
+
+def test_settings_follow_the_vectors(spark):
+    """Close groups need few comparisons, vectors without structure many; both reach the recall."""
+    random = np.random.default_rng(5)
+    centres = random.normal(size=(200, 32))
+    close = centres[random.integers(0, 200, 3000)] + 0.1 * random.normal(size=(3000, 32))
+    settings = {}
+    for name, vectors in {"close": close, "loose": random.normal(size=(3000, 32))}.items():
+        rows = [(i, tuple(v)) for i, v in enumerate(vectors)]
+        table = _frame(spark, rows)
+        queries = table.where("id % 20 = 0")
+        settings[name] = cp.tune(table, queries, 5, 6, 7, 0.96)
+        found = {(r.query_id, r.id) for r in cp.search(table, queries).collect()}
+        exact = {(q, i) for q, own in _exact(rows, rows[::20], 5).items() for i, _ in own}
+        assert settings[name].recall >= 0.96 and len(found & exact) >= 0.93 * len(exact)
+    assert settings["close"].compared < 0.1 < settings["loose"].compared <= 1
