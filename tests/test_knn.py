@@ -149,3 +149,63 @@ def test_metadata_of_repeated_codes(spark):
 
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
+
+
+def stored(spark, vectors, path, files=3):
+    rows = frame(spark, vectors).repartition(files).withColumn("title", F.concat(F.lit("t"), "position"))
+    rows.write.parquet(path)
+    return sorted(spark.read.parquet(path).inputFiles())
+
+
+def test_small_blocks_do_not_sort_all_hits_again(spark, tmp_path, monkeypatch):
+    rng = np.random.default_rng(4)
+    vectors, k = rng.normal(size=(4000, 8)), 10
+    files = stored(spark, vectors, str(tmp_path / "corpus"))
+    sort, sizes = np.lexsort, []
+    monkeypatch.setattr(knn.np, "lexsort", lambda keys: (sizes.append(len(keys[0])), sort(keys))[1])
+    unit, norm = knn._unit(vectors[:200].astype(np.float32))
+    best = knn.Best(200, k)
+    blocks = 0
+    for block in knn.BlockSet(files, k, 8 * 4 * 40, 0).blocks():
+        block.search(unit, norm > 0, best)
+        blocks += 1
+    documents = best.result()[2]
+    assert blocks > 90 and sum(sizes) < 40 * 200 * k
+    assert documents.column("position").to_pylist() == [p for row in brute_force(vectors[:200], vectors, k) for p, _ in row]
+
+
+def test_blocks_hold_no_metadata_and_hits_come_in_parts(spark, tmp_path):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(6)
+    vectors, k = rng.normal(size=(900, 8)), 30
+    files = stored(spark, vectors, str(tmp_path / "corpus"))
+    held = knn.BlockSet(files, k, 8 * 4 * 100, 8 * 4 * 900)
+    assert {tuple(sorted(table.column_names)) for _, table in held._tables()} == {("embedding", "position")}
+    hit = pa.struct([("score", pa.float64()), ("position", pa.int64()), ("id", pa.string()), ("title", pa.string())])
+    asked = pa.array([*vectors.tolist(), None], pa.list_(pa.float32()))
+    parts = list(held.hits(asked, pa.list_(hit)))
+    assert len(parts) > 1 and all(len(part) * k <= knn.HITS_AT_ONCE + k for part in parts)
+    found = [row for part in parts for row in part.to_pylist()]
+    same([[(h["position"], h["score"]) for h in row] for row in found[:-1]], brute_force(vectors, vectors, k))
+    assert found[-1] is None
+    assert all(h["title"] == f"t{h['position']}" and h["id"] == f"d{h['position']}" for row in found[:-1] for h in row)
+
+
+@pytest.mark.parametrize("finite", [3, 60])
+def test_vectors_without_a_length_come_last_by_position(spark, finite):
+    rng = np.random.default_rng(8)
+    vectors = rng.normal(size=(80, 8))
+    odd = rng.permutation(80)[finite:]
+    vectors[odd, rng.integers(0, 8, len(odd))] = rng.choice([np.nan, np.inf, -np.inf], len(odd))
+    queries = np.vstack([rng.normal(size=(5, 8)), np.full((1, 8), np.nan), np.zeros((1, 8)), [[np.inf] + [1.0] * 7]])
+    even = np.setdiff1d(np.arange(80), odd)
+    expected = []
+    for i, query in enumerate(queries):
+        known = [] if i in (5, 7) else [int(even[p]) for p, _ in brute_force([query], vectors[even], 10)[0]]
+        rest = range(80) if i in (5, 7) else sorted(odd.tolist())
+        expected.append([*known, *rest][:10])
+    asked = frame(spark, queries, "vector").select("position", "vector")
+    for block_bytes in (1 << 25, 8 * 4 * 7):
+        hits = found(knn.nearest(asked, frame(spark, vectors), "vector", 10, block_bytes))
+        assert [[p for p, _ in row] for row in hits] == expected
