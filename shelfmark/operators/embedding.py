@@ -103,13 +103,14 @@ class _TokenCells(dict):
         return cell
 
 
-def vector_problems(df: DataFrame, vector: str, dimension: int) -> DataFrame:
-    """One row: number of rows, of missing vectors and of wrong vector sizes."""
+def vector_problems(df: DataFrame, vector: str, dimension: int, *more: Column) -> DataFrame:
+    """One row: number of rows, of missing vectors and of wrong vector sizes, and ``more`` aggregates."""
     size = F.size(F.col(vector))
     return df.agg(
         F.count("*").alias("rows"),
         F.count_if(F.col(vector).isNull()).alias("missing"),
         F.count_if(F.col(vector).isNotNull() & (size != dimension)).alias("wrong_size"),
+        *more,
     )
 
 
@@ -121,9 +122,13 @@ def check_vectors(df: DataFrame, vector: str, dimension: int | None = None) -> N
     """
     if dimension is None:
         dimension = df.agg(F.max(F.size(vector))).first()[0] or 0
-    found = vector_problems(df, vector, dimension).first()
-    odd = F.exists(F.col(vector), lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
-    if not df.where(odd).isEmpty():
+    column = F.col(vector)
+    # The largest component is NaN if any is; both ends are NULL if all are.
+    low, high = F.array_min(column).cast("double"), F.array_max(column).cast("double")
+    odd = F.isnan(high) | (high == float("inf")) | (low == float("-inf")) | F.exists(column, lambda v: v.isNull())
+    # One pass over the vectors.
+    found = vector_problems(df.withColumn("__odd", odd), vector, dimension, F.count_if("__odd").alias("odd")).first()
+    if found["odd"]:
         raise ValueError("a vector has components that are no finite numbers")
     if found["missing"] or found["wrong_size"]:
         raise ValueError(

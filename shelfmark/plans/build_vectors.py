@@ -34,7 +34,8 @@ def build_vectors(documents: DataFrame, folder: str, make_provider: Callable, di
 
     With a ``run`` folder the embedded nodes are committed there in ``waves``:
     a build that broke off goes on with the same ``run`` and ``resume``, repeats
-    no call of a finished wave, and refuses other documents or settings.
+    no call of a finished wave, and refuses other documents or settings. Without
+    it, and in one wave, they go right into the corpus: there is nothing to resume.
     """
     spark = documents.sparkSession
     top = documents if "node" in documents.columns else top_nodes(documents, key)
@@ -44,13 +45,15 @@ def build_vectors(documents: DataFrame, folder: str, make_provider: Callable, di
         open_run(spark, place, resume, {
             "job": "build_vectors", "key": key, "dimensions": dimensions, "model": model, "waves": waves,
             "documents": fingerprint(shown)})
-    nodes = materialize(lambda: flatten_tree(top, key, spread, place), "flat-nodes", place, resume)
-
     def embedded(part: DataFrame) -> DataFrame:
         part = part.repartition(call_partitions) if call_partitions else part
         vector = embed(F.col("text"), make_provider, dimensions=dimensions)
         return part.withColumn("embedding", vector).select(*CORPUS_COLUMNS)
 
-    corpus = materialize_in_waves(nodes, "position", embedded, "vectors", place, waves, resume)
+    if run or waves > 1:
+        nodes = materialize(lambda: flatten_tree(top, key, spread, place), "flat-nodes", place, resume)
+        corpus = materialize_in_waves(nodes, "position", embedded, "vectors", place, waves, resume)
+    else:
+        corpus = embedded(flatten_tree(top, key, spread, place))
     save_corpus(corpus, folder, model, prefix, lookup_fields, dimensions)
     return load_corpus(spark, folder, model, dimensions)

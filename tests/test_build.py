@@ -86,3 +86,35 @@ def test_a_corpus_that_lost_or_changed_rows_is_refused(spark, taxonomy, tmp_path
     os.rename(f"{folder}/changed", f"{folder}/lookup")
     with pytest.raises(ValueError, match="lookup in .* other contents"):
         load_corpus(spark, folder, "m", 4)
+
+
+def test_nodes_of_a_build_without_run_are_written_once(spark, taxonomy, tmp_path, monkeypatch):
+    from shelfmark.plans import build_vectors as plan
+
+    place = str(tmp_path / "place")
+    monkeypatch.setattr(plan, "run_folder", lambda _: place)
+    corpus, _ = build_vectors(read_taxonomy(spark, taxonomy), str(tmp_path / "one"), counted(tmp_path / "calls"), 4)
+    assert sorted(os.listdir(place)) == ["nodes", "ranged-position"]
+    assert len((tmp_path / "calls").read_text().split()) == 60
+    other, _ = build_vectors(read_taxonomy(spark, taxonomy), str(tmp_path / "two"), hashing_provider(4), 4, waves=2)
+    assert os.path.exists(f"{place}/vectors") and corpus.exceptAll(other).isEmpty() and corpus.count() == other.count() == 60
+
+
+@pytest.mark.parametrize("odd", [None, float("nan"), float("inf"), float("-inf")])
+def test_odd_components_are_found_in_one_pass(spark, odd, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from shelfmark.operators.embedding import check_vectors
+
+    def refused(self):
+        raise AssertionError("a second pass over the vectors")
+
+    monkeypatch.setattr(DataFrame, "isEmpty", refused)
+    rows = [(1, [1.0, 2.0]), (2, [1.0, odd]), (3, None)]
+    with pytest.raises(ValueError, match="finite"):
+        check_vectors(spark.createDataFrame(rows, "id int, v array<float>"), "v", 2)
+    with pytest.raises(ValueError, match="finite"):
+        check_vectors(spark.createDataFrame([(1, [odd, odd])], "id int, v array<float>"), "v", 2)
+    with pytest.raises(ValueError, match="1 of 2 rows have no vector"):
+        check_vectors(spark.createDataFrame([(1, [1.0, 2.0]), (3, None)], "id int, v array<float>"), "v", 2)
+    check_vectors(spark.createDataFrame([(1, [1.0, 2.0])], "id int, v array<float>"), "v", 2)
