@@ -28,8 +28,8 @@ KEPT_BYTES = 64 * 1024**2
 TILE = 1024
 # Pairs whose exact scores are computed at once, in numbers.
 EXACT_NUMBERS = 500_000
-# Hits handed to Spark at once, and corpus rows read at once for what hits show.
-HITS_AT_ONCE = 20_000
+# Hits handed to Spark at once, and corpus rows read at once for what these show.
+HITS_AT_ONCE = 60_000
 ROWS_AT_ONCE = 8_192
 
 
@@ -182,14 +182,14 @@ class BlockSet:
                 block.search(unit, norm > 0, best)
         counts[present], score, found = best.result()
         place = found.column("place").to_numpy()
-        wanted = np.unique(place)
-        shown = self._shown(wanted, [f.name for f in arrow_type.value_type if f.name != "score"]) if len(wanted) else None
+        payload = [f.name for f in arrow_type.value_type if f.name != "score"]
         offsets = np.concatenate([[0], np.cumsum(counts)])
         step = max(1, HITS_AT_ONCE // self.k)
         for first in range(0, max(1, len(vectors)), step):
             ends = offsets[first:first + step + 1]
             part = slice(ends[0], ends[-1])
-            rows = shown.take(pa.array(np.searchsorted(wanted, place[part]))) if shown else None
+            wanted, row = np.unique(place[part], return_inverse=True)
+            rows = self._shown(wanted, payload).take(pa.array(row)) if len(wanted) else None
             columns = [
                 pa.array(score[part]) if f.name == "score" else
                 rows.column(f.name).combine_chunks().cast(f.type) if rows is not None else pa.nulls(0, f.type)

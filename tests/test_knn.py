@@ -178,7 +178,7 @@ def test_blocks_hold_no_metadata_and_hits_come_in_parts(spark, tmp_path):
     import pyarrow as pa
 
     rng = np.random.default_rng(6)
-    vectors, k = rng.normal(size=(900, 8)), 30
+    vectors, k = rng.normal(size=(900, 8)), 100
     files = stored(spark, vectors, str(tmp_path / "corpus"))
     held = knn.BlockSet(files, k, 8 * 4 * 100, 8 * 4 * 900)
     assert {tuple(sorted(table.column_names)) for _, table in held._tables()} == {("embedding", "position")}
