@@ -16,6 +16,9 @@ from shelfmark.functions import text as tx
 # A provider maps (system, user) to {"content": str, "usage": {"prompt_tokens": ...}}.
 Chat = Callable[[str, str], dict[str, Any]]
 
+# Prompts that a worker holds as Python texts at once.
+_AT_ONCE = 64
+
 _USAGE = ["prompt_tokens", "completion_tokens", "total_tokens"]
 
 
@@ -32,20 +35,26 @@ def complete(prompts: DataFrame, make_provider: Callable[[], Chat], batch: str =
     def call(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         provider = make_provider()
         for systems, users in batches:
-            rows = []
-            for system, user in zip(systems.to_pylist(), users.to_pylist()):
-                try:
-                    rows.append(_checked(provider(system, user)))
-                except Exception as problem:
-                    rows.append({"error": tx.storable(str(problem)) or type(problem).__name__})
-            ints = [(name, pa.int32()) for name in _USAGE]
-            yield pa.array(rows, pa.struct([("content", pa.string()), *ints, ("error", pa.string())]))
+            for first in range(0, max(1, len(systems)), _AT_ONCE):
+                yield _answers(provider, systems.slice(first, _AT_ONCE), users.slice(first, _AT_ONCE))
 
     # Marked so that Catalyst never copies the call into a pushed-down filter.
     once = call.asNondeterministic()
     return prompts.select(batch, once("system_message", "user_message").alias("answer")).select(batch, "answer.*")
 
 
+def _answers(provider: Chat, systems: pa.Array, users: pa.Array) -> pa.Array:
+    """One call per prompt and its row."""
+    rows = []
+    for system, user in zip(systems.to_pylist(), users.to_pylist()):
+        try:
+            rows.append(_checked(provider(system, user)))
+        except Exception as problem:
+            rows.append({"error": tx.storable(str(problem)) or type(problem).__name__})
+    ints = [(name, pa.int32()) for name in _USAGE]
+    return pa.array(rows, pa.struct([("content", pa.string()), *ints, ("error", pa.string())]))
+
+
 def _checked(answer: dict[str, Any]) -> dict[str, Any]:
     """Row of an answer. Content that is no text fails; counts that are no numbers are unknown."""
     content, usage = answer["content"], answer.get("usage")

@@ -132,3 +132,18 @@ def test_one_call_per_prompt_even_when_filtered(spark, tmp_path):
     answered = chat.complete(asked, provider).where("error IS NULL AND length(content) > 0")
     answered.select("batch", F.explode(F.split("content", ""))).count()
     assert all((tmp_path / f"u{i}").read_text() == "x" for i in range(20))
+
+
+def test_prompts_are_read_a_few_at_a_time(spark, monkeypatch):
+    import pyarrow as pa
+
+    from shelfmark.operators import chat
+
+    made, real = [], chat.F.arrow_udf
+    monkeypatch.setattr(chat.F, "arrow_udf", lambda kind: lambda function: (made.append(function), real(kind)(function))[1])
+    prompts = spark.createDataFrame([(1, "s", "u")], "batch int, system_message string, user_message string")
+    chat.complete(prompts, lambda: lambda system, user: {"content": user})
+    users = pa.array([f"u{i}" for i in range(1000)])
+    parts = list(made[0](iter([(pa.array(["s"] * 1000), users), (users[:0], users[:0])])))
+    assert max(map(len, parts)) <= 64
+    assert [row["content"] for part in parts for row in part.to_pylist()] == users.to_pylist()
